@@ -16,24 +16,24 @@ P = f"WITH {PREDICTIONS}"
 # ------------------------------------------------------------------ seasonal mean
 
 
-@query(P + " SELECT ds, key, hour, y, round(base, 4) AS pred FROM scored")
+@query(P + " SELECT ds, key, hour, y, round(base, 7) AS pred FROM scored")
 def baseline_forecast(spark, folder):
-    return rounded(scored_rows(spark, folder).select("ds", "key", "hour", "y", "pred"), 4, "pred")
+    return rounded(scored_rows(spark, folder).select("ds", "key", "hour", "y", "pred"), 7, "pred")
 
 
 @query(
-    f"""WITH {SPLIT} SELECT key, hour, CAST(weekday AS INTEGER) AS weekday, round(avg(y), 4) AS cell_mean
+    f"""WITH {SPLIT} SELECT key, hour, CAST(weekday AS INTEGER) AS weekday, round(avg(y), 7) AS cell_mean
 FROM usable WHERE split <> 'test' GROUP BY 1, 2, 3"""
 )
 def seasonal_means(spark, folder):
     rows = split.temporal_split(history(spark, folder), RETAIL.test_from, RETAIL.test_until, RETAIL.val_from)
-    return rounded(baseline.seasonal_means(rows.where("split <> 'test'")), 4, "cell_mean")
+    return rounded(baseline.seasonal_means(rows.where("split <> 'test'")), 7, "cell_mean")
 
 
-@query(P + " SELECT round(avg(m), 4) AS level FROM means")
+@query(P + " SELECT round(avg(m), 7) AS level FROM means")
 def fallback_level(spark, folder):
     rows = split.temporal_split(history(spark, folder), RETAIL.test_from, RETAIL.test_until, RETAIL.val_from)
-    return rounded(baseline.SeasonalMean().fit(rows.where("split <> 'test'")).level(), 4, "level")
+    return rounded(baseline.SeasonalMean().fit(rows.where("split <> 'test'")).level(), 7, "level")
 
 
 @query(P + f" SELECT key, {METRICS} FROM preds WHERE model = 'Baseline' GROUP BY key")
@@ -42,10 +42,10 @@ def baseline_metrics_by_key(spark, folder):
     return evaluate.metrics_by(preds, ["key"])
 
 
-@query(P + " SELECT ds, key, hour, model, round(abs_err, 4) AS abs_err, round(greatest(real - pred, 0), 4) AS shortfall FROM preds")
+@query(P + " SELECT ds, key, hour, model, round(abs_err, 7) AS abs_err, round(greatest(real - pred, 0), 7) AS shortfall FROM preds")
 def absolute_errors(spark, folder):
     preds = predictions(spark, folder).withColumn("shortfall", baseline.clip(F.col("real") - F.col("pred")))
-    return rounded(preds.select("ds", "key", "hour", "model", "abs_err", "shortfall"), 4, "abs_err", "shortfall")
+    return rounded(preds.select("ds", "key", "hour", "model", "abs_err", "shortfall"), 7, "abs_err", "shortfall")
 
 
 @query(P + " SELECT model, count(*) AS rows, min(ds) AS first, max(ds) AS last FROM preds GROUP BY model")
@@ -149,22 +149,22 @@ def improvements(spark, folder):
     return evaluate.improvements(evaluate.metrics_by(predictions(spark, folder)))
 
 
-@query(_BY_KEY + " SELECT model, round(avg(mae), 4) AS equal_weight_mae FROM k GROUP BY model")
+@query(_BY_KEY + " SELECT model, round(avg(mae), 7) AS equal_weight_mae FROM k GROUP BY model")
 def equal_weight_mae(spark, folder):
     found = evaluate.equal_weight_mae(evaluate.metrics_by(predictions(spark, folder), ["model", "key"]))
-    return rounded(found, 4, "equal_weight_mae")
+    return rounded(found, 7, "equal_weight_mae")
 
 
 @query(
     _BY_KEY
-    + """ SELECT a.key, a.mae AS baseline_mae, o.mae AS model_mae, round((a.mae - coalesce(o.mae, a.mae)) / a.mae * 100, 4) AS gain_pct
+    + """ SELECT a.key, a.mae AS baseline_mae, o.mae AS model_mae, round((a.mae - coalesce(o.mae, a.mae)) / a.mae * 100, 7) AS gain_pct
 FROM k a LEFT JOIN k o ON o.key = a.key AND o.model = 'Roll7' AND o.key <> 'NO' WHERE a.model = 'Baseline'"""
 )
 def gain_by_key(spark, folder):
     """One key has no model of its own, so it counts as 0 %."""
     by_key = evaluate.metrics_by(predictions(spark, folder), ["model", "key"])
     seen = by_key.where((F.col("model") == "Baseline") | (F.col("key") != "NO"))
-    return rounded(evaluate.gain_by_key(seen, "Roll7"), 4, "gain_pct")
+    return rounded(evaluate.gain_by_key(seen, "Roll7"), 7, "gain_pct")
 
 
 @query(
@@ -211,9 +211,9 @@ def _folds(spark, folder):
     return baseline.fold_forecasts(split.usable(history(spark, folder)), RETAIL.folds)
 
 
-@query(_FOLD + " SELECT fold, ds, key, hour, y, round(pred, 4) AS pred FROM fp")
+@query(_FOLD + " SELECT fold, ds, key, hour, y, round(pred, 7) AS pred FROM fp")
 def walk_forward_forecasts(spark, folder):
-    return rounded(_folds(spark, folder).select("fold", "ds", "key", "hour", "y", "pred"), 4, "pred")
+    return rounded(_folds(spark, folder).select("fold", "ds", "key", "hour", "y", "pred"), 7, "pred")
 
 
 _FOLD_MAE = (
@@ -232,17 +232,17 @@ def _fold_mae(spark, folder):
     return rows.groupBy("fold", "model").agg(F.avg(F.abs(F.col("y") - F.col("p"))).alias("mae"))
 
 
-@query(_FOLD_MAE + " SELECT fold, model, round(mae, 4) AS mae FROM fmae")
+@query(_FOLD_MAE + " SELECT fold, model, round(mae, 7) AS mae FROM fmae")
 def walk_forward_mae(spark, folder):
-    return rounded(_fold_mae(spark, folder), 4, "mae")
+    return rounded(_fold_mae(spark, folder), 7, "mae")
 
 
 @query(
     _FOLD_MAE
-    + """ SELECT f.model, count(*) AS folds, round(avg(f.mae), 4) AS mae_mean, round(stddev_pop(f.mae), 4) AS mae_std,
-  round(stddev_pop(f.mae) / avg(f.mae) * 100, 4) AS cv_pct, count(*) FILTER (WHERE f.mae < b.mae) AS wins,
+    + """ SELECT f.model, count(*) AS folds, round(avg(f.mae), 7) AS mae_mean, round(stddev_pop(f.mae), 7) AS mae_std,
+  round(stddev_pop(f.mae) / avg(f.mae) * 100, 7) AS cv_pct, count(*) FILTER (WHERE f.mae < b.mae) AS wins,
   stddev_pop(f.mae) / avg(f.mae) * 100 < 15 AS stable
 FROM fmae f JOIN fmae b ON b.fold = f.fold AND b.model = 'Baseline' GROUP BY f.model"""
 )
 def walk_forward_summary(spark, folder):
-    return rounded(evaluate.cv_summary(_fold_mae(spark, folder)), 4, "mae_mean", "mae_std", "cv_pct")
+    return rounded(evaluate.cv_summary(_fold_mae(spark, folder)), 7, "mae_mean", "mae_std", "cv_pct")

@@ -104,11 +104,11 @@ ev AS (SELECT CAST(ts AS DATE) AS ds, event_type AS key, CAST(hour(ts) AS INTEGE
 
 
 def _large_events(spark, folder):
-    value = F.when(F.col("value") > 60, F.col("value").cast("decimal(18,2)"))
+    value = F.when(F.col("value") > 60, tables.cents("value"))
     return (
         tables.table(spark, folder, "events")
         .groupBy(F.col("ts").cast("date").alias("ds"), F.col("event_type").alias("key"), F.hour("ts").alias("hour"))
-        .agg(F.sum(value).cast("double").alias("y"))
+        .agg((F.sum(value) / 100.0).alias("y"))
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from seasonflow.catalog.base import LONG, PREDICTIONS, holidays, predictions, query, rounded
 from seasonflow.catalog.features import DAILY_SQL
 from seasonflow.operators import features
@@ -23,7 +25,7 @@ SELECT g.key, g.hour_of_day, """
 )
 def demand_heatmap(spark, folder):
     events = features.add_calendar(tables.events_hourly(spark, folder), trend_base=2024)
-    return rounded(reports.heatmap(events, range(4, 24)), 4, *[f"dow_{d}" for d in range(7)])
+    return rounded(reports.heatmap(events, range(4, 24)), 6, *[f"dow_{d}" for d in range(7)])
 
 
 @query(D + " SELECT key, round(sum(y) / 1e6, 6) AS millions FROM daily GROUP BY key ORDER BY millions")
@@ -48,22 +50,23 @@ def daily_system_total(spark, folder):
 @query(
     D
     + """, a AS (SELECT CAST(year(ds) AS INTEGER) AS year, sum(y) / 1e6 AS millions FROM daily WHERE month(ds) BETWEEN 1 AND 9 GROUP BY 1)
-SELECT year, round(millions, 6) AS millions, round((millions / lag(millions) OVER (ORDER BY year) - 1) * 100, 4) AS change_pct FROM a"""
+SELECT year, round(millions, 6) AS millions, round((millions / lag(millions) OVER (ORDER BY year) - 1) * 100, 6) AS change_pct FROM a"""
 )
 def annual_totals(spark, folder):
     found = reports.annual_totals(tables.orders_daily(spark, folder))
-    return rounded(rounded(found, 6, "millions"), 4, "change_pct")
+    return rounded(rounded(found, 6, "millions"), 6, "change_pct")
 
 
 _MONTHLY = (
     D
-    + """, mo AS (SELECT strftime(ds, '%Y-%m') AS month, round_even(sum(y), 0) AS total FROM daily
+    + """, mo AS (SELECT strftime(ds, '%Y-%m') AS month, round_even(CAST(sum(CAST(y AS DECIMAL(18,2))) AS DOUBLE), 0) AS total FROM daily
 WHERE ds BETWEEN DATE '1996-01-01' AND DATE '2000-12-31' GROUP BY 1)"""
 )
 
 
 def _monthly(spark, folder):
-    return reports.monthly_totals(tables.orders_daily(spark, folder), "1996-01-01", "2000-12-31", y="y")
+    exact = tables.orders_daily(spark, folder).withColumn("y", F.col("y").cast("decimal(18,2)"))
+    return reports.monthly_totals(exact, "1996-01-01", "2000-12-31", y="y")
 
 
 @query(_MONTHLY + " SELECT * FROM mo")
@@ -83,25 +86,25 @@ def monthly_trend(spark, folder):
 # ------------------------------------------------------------------ predictions
 
 
-@query(P + " SELECT ds, key, round(sum(real), 2) AS real, round(sum(pred), 2) AS pred FROM preds GROUP BY ds, key")
+@query(P + " SELECT ds, key, round(sum(real), 6) AS real, round(sum(pred), 6) AS pred FROM preds GROUP BY ds, key")
 def daily_sums(spark, folder):
-    return rounded(reports.daily_sums(predictions(spark, folder)), 2, "real", "pred")
+    return rounded(reports.daily_sums(predictions(spark, folder)), 6, "real", "pred")
 
 
-@query(P + " SELECT ds, key, round(avg(real), 4) AS real, round(avg(pred), 4) AS pred FROM preds GROUP BY ds, key")
+@query(P + " SELECT ds, key, round(avg(real), 6) AS real, round(avg(pred), 6) AS pred FROM preds GROUP BY ds, key")
 def daily_means(spark, folder):
-    return rounded(reports.daily_means(predictions(spark, folder)), 4, "real", "pred")
+    return rounded(reports.daily_means(predictions(spark, folder)), 6, "real", "pred")
 
 
 @query(
     P
     + """, best AS (SELECT key FROM long GROUP BY key ORDER BY sum(y) DESC, key LIMIT 3)
-SELECT ds, key, round(sum(real), 2) AS real, round(sum(pred), 2) AS pred FROM preds
+SELECT ds, key, round(sum(real), 6) AS real, round(sum(pred), 6) AS pred FROM preds
 WHERE model = 'Baseline' AND key IN (SELECT key FROM best) GROUP BY ds, key"""
 )
 def real_against_predicted(spark, folder):
     found = reports.real_against_predicted(predictions(spark, folder), tables.line_long(spark, folder), "Baseline")
-    return rounded(found, 2, "real", "pred")
+    return rounded(found, 6, "real", "pred")
 
 
 @query(
@@ -117,22 +120,22 @@ def error_histogram(spark, folder):
 @query(
     P
     + """, f AS (SELECT * FROM preds WHERE model = 'Roll7')
-SELECT round(avg(abs_err), 4) AS mae, round(sum(real), 2) AS total,
+SELECT round(avg(abs_err), 6) AS mae, round(sum(real), 2) AS total,
   (SELECT hour FROM f GROUP BY hour ORDER BY avg(real) DESC, hour LIMIT 1) AS peak_hour,
   (SELECT key FROM f GROUP BY key ORDER BY sum(real) DESC, key LIMIT 1) AS busiest_key FROM f"""
 )
 def key_performance(spark, folder):
     found = reports.key_performance(predictions(spark, folder).where("model = 'Roll7'"))
-    return rounded(rounded(found, 4, "mae"), 2, "total")
+    return rounded(rounded(found, 6, "mae"), 2, "total")
 
 
 # ------------------------------------------------------------------ holidays
 
 
-@query(P + " SELECT ds, holiday, model, round(avg(abs_err), 4) AS mae, round(sum(real), 2) AS total FROM preds WHERE is_holiday = 1 GROUP BY ds, holiday, model")
+@query(P + " SELECT ds, holiday, model, round(avg(abs_err), 6) AS mae, round(sum(real), 2) AS total FROM preds WHERE is_holiday = 1 GROUP BY ds, holiday, model")
 def holiday_mae(spark, folder):
     found = reports.holiday_mae(predictions(spark, folder), holidays(spark))
-    return rounded(rounded(found, 4, "mae"), 2, "total")
+    return rounded(rounded(found, 6, "mae"), 2, "total")
 
 
 @query(
@@ -149,12 +152,12 @@ def holiday_comparison(spark, folder):
 
 @query(
     P
-    + """ SELECT model, round(avg(abs_err) FILTER (WHERE is_holiday = 0), 4) AS normal_mae,
-  round(avg(abs_err) FILTER (WHERE is_holiday = 1), 4) AS holiday_mae FROM preds WHERE model IN ('Baseline', 'Roll7') GROUP BY model"""
+    + """ SELECT model, round(avg(abs_err) FILTER (WHERE is_holiday = 0), 6) AS normal_mae,
+  round(avg(abs_err) FILTER (WHERE is_holiday = 1), 6) AS holiday_mae FROM preds WHERE model IN ('Baseline', 'Roll7') GROUP BY model"""
 )
 def normal_and_holiday_mae(spark, folder):
     found = reports.normal_and_holiday_mae(predictions(spark, folder), holidays(spark), ["Baseline", "Roll7"])
-    return rounded(found, 4, "normal_mae", "holiday_mae")
+    return rounded(found, 6, "normal_mae", "holiday_mae")
 
 
 @query(
@@ -163,9 +166,9 @@ def normal_and_holiday_mae(spark, folder):
 d AS (SELECT ds, holiday, count(*) FILTER (WHERE model = 'Baseline') AS n, avg(real) FILTER (WHERE model = 'Baseline') AS r,
   avg(abs_err) FILTER (WHERE model = 'Baseline') AS b, avg(abs_err) FILTER (WHERE model = 'Roll7') AS m
   FROM preds WHERE is_holiday = 1 GROUP BY ds, holiday)
-SELECT strftime(ds, '%d/%m') || ' ' || substring(holiday, 1, 25) AS day, round(b, 4) AS baseline_mae, round(m, 4) AS model_mae,
+SELECT strftime(ds, '%d/%m') || ' ' || substring(holiday, 1, 25) AS day, round(b, 6) AS baseline_mae, round(m, 6) AS model_mae,
   CASE WHEN r / v * 100 >= 60 THEN 'active' ELSE 'quiet' END AS day_class FROM d, nm WHERE n >= 5"""
 )
 def holiday_day_table(spark, folder):
     found = reports.holiday_day_table(predictions(spark, folder), holidays(spark), "Roll7")
-    return rounded(found, 4, "baseline_mae", "model_mae")
+    return rounded(found, 6, "baseline_mae", "model_mae")

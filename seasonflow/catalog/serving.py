@@ -67,21 +67,22 @@ def calendar_lookup(spark, folder):
 
 
 @query(
-    _CELL + _STATS + """ SELECT ds, key, hour, n_before, round(rolling_7d, 4) AS rolling_7d, round(rolling_28d, 4) AS rolling_28d,
-  round(rolling_7d_std, 4) AS rolling_7d_std FROM roll"""
+    _CELL + _STATS + """ SELECT ds, key, hour, n_before, round(rolling_7d, 7) AS rolling_7d, round(rolling_28d, 7) AS rolling_28d,
+  round(rolling_7d_std, 7) AS rolling_7d_std FROM roll"""
 )
 def asof_history(spark, folder):
     stats = asof.history_stats(tables.line_long(spark, folder), bounded=True)
     found = asof.asof_stats(_valid(spark, folder), stats)
-    return rounded(found, 4, "rolling_7d", "rolling_28d", "rolling_7d_std")
+    return rounded(found, 7, "rolling_7d", "rolling_28d", "rolling_7d_std")
 
 
 @query(
-    f"""WITH {LONG} SELECT key, hour, CAST(isodow(ds) - 1 AS INTEGER) AS weekday, round(avg(y), 4) AS weekday_mean
+    f"""WITH {LONG} SELECT key, hour, CAST(isodow(ds) - 1 AS INTEGER) AS weekday, round(CAST(sum(CAST(y AS DECIMAL(18,2))) AS DOUBLE) / count(*), 7) AS weekday_mean
 FROM long WHERE y IS NOT NULL GROUP BY 1, 2, 3"""
 )
 def weekday_means(spark, folder):
-    return rounded(asof.weekday_means(tables.line_long(spark, folder)), 4, "weekday_mean")
+    exact = tables.line_long(spark, folder).withColumn("y", F.col("y").cast("decimal(18,2)"))
+    return rounded(asof.weekday_means(exact), 7, "weekday_mean")
 
 
 @query(f"WITH {LONG}, p AS (SELECT DISTINCT key, kind FROM long) SELECT key, kind, (SELECT count(*) FROM p) AS total FROM p ORDER BY key")
@@ -123,8 +124,8 @@ def serving_state(spark, folder) -> scoring.ServingState:
     _CELL + _STATS + f""", wm AS (SELECT key, hour, isodow(ds) - 1 AS weekday, avg(y) AS m FROM long WHERE y IS NOT NULL GROUP BY 1, 2, 3),
 lg AS (SELECT c.ds, c.key, c.hour, {_LAGS} FROM cell c {_LAG_JOINS})
 SELECT r.request_id, r.key, r.ds, r.hour, """
-    + ", ".join(f"round(CASE WHEN has_{k}d THEN lag_{k}d ELSE coalesce(wm.m, 0) END, 4) AS lag_{k}d" for k in asof.DAYS)
-    + """, has_1d AND has_7d AND has_14d AS lags_available, round(rolling_28d, 4) AS rolling_28d,
+    + ", ".join(f"round(CASE WHEN has_{k}d THEN lag_{k}d ELSE coalesce(wm.m, 0) END, 7) AS lag_{k}d" for k in asof.DAYS)
+    + """, has_1d AND has_7d AND has_14d AS lags_available, round(rolling_28d, 7) AS rolling_28d,
   CAST(isodow(r.ds) - 1 AS INTEGER) AS weekday, CAST(dayofyear(r.ds) AS INTEGER) AS day_of_year
 FROM checked r JOIN lg ON lg.ds = r.ds AND lg.key = r.key AND lg.hour = r.hour
 JOIN roll ON roll.ds = r.ds AND roll.key = r.key AND roll.hour = r.hour
@@ -134,4 +135,4 @@ def request_features(spark, folder):
     found = scoring.request_features(_valid(spark, folder), serving_state(spark, folder))
     lags = [f"lag_{k}d" for k in asof.DAYS]
     kept = found.select("request_id", "key", "ds", "hour", *lags, "lags_available", "rolling_28d", "weekday", "day_of_year")
-    return rounded(kept, 4, *lags, "rolling_28d")
+    return rounded(kept, 7, *lags, "rolling_28d")

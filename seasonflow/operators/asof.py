@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seasonflow.functions.cleaning import mean
 from seasonflow.operators.ordering import over_series
 from seasonflow.spec import SeriesSpec
 
@@ -123,5 +124,5 @@ def weekday_means(history: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFr
     return (
         history.na.drop(subset=[*spec.row_id, spec.y])
         .groupBy(*spec.series, F.weekday(spec.ds).alias("weekday"))
-        .agg(F.avg(spec.y).alias("weekday_mean"))
+        .agg(mean(spec.y).alias("weekday_mean"))
     )

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seasonflow.functions.cleaning import mean
 from seasonflow.operators.split import Fold, fold_rows
 from seasonflow.session import settle
 from seasonflow.spec import SeriesSpec
@@ -24,7 +25,7 @@ def seasonal_means(df: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFrame:
     return (
         df.na.drop(subset=spec.series)
         .groupBy(*spec.series, "weekday")
-        .agg(F.avg(spec.y).alias("cell_mean"))
+        .agg(mean(spec.y).alias("cell_mean"))
     )
 
 
@@ -80,7 +81,7 @@ def fold_means(df: DataFrame, folds: Sequence[Fold], spec: SeriesSpec = SeriesSp
     return (
         fold_rows(sums, folds, "train", spec.ds)
         .groupBy("fold", *spec.series, "weekday")
-        .agg((F.sum("_sum") / F.sum("_n")).alias("cell_mean"))
+        .agg((F.sum("_sum").cast("double") / F.sum("_n")).alias("cell_mean"))
     )
 
 

@@ -1,7 +1,8 @@
 """Demand tables derived from order, line item and event tables.
 
-Every function aggregates the whole source table; nothing is sampled. Sums are
-taken in decimals, so that they do not depend on the order of the rows.
+Every function aggregates the whole source table; nothing is sampled. Money is
+summed in whole cents, so that sums do not depend on the order of the rows; the
+cents stay 64-bit integers, which is far cheaper per row than a decimal.
 """
 
 from __future__ import annotations
@@ -40,8 +41,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def cents(column: str):
+    return F.rint(F.col(column) * 100).cast("long")
+
+
 def exact_sum(column: str):
-    return F.sum(F.col(column).cast("decimal(18,2)")).cast("double")
+    return F.sum(cents(column)) / 100.0
 
 
 def line_key():
@@ -71,17 +76,17 @@ def wide_raw(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_shipdate").cast("date").alias("ds"),
         line_key().alias("LINE"),
         "l_linenumber",
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("v"),
+        cents("l_extendedprice").alias("v"),
     )
     days = items.groupBy("ds", "LINE").agg(
         *[F.sum(F.when(F.col("l_linenumber") == h, F.col("v"))).alias(f"{h}:00") for h in SLOTS],
         F.sum("v").alias("TOTAL"),
     )
     text = F.when(F.year("ds") < 2000, F.date_format("ds", "d/M/yyyy")).otherwise(F.date_format("ds", "M/d/yyyy "))
-    stated = F.col("TOTAL") + F.when(F.dayofmonth("ds") == 1, 50).otherwise(0)
+    stated = F.col("TOTAL") + F.when(F.dayofmonth("ds") == 1, 5000).otherwise(0)
 
     def spelled(column):
-        return F.coalesce(F.format_number(column, 2), F.lit(" "))
+        return F.coalesce(F.format_number(column / 100.0, 2), F.lit(" "))
 
     return days.select(
         text.alias("DAY"),
@@ -100,10 +105,10 @@ def line_long(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_shipdate").cast("date").alias("ds"),
         line_key().alias("key"),
         "l_linenumber",
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("v"),
+        cents("l_extendedprice").alias("v"),
     )
     days = items.groupBy("ds", "key").agg(
-        *[F.sum(F.when(F.col("l_linenumber") == h, F.col("v"))).cast("double").alias(str(h)) for h in SLOTS]
+        *[(F.sum(F.when(F.col("l_linenumber") == h, F.col("v"))) / 100.0).alias(str(h)) for h in SLOTS]
     )
     long = days.unpivot(["ds", "key"], [f"`{h}`" for h in SLOTS], "hour", "y").withColumn("hour", F.col("hour").cast("int"))
     kinds = F.create_map(*[F.lit(v) for pair in RETAIL.types.items() for v in pair])
