@@ -11,6 +11,7 @@ from seasonflow.functions.holidays import COLOMBIA, holiday_table
 from seasonflow.operators import features
 from seasonflow.operators.baseline import SeasonalMean
 from seasonflow.operators.split import temporal_split
+from seasonflow.session import settle
 from seasonflow.sources import tables
 from seasonflow.sources.tables import RETAIL
 
@@ -57,7 +58,7 @@ def split_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scored_rows(spark: SparkSession, folder: str) -> DataFrame:
-    rows = split_rows(spark, folder)
+    rows = settle(split_rows(spark, folder))  # fitted on and scored: computed once
     model = SeasonalMean().fit(rows.where("split <> 'test'"))
     return model.transform(rows.where("split = 'test'"))
 

@@ -1 +1,176 @@
-"""."""
+"""Fitted forecasters, their evaluation and live scoring.
+
+Queries here fit on every usable row before the test period. They ask for fewer
+rounds and trees than a production run; the defaults of the library are unchanged.
+"""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from seasonflow.catalog.base import holidays, query
+from seasonflow.catalog.features import featured
+from seasonflow.catalog.serving import _valid, serving_state
+from seasonflow.operators import evaluate, features, split
+from seasonflow.plans import forecasters as f
+from seasonflow.plans import reports, scoring
+from seasonflow.session import scratch_path, settle
+from seasonflow.sources import readers, sinks, tables
+from seasonflow.sources.tables import RETAIL
+from seasonflow.streaming.scoring import score_stream
+
+QUICK = {"rounds": 8, "depth": 5}
+LIGHT = replace(f.LIGHTGBM, step=0.2, **QUICK)
+XGB = replace(f.XGBOOST, step=0.2, **QUICK)
+PER_KEY = replace(f.LIGHTGBM_PER_KEY, step=0.3, rounds=4, depth=4)
+
+
+def _rows(spark, folder) -> tuple[DataFrame, list[str]]:
+    """Featured rows with their split, computed once, and the feature list."""
+    rows = split.temporal_split(featured(spark, folder), RETAIL.test_from, RETAIL.test_until, RETAIL.val_from)
+    return settle(rows), [c for c in features.feature_columns(rows) if c != "split"]
+
+
+def _train(rows: DataFrame) -> DataFrame:
+    return rows.where("split <> 'test'")
+
+
+def _marked(rows: DataFrame) -> DataFrame:
+    return _train(rows).withColumn("is_val", F.col("split") == "val")
+
+
+def _test(rows: DataFrame) -> DataFrame:
+    return rows.where("split = 'test'")
+
+
+@query()
+def ridge_forecast(spark, folder):
+    rows, names = _rows(spark, folder)
+    return evaluate.prediction_rows(f.predict(f.fit_ridge(_train(rows), names), _test(rows)), "RidgeBaseline")
+
+
+@query()
+def forest_forecast(spark, folder):
+    rows, names = _rows(spark, folder)
+    model = f.fit_forest(_train(rows), names, trees=10, depth=8)
+    return evaluate.prediction_rows(f.predict(model, _test(rows)), "RandomForest")
+
+
+@query()
+def boosted_forecast(spark, folder):
+    rows, names = _rows(spark, folder)
+    return evaluate.prediction_rows(f.predict(f.fit_boosted(_marked(rows), names, LIGHT), _test(rows)), "LightGBM")
+
+
+@query()
+def boosted_tuned_forecast(spark, folder):
+    rows, names = _rows(spark, folder)
+    return evaluate.prediction_rows(f.predict(f.fit_boosted(_marked(rows), names, XGB), _test(rows)), "XGBoost")
+
+
+@query()
+def per_key_forecast(spark, folder):
+    rows, names = _rows(spark, folder)
+    models = f.fit_per_key(rows, names, PER_KEY)
+    return evaluate.prediction_rows(f.predict_per_key(models, _test(rows)), "LGB_PerLinea")
+
+
+@query()
+def per_key_ridge_forecast(spark, folder):
+    rows, names = _rows(spark, folder)
+    weights = settle(f.fit_ridge_per_key(_train(rows), names))
+    return evaluate.prediction_rows(f.predict_ridge_per_key(_test(rows), weights, names), "RidgePerKey")
+
+
+@query()
+def model_comparison(spark, folder):
+    """Metrics of the learners side by side, with their gain over the seasonal mean."""
+    from seasonflow.operators.baseline import SeasonalMean
+
+    rows, names = _rows(spark, folder)
+    test = _test(rows)
+    frames = [
+        evaluate.prediction_rows(SeasonalMean().fit(_train(rows)).transform(test), "Baseline"),
+        evaluate.prediction_rows(f.predict(f.fit_ridge(_train(rows), names), test), "RidgeBaseline"),
+        evaluate.prediction_rows(f.predict(f.fit_boosted(_marked(rows), names, LIGHT), test), "LightGBM"),
+    ]
+    return evaluate.improvements(settle(evaluate.metrics_by(evaluate.stack(frames))))
+
+
+@query()
+def feature_importance(spark, folder):
+    rows, names = _rows(spark, folder)
+    found = f.feature_importance(f.fit_boosted(_marked(rows), names, LIGHT), names)
+    path = scratch_path(spark, "importance")
+    sinks.write_csv(found, path)
+    back = spark.read.option("header", True).schema(found.schema).csv(path)
+    return reports.top_features(back)
+
+
+@query()
+def feature_ablation(spark, folder):
+    rows, names = _rows(spark, folder)
+    return f.ablation(rows, names, replace(LIGHT, rounds=4), "day_of_year")
+
+
+@query()
+def walk_forward_boosted(spark, folder):
+    rows, names = _rows(spark, folder)
+    found = settle(f.walk_forward(rows.drop("split"), RETAIL.folds, names, replace(LIGHT, rounds=4)))
+    return evaluate.cv_summary(found)
+
+
+@query()
+def hyperparameter_search(spark, folder):
+    rows, names = _rows(spark, folder)
+    space = f.SearchSpace(depth=(3, 5), rounds=(2, 4))
+    return f.search(rows.drop("split"), RETAIL.folds[2:], names, space, trials=3)[0]
+
+
+@query()
+def tuning_verdict(spark, folder):
+    rows, names = _rows(spark, folder)
+    slow = replace(f.XGBOOST_DEFAULT, rounds=4, depth=4)
+    return f.verdict(rows, holidays(spark), names, slow, replace(XGB, rounds=4))
+
+
+@query()
+def saved_model_scores(spark, folder):
+    """A model, and one model per key, that were saved and loaded again."""
+    rows, names = _rows(spark, folder)
+    root = scratch_path(spark, "models")
+    sinks.save_model(f.fit_ridge(_train(rows), names), f"{root}/ridge")
+    whole = f.predict(sinks.load_model(f"{root}/ridge"), _test(rows))
+    sinks.save_models(f.fit_per_key(rows, names, replace(PER_KEY, rounds=2)), f"{root}/per-key")
+    per_key = f.predict_per_key(sinks.load_models(spark, f"{root}/per-key"), _test(rows))
+    return evaluate.metrics_by(
+        evaluate.stack([evaluate.prediction_rows(whole, "Ridge"), evaluate.prediction_rows(per_key, "PerKey")])
+    )
+
+
+def _live_model(spark, folder):
+    rows, names = _rows(spark, folder)
+    return f.fit_boosted(_marked(rows), names, replace(LIGHT, rounds=4))
+
+
+@query()
+def live_scores(spark, folder):
+    """Every valid request scored from features built for its date."""
+    found = scoring.request_features(_valid(spark, folder), serving_state(spark, folder))
+    return scoring.live_scores(found, _live_model(spark, folder))
+
+
+@query()
+def streamed_scores(spark, folder):
+    """The same scores, with the requests read as a stream of files."""
+    asked, answers = scratch_path(spark, "requests"), scratch_path(spark, "answers")
+    tables.order_requests(spark, folder).write.parquet(asked)
+    stream = spark.readStream.schema(readers.REQUESTS).parquet(asked)
+    running = score_stream(
+        stream, serving_state(spark, folder), _live_model(spark, folder), answers, scratch_path(spark, "offsets")
+    )
+    running.awaitTermination()
+    return spark.read.parquet(f"{answers}/scored").drop("batch")

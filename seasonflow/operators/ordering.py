@@ -20,7 +20,7 @@ def last_nulls(columns: Sequence[str]) -> list[Column]:
 def with_global_position(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
     """Row number (from 0) in the order of ``order``, by a distributed sort.
 
-    The sorted rows are checkpointed, because a second run of a range shuffle may
+    The sorted rows are written once, because a second run of a range shuffle may
     cut its ranges elsewhere. Only one count per partition meets in one place.
     """
     ordered = settle(
