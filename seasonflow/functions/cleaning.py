@@ -63,3 +63,8 @@ def mean(column: str) -> Column:
     """Average whose sum stays exact for decimal columns, so that neither the order
     of the rows nor their partitions can show in it."""
     return F.sum(column).cast("double") / F.nullif(F.count(column), F.lit(0))
+
+
+def per_cent(part: Column, whole: Column) -> Column:
+    """Null, not an error, where there is nothing to compare with."""
+    return F.try_divide(part * 100.0, whole)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seasonflow.functions.cleaning import per_cent
 from seasonflow.operators.quantiles import exact_quantile
 from seasonflow.session import literal_table
 from seasonflow.spec import SeriesSpec
@@ -34,7 +35,7 @@ def value_outliers(long: DataFrame, y: str = "y", q: float = 0.999) -> DataFrame
     return seen.groupBy("limit").agg(
         F.count_if(F.col(y) < 0).alias("negative"),
         F.count_if(F.col(y) > F.col("limit")).alias("above"),
-        (F.count_if(F.col(y) > F.col("limit")) / F.count(F.lit(1)) * 100).alias("above_pct"),
+        per_cent(F.count_if(F.col(y) > F.col("limit")), F.count(F.lit(1))).alias("above_pct"),
     )
 
 
@@ -85,9 +86,9 @@ def zeros_and_missing(long: DataFrame, y: str = "y") -> DataFrame:
     rows, zero, missing = F.count(F.lit(1)), F.count_if(F.col(y) == 0), F.count_if(F.col(y).isNull())
     return long.agg(
         zero.alias("zeros"),
-        (zero / rows * 100).alias("zeros_pct"),
+        per_cent(zero, rows).alias("zeros_pct"),
         missing.alias("missing"),
-        (missing / rows * 100).alias("missing_pct"),
+        per_cent(missing, rows).alias("missing_pct"),
     )
 
 

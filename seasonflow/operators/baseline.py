@@ -81,7 +81,7 @@ def fold_means(df: DataFrame, folds: Sequence[Fold], spec: SeriesSpec = SeriesSp
     return (
         fold_rows(sums, folds, "train", spec.ds)
         .groupBy("fold", *spec.series, "weekday")
-        .agg((F.sum("_sum").cast("double") / F.sum("_n")).alias("cell_mean"))
+        .agg(F.try_divide(F.sum("_sum").cast("double"), F.sum("_n")).alias("cell_mean"))
     )
 
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seasonflow.functions.cleaning import half_even
+from seasonflow.functions.cleaning import half_even, per_cent
 
 BASELINE = "Baseline"
 LEAST_ROWS = 5
@@ -127,8 +127,8 @@ def improvements(metrics: DataFrame, places: int = 2, baseline: str = BASELINE)
     base = metrics.where(F.col("model") == baseline)
     base_mae, base_rmse = base.select("mae").scalar(), base.select("rmse").scalar()
     return metrics.withColumn(
-        "mae_gain_pct", half_even((base_mae - F.col("mae")) / base_mae * 100, places)
-    ).withColumn("rmse_gain_pct", half_even((base_rmse - F.col("rmse")) / base_rmse * 100, places))
+        "mae_gain_pct", half_even(per_cent(base_mae - F.col("mae"), base_mae), places)
+    ).withColumn("rmse_gain_pct", half_even(per_cent(base_rmse - F.col("rmse"), base_rmse), places))
 
 
 def metrics_document(preds: DataFrame, featured: DataFrame) -> DataFrame:
@@ -201,7 +201,7 @@ def holiday_day_metrics(preds: DataFrame, holidays: DataFrame) -> DataFrame:
         .groupBy("model")
         .agg((F.sum("sy") / F.sum("n")).alias("normal_mean"))
     )
-    share = F.col("sy") / F.col("n") / F.col("normal_mean") * 100
+    share = per_cent(F.col("sy") / F.col("n"), F.col("normal_mean"))
     return (
         dated.where(F.col("holiday").isNotNull())
         .join(normal, "model", "left")
@@ -231,7 +231,7 @@ def gain_by_key(by_key: DataFrame, model: str, baseline: str = BASELINE) -> Data
     """Per cent gain per key; a key without the model counts as 0 %."""
     base = by_key.where(F.col("model") == baseline).select("key", F.col("mae").alias("baseline_mae"))
     other = by_key.where(F.col("model") == model).select("key", F.col("mae").alias("model_mae"))
-    gain = (F.col("baseline_mae") - F.coalesce("model_mae", "baseline_mae")) / F.col("baseline_mae") * 100
+    gain = per_cent(F.col("baseline_mae") - F.coalesce("model_mae", "baseline_mae"), F.col("baseline_mae"))
     return base.join(other, "key", "left").withColumn("gain_pct", gain)
 
 
@@ -278,7 +278,7 @@ def comparison_table(metrics: DataFrame, baseline: str = BASELINE) -> DataFrame:
         "mae",
         "rmse",
         "r2",
-        half_even((base - F.col("mae")) / base * 100, 1).alias("gain_pct"),
+        half_even(per_cent(base - F.col("mae"), base), 1).alias("gain_pct"),
         (F.col("mae") == least).alias("is_best"),
     )
 
@@ -296,7 +296,7 @@ def cv_summary(fold_mae: DataFrame, limit: float = 15.0) -> DataFrame:
     ``fold_mae`` is ``fold, model, mae``, one row per fold and model.
     """
     base = fold_mae.where(F.col("model") == BASELINE).select("fold", F.col("mae").alias("_base"))
-    spread = F.stddev_pop("mae") / F.avg("mae") * 100
+    spread = per_cent(F.stddev_pop("mae"), F.avg("mae"))
     return (
         fold_mae.join(base, "fold", "left")
         .groupBy("model")

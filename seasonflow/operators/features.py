@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seasonflow.functions import calendar
+from seasonflow.functions.cleaning import per_cent
 from seasonflow.operators.ordering import BLOCK_ROWS, over_series, with_global_position
 from seasonflow.spec import SeriesSpec
 
@@ -206,7 +207,15 @@ def correlations(df: DataFrame, y: str = "y", features: Sequence[str] | None = N
     """
     names = [f for f in (features or NUMERIC) if f in df.columns]
     valid = df.where(F.col(y).isNotNull())
-    one = valid.agg(*[F.corr(F.col(f).cast("double"), F.col(y).cast("double")).alias(f) for f in names])
+    target = F.col(y).cast("double")
+
+    def r(name: str) -> Column:
+        # F.corr divides by zero on a constant column; here that gives null
+        x = F.col(name).cast("double")
+        spread = F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(F.when(x.isNotNull(), target)))
+        return F.try_divide(F.covar_pop(x, target), spread)
+
+    one = valid.agg(*[r(f).alias(f) for f in names])
     tidy = one.select(
         F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("r")) for f in names]))
     ).where(F.col("r").isNotNull() & ~F.isnan("r"))
@@ -219,7 +228,7 @@ def null_history(df: DataFrame) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(any_null).alias("rows_with_null"),
-        (F.count_if(any_null) / F.count(F.lit(1)) * 100).alias("null_pct"),
+        per_cent(F.count_if(any_null), F.count(F.lit(1))).alias("null_pct"),
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seasonflow.functions.cleaning import half_even
+from seasonflow.functions.cleaning import half_even, per_cent
 from seasonflow.operators.evaluate import ACTIVE_FROM, BASELINE, LEAST_ROWS
 from seasonflow.spec import SeriesSpec
 
@@ -65,7 +65,7 @@ def annual_totals(df: DataFrame, months: tuple[int, int] = (1, 9)) -> DataFrame:
         .agg((total("y") / 1e6).alias("millions"))
     )
     before = F.lag("millions").over(Window.orderBy("year"))  # one row per year
-    return years.withColumn("change_pct", (F.col("millions") / before - 1) * 100)
+    return years.withColumn("change_pct", per_cent(F.col("millions") - before, before))
 
 
 def monthly_totals(df: DataFrame, first: str, last: str, y: str = "real") -> DataFrame:
@@ -129,12 +129,12 @@ def key_performance(preds: DataFrame) -> DataFrame:
     cells = preds.groupBy("key", "hour").agg(
         F.sum("abs_err").alias("sae"), F.count("abs_err").alias("n"), F.sum("real").alias("s"), F.count("real").alias("c")
     )
-    hours = cells.groupBy("hour").agg((F.sum("s") / F.sum("c")).alias("mean"))
+    hours = cells.groupBy("hour").agg(F.try_divide(F.sum("s"), F.sum("c")).alias("mean"))
     keys = cells.groupBy("key").agg(F.coalesce(F.sum("s"), F.lit(0.0)).alias("sum"))
     peak_hour = hours.where(F.col("mean").isNotNull()).orderBy(F.desc("mean"), "hour").limit(1).select("hour").scalar()
     busiest = keys.orderBy(F.desc("sum"), "key").limit(1).select("key").scalar()
     return cells.agg(
-        (F.sum("sae") / F.sum("n")).alias("mae"), F.coalesce(F.sum("s"), F.lit(0.0)).alias("total")
+        F.try_divide(F.sum("sae"), F.sum("n")).alias("mae"), F.coalesce(F.sum("s"), F.lit(0.0)).alias("total")
     ).select("mae", "total", peak_hour.alias("peak_hour"), busiest.alias("busiest_key"))
 
 
@@ -160,7 +160,7 @@ def holiday_comparison(by_holiday: DataFrame, model: str, baseline: str = BASELI
         "holiday",
         half_even(F.col("b"), 0).cast("int").alias("baseline_mae"),
         half_even(F.col("m"), 0).cast("int").alias("model_mae"),
-        half_even((F.col("b") - F.col("m")) / F.col("b") * 100, 1).alias("gain_pct"),
+        half_even(per_cent(F.col("b") - F.col("m"), F.col("b")), 1).alias("gain_pct"),
     )
 
 
@@ -174,7 +174,7 @@ def normal_and_holiday_mae(preds: DataFrame, holidays: DataFrame, models: Sequen
 
     def mae(inside: bool):
         here = F.col("is").isNotNull() if inside else F.col("is").isNull()
-        return F.sum(F.when(here, F.col("sae"))) / F.sum(F.when(here, F.col("n")))
+        return F.try_divide(F.sum(F.when(here, F.col("sae"))), F.sum(F.when(here, F.col("n"))))
 
     return marked.groupBy("model").agg(mae(False).alias("normal_mae"), mae(True).alias("holiday_mae"))
 
@@ -195,7 +195,7 @@ def holiday_day_table(preds: DataFrame, holidays: DataFrame, model: str, baselin
         )
         .join(F.broadcast(holidays.select("ds", "holiday")), "ds", "left")
     )
-    normal = dated.where(F.col("holiday").isNull()).agg(F.sum("s") / F.sum("c")).scalar()
+    normal = dated.where(F.col("holiday").isNull()).agg(F.try_divide(F.sum("s"), F.sum("c"))).scalar()
     is_base = F.col("model") == baseline
     days = (
         dated.where(F.col("holiday").isNotNull())
@@ -208,7 +208,7 @@ def holiday_day_table(preds: DataFrame, holidays: DataFrame, model: str, baselin
         )
         .where(F.col("n") >= LEAST_ROWS)
     )
-    share = F.col("mean") / normal * 100
+    share = per_cent(F.col("mean"), normal)
     return days.select(
         F.concat(F.date_format("ds", "dd/MM"), F.lit(" "), F.substring("holiday", 1, 25)).alias("day"),
         "baseline_mae",
