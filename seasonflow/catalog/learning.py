@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from seasonflow.catalog.base import holidays, query
 from seasonflow.catalog.features import featured
-from seasonflow.catalog.serving import _valid, serving_state
+from seasonflow.catalog.serving import serving_state
 from seasonflow.operators import evaluate, features, split
 from seasonflow.plans import forecasters as f
 from seasonflow.plans import reports, scoring
@@ -159,7 +159,9 @@ def _live_model(spark, folder):
 @query()
 def live_scores(spark, folder):
     """Every valid request scored from features built for its date."""
-    found = scoring.request_features(_valid(spark, folder), serving_state(spark, folder))
+    state = serving_state(spark, folder)
+    valid = scoring.accepted(scoring.validate(tables.order_requests(spark, folder), state.keys))
+    found = scoring.request_features(valid, state)
     return scoring.live_scores(found, _live_model(spark, folder))
 
 

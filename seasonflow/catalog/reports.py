@@ -20,7 +20,7 @@ _EVENTS = """ev AS (SELECT CAST(ts AS DATE) AS ds, event_type AS key, CAST(hour(
 @query(
     f"""WITH {_EVENTS}, grid AS (SELECT key, CAST(range AS INTEGER) AS hour_of_day FROM (SELECT DISTINCT key FROM ev), range(4, 24))
 SELECT g.key, g.hour_of_day, """
-    + ", ".join(f"round(coalesce(avg(y) FILTER (WHERE isodow(ds) = {d + 1}), 0), 4) AS dow_{d}" for d in range(7))
+    + ", ".join(f"round(coalesce(avg(y) FILTER (WHERE isodow(ds) = {d + 1}), 0), 6) AS dow_{d}" for d in range(7))
     + " FROM grid g LEFT JOIN ev ON ev.key = g.key AND ev.hour = g.hour_of_day GROUP BY 1, 2"
 )
 def demand_heatmap(spark, folder):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from seasonflow.catalog.base import LONG, PREDICTIONS, holidays, predictions, query, rounded
 from seasonflow.operators import asof, features
 from seasonflow.plans import scoring
+from seasonflow.session import settle
 from seasonflow.sources import tables
 from seasonflow.sources.tables import RETAIL
 
@@ -106,13 +107,13 @@ def prediction_lookup(spark, folder):
 
 
 def serving_state(spark, folder) -> scoring.ServingState:
-    long = tables.line_long(spark, folder)
+    long = settle(tables.line_long(spark, folder))
     return scoring.ServingState(
         history=long,
-        stats=asof.history_stats(long, bounded=True),
-        means=asof.weekday_means(long),
-        lines=long.select("key", "kind").distinct(),
-        keys=_codes(spark, folder),
+        stats=settle(asof.history_stats(long, bounded=True)),
+        means=settle(asof.weekday_means(long)),
+        lines=settle(long.select("key", "kind").distinct()),
+        keys=features.label_codes(long, "key"),
         kinds=features.label_codes(long, "kind"),
         holidays=holidays(spark),
         rail_kind=RETAIL.rail_kind,
@@ -132,7 +133,9 @@ JOIN roll ON roll.ds = r.ds AND roll.key = r.key AND roll.hour = r.hour
 LEFT JOIN wm ON wm.key = r.key AND wm.hour = r.hour AND wm.weekday = isodow(r.ds) - 1 WHERE r.error IS NULL"""
 )
 def request_features(spark, folder):
-    found = scoring.request_features(_valid(spark, folder), serving_state(spark, folder))
+    state = serving_state(spark, folder)
+    valid = scoring.accepted(scoring.validate(tables.order_requests(spark, folder), state.keys))
+    found = scoring.request_features(valid, state)
     lags = [f"lag_{k}d" for k in asof.DAYS]
     kept = found.select("request_id", "key", "ds", "hour", *lags, "lags_available", "rolling_28d", "weekday", "day_of_year")
     return rounded(kept, 7, *lags, "rolling_28d")

@@ -13,8 +13,6 @@ from seasonflow.operators.split import Fold, fold_rows
 from seasonflow.session import settle
 from seasonflow.spec import SeriesSpec
 
-BROADCAST_ROWS = 500_000  # a fitted table up to this many rows is broadcast
-
 
 def clip(value: Column) -> Column:
     return F.greatest(value, F.lit(0.0))
@@ -29,12 +27,6 @@ def seasonal_means(df: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFrame:
     )
 
 
-def with_small_side(big: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-    """Join a materialised table: broadcast behind a count of its rows, shuffled beyond it."""
-    side = F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
-    return big.join(side, list(on), how)
-
-
 @dataclass(frozen=True)
 class SeasonalMeanModel:
     table: DataFrame
@@ -45,8 +37,12 @@ class SeasonalMeanModel:
         return self.table.agg(F.avg("cell_mean").alias("level"))
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Adds ``pred``, never negative."""
-        joined = with_small_side(df, self.table, [*self.spec.series, "weekday"])
+        """Adds ``pred``, never negative.
+
+        The table is stored, so its size is known: under the session's threshold it
+        is broadcast, beyond it the join shuffles and large cells are split.
+        """
+        joined = df.join(self.table, [*self.spec.series, "weekday"], "left")
         pred = F.coalesce(F.col("cell_mean"), self.level().scalar())
         return joined.withColumn("pred", clip(pred)).drop("cell_mean")
 
@@ -86,8 +82,11 @@ def fold_means(df: DataFrame, folds: Sequence[Fold], spec: SeriesSpec = SeriesSp
 
 
 def fold_forecasts(df: DataFrame, folds: Sequence[Fold], spec: SeriesSpec = SeriesSpec()) -> DataFrame:
-    """Test rows of every fold with the prediction of the fold's own means."""
-    means = fold_means(df, folds, spec)
+    """Test rows of every fold with the prediction of the fold's own means.
+
+    The means are fitted, and stored, before the test rows meet them.
+    """
+    means = settle(fold_means(df, folds, spec))
     level = means.groupBy("fold").agg(F.avg("cell_mean").alias("_level"))
     return (
         fold_rows(df, folds, "test", spec.ds)

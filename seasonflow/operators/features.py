@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from seasonflow.functions import calendar
 from seasonflow.functions.cleaning import per_cent
 from seasonflow.operators.ordering import BLOCK_ROWS, over_series, with_global_position
+from seasonflow.session import settle
 from seasonflow.spec import SeriesSpec
 
 LAGS = (1, 7, 14)
@@ -127,9 +128,14 @@ def operating_cells(df: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFrame
     return df.where(F.col(spec.y).isNotNull()).groupBy(*spec.series).agg(F.count(F.lit(1)).alias("n"))
 
 
-def zero_fill(df: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFrame:
-    """Zero only where the series never has a value; other gaps stay null."""
-    cells = operating_cells(df, spec).select(*spec.series, F.lit(True).alias("_operates"))
+def zero_fill(df: DataFrame, spec: SeriesSpec = SeriesSpec(), source: DataFrame | None = None) -> DataFrame:
+    """Zero only where the series never has a value; other gaps stay null.
+
+    ``source`` may name the table ``df`` was derived from, to spare its derivation.
+    The operating series are stored first: a table of known size is broadcast where
+    it is small, and the rows are not shuffled for it.
+    """
+    cells = settle(operating_cells(df if source is None else source, spec).select(*spec.series, F.lit(True).alias("_operates")))
     missing = F.col(spec.y).isNull() & F.col("_operates").isNull()
     return (
         df.join(cells, spec.series, "left")
@@ -184,7 +190,7 @@ def build_features(
     """The featured table and the two label maps. History comes before zero-fill."""
     df = add_calendar(trusted, spec, trend_base)
     df = add_history(df, spec, bounded=bounded)
-    df = zero_fill(df, spec)
+    df = zero_fill(df, spec, source=trusted)
     df = add_holidays(df, holidays, spec)
     df = add_cyclic(df)
     df, keys, kinds = add_encoding(df, rail_kind, spec, codes)

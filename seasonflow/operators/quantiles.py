@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from seasonflow.session import settle
+
 
 def exact_quantile(
     df: DataFrame, value: str, q: float, by: Sequence[str] = (), accuracy: int = 100_000, name: str = "quantile"
@@ -38,7 +40,8 @@ def exact_quantile(
     )
     if groups:
         same = [F.col(f"{g}").eqNullSafe(F.col(f"_b{g}")) for g in groups]
-        side = bracket.select(*[F.col(g).alias(f"_b{g}") for g in groups], "_k", "_part", "_n", "_low", "_high")
+        # stored, so that its size is known and the rows are not shuffled to meet it
+        side = settle(bracket.select(*[F.col(g).alias(f"_b{g}") for g in groups], "_k", "_part", "_n", "_low", "_high"))
         placed = rows.join(side, same).drop(*[f"_b{g}" for g in groups])
     else:
         one = bracket.select(F.struct("_k", "_part", "_n", "_low", "_high")).scalar()

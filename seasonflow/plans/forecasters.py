@@ -221,28 +221,31 @@ def predict_per_key(models: Mapping[str, PipelineModel], df: DataFrame, fallback
     return whole
 
 
-def fit_ridge_per_key(train: DataFrame, features: Sequence[str], alpha: float = 1.0) -> DataFrame:
+def fit_ridge_per_key(
+    train: DataFrame, features: Sequence[str], alpha: float = 1.0, part_rows: int = 200_000
+) -> DataFrame:
     """``key, weights``: closed-form ridge on log1p for every key, however many.
 
-    Each task sums the moment matrix of every key it sees; only these sums are
-    shuffled, at most one per task and key, so a large key costs no large task.
+    Keys are counted first; a key of more than ``part_rows`` rows is cut into parts
+    of about that size. Each part yields its moment matrix, and the matrices of a key
+    are summed entry by entry, so a large key makes no large task.
     """
-    size = len(features) + 1
-
-    def moments(batches):
-        held: dict[str, np.ndarray] = {}
-        for rows in batches:
-            x = rows[list(features)].to_numpy(dtype=float)
-            x = np.column_stack([np.ones(len(x)), np.nan_to_num(x), np.log1p(rows["y"].to_numpy(dtype=float))])
-            for key, at in rows.groupby("key").indices.items():
-                held[key] = held.get(key, 0.0) + x[at].T @ x[at]
-        if held:
-            yield pd.DataFrame({"key": list(held), "m": [m.ravel().tolist() for m in held.values()]})
+    size = len(features) + 2
+    upper = np.triu_indices(size)
+    rows = train.select("key", "y", *[F.col(c).cast("double").alias(c) for c in features]).na.drop(subset=["key", "y"])
+    counted = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / part_rows).alias("_parts"))
+    place = F.pmod(F.xxhash64("y", *features), F.col("_parts"))
+
+    def moments(part: pd.DataFrame) -> pd.DataFrame:
+        x = np.nan_to_num(part[list(features)].to_numpy(dtype=float))
+        full = np.column_stack([np.ones(len(x)), x, np.log1p(part["y"].to_numpy(dtype=float))])
+        return pd.DataFrame({"key": [part["key"].iloc[0]], "m": [(full.T @ full)[upper].tolist()]})
 
     summed = (
-        train.select("key", "y", *features)
-        .na.drop(subset=["key", "y"])
-        .mapInPandas(moments, "key string, m array<double>")
+        rows.join(settle(counted), "key")
+        .withColumn("_place", place)
+        .groupBy("key", "_place")
+        .applyInPandas(moments, "key string, m array<double>")
         .select("key", F.posexplode("m").alias("at", "v"))
         .groupBy("key", "at")
         .agg(F.sum("v").alias("v"))
@@ -251,15 +254,17 @@ def fit_ridge_per_key(train: DataFrame, features: Sequence[str], alpha: float =
     )
 
     def solve(batches):
-        for rows in batches:
+        for batch in batches:
             weights = []
-            for flat in rows["m"]:
-                m = np.asarray(flat, dtype=float).reshape(size + 1, size + 1)
+            for flat in batch["m"]:
+                m = np.zeros((size, size))
+                m[upper] = flat
                 n, mean = m[0, 0], m[0, 1:] / m[0, 0]
-                centred = m[1:, 1:] - n * np.outer(mean, mean)
-                slope = np.linalg.solve(centred[:-1, :-1] + alpha * np.eye(size - 1), centred[:-1, -1])
+                inner = m[1:, 1:]
+                centred = inner + np.triu(inner, 1).T - n * np.outer(mean, mean)
+                slope = np.linalg.solve(centred[:-1, :-1] + alpha * np.eye(size - 2), centred[:-1, -1])
                 weights.append([float(mean[-1] - slope @ mean[:-1]), *slope.tolist()])
-            yield pd.DataFrame({"key": rows["key"], "weights": weights})
+            yield pd.DataFrame({"key": batch["key"], "weights": weights})
 
     return summed.mapInPandas(solve, "key string, weights array<double>")
 

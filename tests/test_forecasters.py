@@ -99,7 +99,7 @@ def test_one_model_per_key(rows):
 
 def test_ridge_for_any_number_of_keys(rows):
     names, alpha = ["a", "b"], 2.0
-    weights = {r["key"]: r["weights"] for r in f.fit_ridge_per_key(train(rows).repartition(5), names, alpha).collect()}
+    weights = {r["key"]: r["weights"] for r in f.fit_ridge_per_key(train(rows), names, alpha, part_rows=50).collect()}
     pdf = train(rows).toPandas()
     for key, part in pdf.groupby("key"):
         x, y = np.nan_to_num(part[names].to_numpy()), np.log1p(part["y"].to_numpy())
