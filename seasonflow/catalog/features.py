@@ -17,6 +17,7 @@ from seasonflow.catalog.base import (
 )
 from seasonflow.operators import features, split
 from seasonflow.operators.ordering import with_global_position
+from seasonflow.session import settle
 from seasonflow.sources import tables
 from seasonflow.sources.tables import RETAIL
 from seasonflow.spec import DAILY, SeriesSpec
@@ -321,7 +322,7 @@ def fold_sizes(spark, folder):
 SELECT fold, ds, key, hour, pos >= floor(n * 0.8) AS is_val FROM placed"""
 )
 def positional_tail(spark, folder):
-    rows = split.usable(history(spark, folder)).select("ds", "key", "hour")
+    rows = settle(split.usable(history(spark, folder)).select("ds", "key", "hour"))
     return split.tail_split(rows, RETAIL.folds)
 
 

@@ -108,13 +108,14 @@ def prediction_lookup(spark, folder):
 
 def serving_state(spark, folder) -> scoring.ServingState:
     long = settle(tables.line_long(spark, folder))
+    lines = settle(long.select("key", "kind").distinct())
     return scoring.ServingState(
         history=long,
         stats=settle(asof.history_stats(long, bounded=True)),
         means=settle(asof.weekday_means(long)),
-        lines=settle(long.select("key", "kind").distinct()),
-        keys=features.label_codes(long, "key"),
-        kinds=features.label_codes(long, "kind"),
+        lines=lines,
+        keys=features.label_codes(lines, "key"),
+        kinds=features.label_codes(lines, "kind"),
         holidays=holidays(spark),
         rail_kind=RETAIL.rail_kind,
         trend_base=RETAIL.trend_base,

@@ -128,14 +128,20 @@ def operating_cells(df: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFrame
     return df.where(F.col(spec.y).isNotNull()).groupBy(*spec.series).agg(F.count(F.lit(1)).alias("n"))
 
 
-def zero_fill(df: DataFrame, spec: SeriesSpec = SeriesSpec(), source: DataFrame | None = None) -> DataFrame:
-    """Zero only where the series never has a value; other gaps stay null.
+def series_directory(df: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFrame:
+    """``key, hour, kind, n``: every series and how many values it has, stored.
 
-    ``source`` may name the table ``df`` was derived from, to spare its derivation.
-    The operating series are stored first: a table of known size is broadcast where
-    it is small, and the rows are not shuffled for it.
+    One pass over the rows serves the zero-fill and both label maps, and as a stored
+    table its size is known: it is broadcast only where it is small.
     """
-    cells = settle(operating_cells(df if source is None else source, spec).select(*spec.series, F.lit(True).alias("_operates")))
+    return settle(df.groupBy(*spec.series, spec.kind).agg(F.count(spec.y).alias("n")))
+
+
+def zero_fill(df: DataFrame, spec: SeriesSpec = SeriesSpec(), directory: DataFrame | None = None) -> DataFrame:
+    """Zero only where the series never has a value; other gaps stay null."""
+    if directory is None:
+        directory = settle(operating_cells(df, spec))
+    cells = directory.where(F.col("n") > 0).select(*spec.series, F.lit(True).alias("_operates")).distinct()
     missing = F.col(spec.y).isNull() & F.col("_operates").isNull()
     return (
         df.join(cells, spec.series, "left")
@@ -152,7 +158,7 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
 
     Fitted once and kept; a null value gets no code.
     """
-    values = df.select(F.col(column).alias("value")).where(F.col("value").isNotNull()).distinct()
+    values = settle(df.select(F.col(column).alias("value")).where(F.col("value").isNotNull()).distinct())
     return with_global_position(values, ["value"], "code").select("value", F.col("code").cast("int"))
 
 
@@ -190,9 +196,11 @@ def build_features(
     """The featured table and the two label maps. History comes before zero-fill."""
     df = add_calendar(trusted, spec, trend_base)
     df = add_history(df, spec, bounded=bounded)
-    df = zero_fill(df, spec, source=trusted)
+    directory = series_directory(trusted, spec)
+    df = zero_fill(df, spec, directory)
     df = add_holidays(df, holidays, spec)
     df = add_cyclic(df)
+    codes = codes or (label_codes(directory, spec.key), label_codes(directory, spec.kind))
     df, keys, kinds = add_encoding(df, rail_kind, spec, codes)
     return add_interactions(df), keys, kinds
 
