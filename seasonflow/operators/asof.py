@@ -72,8 +72,8 @@ def history_stats(
             "_s7": F.stddev_pop(spec.y).over(last7),
         }
 
-    rows = over_series(known, spec.series, spec.ds, order, 27, build, bounded)
-    last = F.max_by(F.struct("_m7", "_m28", "_s7"), F.struct(*order) if order else F.col(spec.ds))
+    rows = over_series(known, spec.series, spec.ds, order, 27, build, bounded, position="_at")
+    last = F.max_by(F.struct("_m7", "_m28", "_s7"), "_at")
     ends = rows.groupBy(*spec.row_id).agg(
         last.alias("_last"), F.count(F.lit(1)).alias("_rows"), F.sum(spec.y).alias("_sum")
     )

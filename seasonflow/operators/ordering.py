@@ -40,35 +40,6 @@ def with_global_position(df: DataFrame, order: Sequence[str], name: str = "posit
     )
 
 
-def with_series_position(
-    df: DataFrame, series: Sequence[str], bucket: str, order: Sequence[str], name: str = "position"
-) -> DataFrame:
-    """Row number (from 0) inside each series ordered by (bucket, order).
-
-    Rows are counted per (series, bucket) with map-side combining, the counts are
-    summed along each series, and rows are numbered only inside their bucket.
-    """
-    cell = [*series, bucket]
-    along = Window.partitionBy(*series).orderBy(*last_nulls([bucket]))
-    starts = (
-        df.groupBy(*cell)
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn(
-            "_start",
-            F.coalesce(F.sum("_size").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        )
-        .select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(cell)], "_start")
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"_c{i}")) for i, c in enumerate(cell)]
-    inside = Window.partitionBy(*cell).orderBy(*last_nulls(order or [bucket]))
-    numbered = df.withColumn("_row", F.row_number().over(inside))
-    return (
-        numbered.join(starts, same)
-        .withColumn(name, F.col("_start") + F.col("_row") - 1)
-        .drop("_row", "_start", *[f"_c{i}" for i in range(len(cell))])
-    )
-
-
 def over_series(
     df: DataFrame,
     series: Sequence[str],
@@ -78,29 +49,32 @@ def over_series(
     build: Callable[[Window], dict[str, Column]],
     bounded: bool = False,
     block_rows: int = BLOCK_ROWS,
+    position: str | None = None,
 ) -> DataFrame:
     """Add window columns that look at most ``reach`` rows back in a series.
 
     ``bounded=True`` states that (series, bucket) is unique, so that a series is no
-    longer than the calendar: one plain window, one shuffle. Otherwise a series may
-    hold any share of the rows; it is cut into blocks of ``block_rows`` rows, each
-    with the ``reach`` rows before it, and blocks are spread over the tasks.
+    longer than the calendar: one plain window, one shuffle. Otherwise a series, or
+    one date of it, may hold any share of the rows: the rows are put in order by a
+    distributed sort and cut into blocks of ``block_rows``, each with the ``reach``
+    rows before it, and blocks are spread over the tasks.
+
+    ``position`` names a column that tells rows of one (series, bucket) in order.
     """
     if bounded:
         window = Window.partitionBy(*series).orderBy(*last_nulls([bucket, *order]))
-        return df.withColumns(build(window))
+        added = df.withColumns(build(window))
+        return added.withColumn(position, F.lit(0).cast("long")) if position else added
     if reach >= block_rows:
         raise ValueError("a block must be longer than the reach of the window")
-    placed = with_series_position(df, series, bucket, order, "_position")
-    block = F.floor(F.col("_position") / block_rows)
+    placed = with_global_position(df, [*series, bucket, *order], "_position")
     near_end = F.col("_position") % block_rows >= block_rows - reach
-    copies = placed.withColumn("_home", block).withColumn(
+    copies = placed.withColumn("_home", F.floor(F.col("_position") / block_rows)).withColumn(
         "_block",
         F.explode(F.when(near_end, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))),
     )
     window = Window.partitionBy(*series, "_block").orderBy("_position")
-    return (
-        copies.withColumns(build(window))
-        .where(F.col("_block") == F.col("_home"))
-        .drop("_position", "_home", "_block")
-    )
+    own = copies.withColumns(build(window)).where(F.col("_block") == F.col("_home"))
+    if position:
+        own = own.withColumn(position, F.col("_position"))
+    return own.drop("_position", "_home", "_block")
