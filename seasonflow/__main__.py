@@ -1,4 +1,7 @@
-"""``spark-submit -m seasonflow <raw csv> <work folder> [--publish <folder>]``."""
+"""``spark-submit -m seasonflow <raw csv> <work folder> [--publish <folder>]``.
+
+``--cv`` and ``--tune N`` use the featured table that an earlier run left in the work folder.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +10,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from seasonflow.plans import flow
+from seasonflow.plans.forecasters import LIGHTGBM
 from seasonflow.spec import TRANSIT
 
 
@@ -16,8 +20,17 @@ def main() -> None:
     options.add_argument("root", help="folder for the stored tables and models")
     options.add_argument("--publish", help="folder that receives the published tables")
     options.add_argument("--dates", choices=["by_rule", "two_pass"], default="by_rule")
+    options.add_argument("--cv", action="store_true", help="walk-forward validation only")
+    options.add_argument("--tune", type=int, metavar="N", help="search with N trials only")
     chosen = options.parse_args()
     spark = SparkSession.builder.appName("seasonflow").getOrCreate()
+    if chosen.cv:
+        flow.walk_forward_step(spark, chosen.root, TRANSIT, LIGHTGBM).show(50, False)
+        return
+    if chosen.tune:
+        for table in flow.tuning_step(spark, chosen.root, TRANSIT, trials=chosen.tune):
+            table.show(500, False)
+        return
     flow.run(spark, chosen.raw, chosen.root, TRANSIT, policy=chosen.dates, target=chosen.publish).show(50, False)
 
 

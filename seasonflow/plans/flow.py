@@ -16,6 +16,7 @@ from seasonflow.functions.holidays import holiday_table
 from seasonflow.operators import audit, evaluate, features, ingest, split
 from seasonflow.operators.baseline import SeasonalMean
 from seasonflow.plans import forecasters, reports
+from seasonflow.session import settle
 from seasonflow.sources import readers, sinks
 from seasonflow.sources.sinks import Artefact
 from seasonflow.spec import Profile, SeriesSpec
@@ -118,6 +119,43 @@ def model_step(
     return stored, metrics
 
 
+def ablation_step(
+    spark: SparkSession, root: str, profile: Profile, settings: forecasters.Boosting, without: str = "day_of_year"
+) -> DataFrame | None:
+    """Where the per-key models do not beat the seasonal mean: does a feature leak?"""
+    stored = predictions(spark, root).where(F.col("model").isin("Baseline", "LGB_PerLinea"))
+    mae = {r["model"]: r["mae"] for r in evaluate.metrics_by(stored).collect()}  # two rows
+    if mae["LGB_PerLinea"] <= mae["Baseline"]:
+        return None
+    df = featured(spark, root)
+    rows = split.temporal_split(df, profile.test_from, profile.test_until, profile.val_from)
+    return forecasters.ablation(rows, features.feature_columns(df), settings, without)
+
+
+def walk_forward_step(spark: SparkSession, root: str, profile: Profile, settings: forecasters.Boosting) -> DataFrame:
+    """Summary of the seasonal mean and a booster over the profile's folds."""
+    df = featured(spark, root)
+    found = forecasters.walk_forward(split.usable(df), profile.folds, features.feature_columns(df), settings)
+    return evaluate.cv_summary(settle(found))
+
+
+def tuning_step(
+    spark: SparkSession,
+    root: str,
+    profile: Profile,
+    space: forecasters.SearchSpace = forecasters.SearchSpace(),
+    trials: int = 50,
+    seed: int = 42,
+) -> tuple[DataFrame, DataFrame]:
+    """Trials over the last two folds, and the default against the best settings."""
+    df = featured(spark, root)
+    names = features.feature_columns(df)
+    table, best = forecasters.search(split.usable(df), profile.folds[-2:], names, space, trials, seed)
+    rows = split.temporal_split(df, profile.test_from, profile.test_until, profile.val_from)
+    holidays = holiday_table(spark, profile.years)
+    return table, forecasters.verdict(rows, holidays, names, space.base, best)
+
+
 def predictions(spark: SparkSession, root: str) -> DataFrame:
     return readers.read_parquet(spark, f"{root}/predictions")
 

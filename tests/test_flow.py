@@ -1,5 +1,6 @@
 """The whole run on a small raw file, and batch against stream."""
 
+from dataclasses import replace
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from seasonflow.functions.holidays import holiday_table
 from seasonflow.operators import asof, features
 from seasonflow.plans import flow, scoring
+from seasonflow.plans.forecasters import SearchSpace
 from seasonflow.sources import readers, sinks
 from seasonflow.spec import TRANSIT
 from seasonflow.streaming.scoring import score_stream
@@ -49,6 +51,15 @@ def test_whole_run_and_serving(spark, folder):
     assert audits["total_mismatches"].first()["mismatches"] == 424
     assert audits["overview"].first()["rows"] == got["trusted"][1]
 
+    quick = replace(effort.light, rounds=2, depth=3)
+    summary = {r["model"]: r["folds"] for r in flow.walk_forward_step(spark, f"{folder}/work", TRANSIT, quick).collect()}
+    assert summary == {"Baseline": 1, "LightGBM": 1}  # only the last fold has rows to train on
+    space = SearchSpace(depth=(2, 3), rounds=(2, 2), base=quick)
+    trials, verdict = flow.tuning_step(spark, f"{folder}/work", TRANSIT, space, trials=1)
+    assert trials.count() == 1 and {r["model"] for r in verdict.collect()} == {"default", "tuned"}
+    ablation = flow.ablation_step(spark, f"{folder}/work", TRANSIT, quick)
+    assert (ablation is None) == (by_model["LGB_PerLinea"] <= by_model["Baseline"])
+
     encoders = spark.read.json(f"{folder}/work/encoders")
     state = scoring.ServingState(
         history=trusted,
