@@ -189,7 +189,8 @@ def judged(rows: DataFrame, keys: tuple[str, ...] = ("lang", "source")) -> DataF
 
     Estimates rest on the rows that pass the base rules; every row is measured.
     """
-    grouped = settle(_with_groups(vectors(rows).withColumn("base_failed", base_failed()), keys))
+    measured = settle(vectors(rows).withColumn("base_failed", base_failed()))  # texts are read once
+    grouped = settle(_with_groups(measured, keys))
     sound = grouped.where(~F.col("base_failed")).select("__group", *VECTOR)
     estimates = settle(_first_estimates(sound))
     for _ in range(STEPS):
