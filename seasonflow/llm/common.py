@@ -101,3 +101,17 @@ def covered(starts: np.ndarray, lengths: np.ndarray | int, n: int) -> np.ndarray
     np.add.at(change, starts, 1)
     np.add.at(change, starts + lengths, -1)
     return np.cumsum(change[:n]) > 0
+
+
+def bit_map(rows: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Which remainders of a long column modulo ``2**bits`` occur, as one boolean for each.
+
+    The marks are joined in Spark: at most ``2**(bits - 6)`` numbers reach the driver.
+    """
+    place = F.pmod(column, F.lit(1 << bits))
+    mark = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+    words = rows.groupBy(F.floor(place / 64).cast("int").alias("word")).agg(F.bit_or(mark).alias("marks")).collect()
+    found = np.zeros(1 << (bits - 6), dtype=np.uint64)
+    for r in words:
+        found[r.word] = np.uint64(r.marks & 0xFFFFFFFFFFFFFFFF)
+    return np.unpackbits(found.view(np.uint8), bitorder="little").view(bool)

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seasonflow.llm.common import WordHashes, by_batch, covered, fresh, shingle_hashes, table
+from seasonflow.llm.common import WordHashes, bit_map, by_batch, shingle_hashes, table
 from seasonflow.llm.registry import query
 from seasonflow.session import settle
 
@@ -78,25 +78,12 @@ def with_prefix(windows: DataFrame) -> DataFrame:
     return ranked.withColumn("nth", F.row_number().over(order)).where("nth = 1").select("item", "words", "token", "offset")
 
 
-def token_map(prefixes: DataFrame) -> np.ndarray:
-    """The bit map of all prefix tokens as bytes; at most 2**(MAP_BITS - 6) numbers reach the driver."""
-    place = F.pmod("token", F.lit(1 << MAP_BITS))
-    mark = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
-    rows = prefixes.groupBy(F.floor(place / 64).cast("int").alias("word")).agg(F.bit_or(mark).alias("marks")).collect()
-    bits = np.zeros(1 << (MAP_BITS - 6), dtype=np.uint64)
-    for r in rows:
-        bits[r.word] = np.uint64(r.marks & 0xFFFFFFFFFFFFFFFF)
-    return np.unpackbits(bits.view(np.uint8), bitorder="little").view(bool)
-
-
-def candidates(docs: DataFrame, prefixes: DataFrame, keys: list[str], text: str = "text", window: int = WINDOW, offsets: bool = False) -> DataFrame:
+def candidates(docs: DataFrame, prefixes: DataFrame, keys: list[str], text: str = "text", window: int = WINDOW) -> DataFrame:
     """For every row: keys, n_words and found, an array of possible hits: token, its place ``at``,
     the place ``first`` of the first word that travels along, and these words.
-
-    ``offsets`` adds ``places``: the ends of words in the text, for cutting them out.
     """
     spark = docs.sparkSession
-    known = spark.sparkContext.broadcast(np.packbits(token_map(prefixes), bitorder="little").tobytes())
+    known = spark.sparkContext.broadcast(np.packbits(bit_map(prefixes, "token", MAP_BITS), bitorder="little").tobytes())
     # windows shorter than a shingle have tokens of fewer words: which lengths there are is a small set
     sizes = sorted({r[0] for r in prefixes.select(F.least(F.size("words"), F.lit(SHINGLE))).distinct().collect()})
 
