@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from seasonflow.llm.bpe import token_stage
 from seasonflow.llm.common import table
+from seasonflow.llm.decontaminate import decontamination_stage
+from seasonflow.llm.pii import mask_stage
+from seasonflow.llm.quality import quality_stage
+from seasonflow.llm.simhash import near_duplicate_stage
 from seasonflow.session import scratch_path
 
-STAGES: list = []
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("simhash_near_dedup", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("pii_masking", mask_stage),
+    ("byte_bpe", token_stage),
+]
+#: Estimates, fingerprints and merges have no SQL: tests/llm compares with a brute-force version.
 ORACLE_SQL = None
 
 

@@ -16,10 +16,10 @@ import base64
 import hashlib
 import struct
 
+import numpy as np
 import regex
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from seasonflow.llm.common import by_batch, table
 from seasonflow.llm.registry import query
@@ -186,11 +186,8 @@ def decode(tokens: DataFrame, key: str = "doc_id", ids: str = "ids", vocabulary:
     return by_batch(tokens.select(key, ids), f"`{key}` {kind}, bytes binary", work)
 
 
-def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: bytes | None = None, pattern: str | None = None) -> DataFrame:
-    """key, n_tokens and the digests of a text's ids and of the bytes that they decode to.
-
-    One pass: the ids, several times as large as their digests, are not shuffled or stored.
-    """
+def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: bytes | None = None, pattern: str | None = None, with_ids: bool = False) -> DataFrame:
+    """key, n_tokens and the digests of a text's ids and of the bytes that they decode to, and the ids if wanted."""
     codec = _codec(docs.sparkSession, vocabulary, pattern)
     kind = docs.schema[key].dataType.simpleString()
 
@@ -198,18 +195,22 @@ def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabul
         own = codec()
 
         def step(keys, texts):
-            counts, ids, decoded = [], [], []
+            counts, ids, decoded, lists = [], [], [], []
             for text in texts:
                 groups = own.encode(text.as_py() or "")
                 joined = " ".join(groups)
                 counts.append(joined.count(" ") + 1 if joined else 0)
                 ids.append(hashlib.sha256(joined.encode()).hexdigest())
                 decoded.append(hashlib.sha256(own.decode(groups)).hexdigest())
-            return {key: keys, "n_tokens": counts, "ids_sha256": ids, "decoded_sha256": decoded}
+                if with_ids:
+                    lists.append(np.array(joined.split(), dtype=np.int32) if joined else np.empty(0, dtype=np.int32))
+            out = {key: keys, "n_tokens": counts, "ids_sha256": ids, "decoded_sha256": decoded}
+            return {**out, "ids": lists} if with_ids else out
 
         return step
 
-    return by_batch(docs.select(key, text), f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string", work)
+    schema = f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
+    return by_batch(docs.select(key, text), schema, work)
 
 
 @query("op5_byte_bpe")
@@ -219,6 +220,5 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's last stage: ids of every document that is left, and whether they decode to its text."""
-    digests = round_trip(docs)
-    return digests.select("doc_id", F.col("n_tokens"), "ids_sha256", "decoded_sha256")
+    """The pipeline's last stage: doc_id and tokens of every document that is left."""
+    return round_trip(docs, with_ids=True)

@@ -115,3 +115,23 @@ def bit_map(rows: DataFrame, column: str, bits: int) -> np.ndarray:
     for r in words:
         found[r.word] = np.uint64(r.marks & 0xFFFFFFFFFFFFFFFF)
     return np.unpackbits(found.view(np.uint8), bitorder="little").view(bool)
+
+
+def without(docs: DataFrame, rejected: DataFrame, content: dict[str, Column]) -> DataFrame:
+    """Rows of ``docs`` whose content is not among ``rejected``, which has the columns of ``content``.
+
+    A verdict that depends on content alone is looked up by content, so null and repeated ids are safe.
+    Nulls are equal here. Columns and their names stay as they are.
+    """
+    left, names = docs, {}
+    for name, value in content.items():
+        names[name] = fresh(left, f"left_{name}")
+        left = left.withColumn(names[name], value)
+    right = rejected.select(*(F.col(n).alias(fresh(left, f"right_{n}")) for n in content)).distinct()
+    match = [left[names[n]].eqNullSafe(right[r]) for n, r in zip(content, right.columns)]
+    return left.join(right, match, "left_anti").select(*docs.columns)
+
+
+def text_content(text: str = "text") -> dict[str, Column]:
+    """What tells texts apart: a hash and the length."""
+    return {"text_hash": F.xxhash64(text), "text_bytes": F.octet_length(text)}

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seasonflow.llm.common import WordHashes, bit_map, by_batch, shingle_hashes, table
+from seasonflow.llm.common import WordHashes, bit_map, by_batch, shingle_hashes, table, text_content, without
 from seasonflow.llm.registry import query
 from seasonflow.session import settle
 
@@ -159,3 +159,14 @@ def decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
     )
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text holds no window of the benchmark."""
+    content = text_content()
+    prefixes = settle(with_prefix(item_windows(table(spark, sf_dir, "benchmark"))))
+    keyed = docs.select("text", *(v.alias(n) for n, v in content.items()))
+    found = settle(candidates(keyed, prefixes, list(content)).where(F.size("found") > 0))
+    keys = [f"k{i}" for i in range(len(content))]
+    hit = occurrences(found, prefixes, keys).select(*(F.col(k).alias(n) for k, n in zip(keys, content)))
+    return without(docs, settle(hit.distinct()), content)

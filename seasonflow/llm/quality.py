@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seasonflow.llm.common import BLANKS, once, table
+from seasonflow.llm.common import BLANKS, once, table, text_content, without
 from seasonflow.llm.registry import query
 from seasonflow.session import settle
 
@@ -211,3 +211,12 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("distance", 3).alias("distance"),
     )
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the base rules and the estimates keep. A verdict depends on text, language and source."""
+    content = {**text_content(), "lang": F.col("lang"), "source": F.col("source")}
+    names = [n for n in content if n not in ("lang", "source")]
+    rows = docs.select("text", "lang", "source", *(content[n].alias(n) for n in names))
+    found = judged(statistics(rows).drop("text"))
+    return without(docs, found.where("NOT kept").select(*content), content)

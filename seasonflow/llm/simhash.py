@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonflow.llm.common import by_batch, table
+from seasonflow.llm.common import by_batch, fresh, table
 from seasonflow.llm.registry import query
 from seasonflow.session import settle
 
@@ -235,13 +235,14 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def grouped(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET) -> DataFrame:
-    """doc_id, fp and component_id (the least id of all documents that links reach) of every row."""
+    """doc_id, fp, root (a fingerprint of the component) and component_id (the least id of all
+    documents that links reach) of every row."""
     marks = settle(fingerprints(docs, shingle=shingle))
     distinct = settle(marks.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(distinct.select("fp"), budget)).withColumnRenamed("node", "fp")
     rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = settle(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
-    ids = settle(rooted.join(named, "root").select("fp", "component_id"))
+    ids = settle(rooted.join(named, "root").select("fp", "root", "component_id"))
     return marks.join(ids, "fp")
 
 
@@ -250,3 +251,26 @@ def simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Components of all documents."""
     found = grouped(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each component: the one that the component is named after.
+
+    The fingerprint, and the budget, are those of the operator. Repeated rows of that id, and rows
+    without an id in components without any, leave one row.
+    """
+    found = settle(grouped(docs.select("doc_id", "text")))
+    keepers = found.where("doc_id = component_id").groupBy("doc_id").count().withColumnRenamed("doc_id", "keeper")
+    named = docs.join(keepers.select("keeper"), docs["doc_id"] == F.col("keeper"), "left_semi")
+    if not keepers.where("count > 1").isEmpty():
+        named = named.dropDuplicates(["doc_id"])
+    if found.where("component_id IS NULL").isEmpty():
+        return named.select(*docs.columns)
+    # rows without an id are told apart by their fingerprints
+    mark = fresh(docs, "mark")
+    hashed = F.pandas_udf(lambda texts: texts.map(lambda t: np.uint64(fingerprint(t)).astype(np.int64)).astype("int64"), "long")
+    nameless = docs.where(docs["doc_id"].isNull()).withColumn(mark, hashed("text"))
+    roots = found.where("component_id IS NULL").select(F.col("fp").alias(mark), "root").distinct()
+    roots = roots.withColumnRenamed("root", fresh(nameless, "root"))
+    one = nameless.join(roots, mark).dropDuplicates([roots.columns[1]])
+    return named.select(*docs.columns).unionByName(one.select(*docs.columns))
