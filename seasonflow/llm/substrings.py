@@ -24,14 +24,15 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seasonflow.llm.common import WordHashes, bit_map, by_batch, covered, mixed, shingle_hashes, table
+from seasonflow.llm.common import bit_map, by_batch, mixed, shingle_hashes, table
 from seasonflow.llm.registry import query
 from seasonflow.session import settle
 
-WINDOW, ANCHOR = 20, 7
+WINDOW, ANCHOR = 20, 6
 #: Occurrences above which an anchor is lengthened to the whole window.
 HOT = 400
 #: Bits of the map of such anchors; anchors that share a bit are lengthened too, to no harm.
@@ -39,36 +40,87 @@ HOT_BITS = 22
 _NULL_ORDER = -(1 << 63)
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8").split()  # blanks are \x20 and \x09-\x0D
+#: Bytes of text that a task works on at a time; a longer text is a stretch of its own.
+STRETCH = 1 << 21
+_BLANKS = np.zeros(256, dtype=bool)
+_BLANKS[list(b" \t\n\x0b\x0c\r")] = True
+_TO_SPACE = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
+_BASE = 0x9E3779B97F4A7C15
+_LETTERS = mixed(np.arange(1, 257, dtype=np.uint64))
 
 
-class ByteHashes(WordHashes):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= self.bound:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+class Stretch:
+    """The words of some texts, one text after the other, as places in one buffer.
 
+    A word's hash is a polynomial of its bytes, taken from running sums over the buffer, so no word
+    becomes a Python object. Places of words and windows count through all texts of the stretch.
+    """
 
-def anchors(hashes: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """hash, place, first and last window of every anchor: windows in a row share one."""
-    grams, n = shingle_hashes(hashes, ANCHOR), len(hashes) - window + 1
-    if n <= 0:
-        none = np.empty(0, dtype=np.int64)
-        return np.empty(0, dtype=np.uint64), none, none, none
-    least, place = grams[:n].copy(), np.zeros(n, dtype=np.int64)
-    for j in range(1, window - ANCHOR + 1):
-        here = grams[j : j + n]
-        better = here < least
-        np.copyto(least, here, where=better)
-        place[better] = j
-    place += np.arange(n)
-    first = np.concatenate(([0], np.flatnonzero(place[1:] != place[:-1]) + 1))
-    last = np.concatenate((first[1:], [n])) - 1
-    return grams[place[first]], place[first], first, last
+    def __init__(self, texts: list[bytes]):
+        self.raw = b"".join(texts).translate(_TO_SPACE)
+        buffer = np.frombuffer(self.raw, dtype=np.uint8)
+        self.offsets = np.cumsum([0] + [len(t) for t in texts])
+        inside = np.concatenate(([False], ~_BLANKS[buffer], [False]))
+        begins, finishes = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
+        edges = np.unique(self.offsets[1:-1])  # a word does not go on in the next text
+        edges = edges[(edges > 0) & (edges < len(buffer))]
+        begins[edges] = inside[1:-1][edges]
+        finishes[edges - 1] = inside[1:-1][edges - 1]
+        self.starts, self.ends = np.flatnonzero(begins), np.flatnonzero(finishes) + 1
+        # the first word of each text, and the text of each word
+        self.first_word = np.searchsorted(self.starts, self.offsets)
+        self.text_of = np.repeat(np.arange(len(texts)), np.diff(self.first_word))
+        self.hashes = self._hashes(buffer)
+
+    def _hashes(self, buffer: np.ndarray) -> np.ndarray:
+        if not len(self.starts):
+            return np.empty(0, dtype=np.uint64)
+        powers = np.full(len(buffer) + 1, _BASE, dtype=np.uint64)
+        powers[0] = 1
+        powers = np.multiply.accumulate(powers)
+        sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_LETTERS[buffer] * powers[:-1], dtype=np.uint64)))
+        # words of one content at two places differ by a power of the base, which is divided out
+        inverse = np.full(len(buffer) + 1, pow(_BASE, -1, 1 << 64), dtype=np.uint64)
+        inverse[0] = 1
+        inverse = np.multiply.accumulate(inverse)
+        return mixed((sums[self.ends] - sums[self.starts]) * inverse[self.starts])
+
+    def anchors(self, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """hash, place, first and last window of every anchor: windows in a row share one."""
+        grams, n = shingle_hashes(self.hashes, ANCHOR), len(self.hashes) - window + 1
+        if n <= 0:
+            none = np.empty(0, dtype=np.int64)
+            return np.empty(0, dtype=np.uint64), none, none, none
+        least, place = grams[:n].copy(), np.zeros(n, dtype=np.int64)
+        for j in range(1, window - ANCHOR + 1):
+            here = grams[j : j + n]
+            better = here < least
+            np.copyto(least, here, where=better)
+            np.copyto(place, j, where=better)
+        whole = np.flatnonzero(self.text_of[:n] == self.text_of[window - 1 :])  # windows within one text
+        place = place[whole] + whole
+        new = np.concatenate(([True], place[1:] != place[:-1])) if len(place) else np.empty(0, dtype=bool)
+        begin = np.flatnonzero(new)
+        finish = np.concatenate((begin[1:], [len(place)]))[: len(begin)] - 1
+        return grams[place[begin]], place[begin], whole[begin], whole[finish]
+
+    def words(self, a: int, b: int) -> bytes:
+        """The words from place a to before b, joined by one space."""
+        part = self.raw[self.starts[a] : self.ends[b - 1]] if b > a else b""
+        exact = b <= a or len(part) == int((self.ends[a:b] - self.starts[a:b]).sum()) + b - a - 1
+        return part if exact else b" ".join(part.split())
+
+
+def stretches(texts: list[bytes]):
+    """Row range and stretch, over all rows."""
+    at = 0
+    while at < len(texts):
+        upto, size = at, 0
+        while upto < len(texts) and (upto == at or size + len(texts[upto]) <= STRETCH):
+            size += len(texts[upto])
+            upto += 1
+        yield at, upto, Stretch(texts[at:upto])
+        at = upto
 
 
 class SuffixAutomaton:
@@ -154,25 +206,58 @@ def _numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def _all_anchors(rows: DataFrame, window: int) -> DataFrame:
     def work():
-        hashes = ByteHashes()
-
         def step(ranks, ties, texts):
-            found, counts = [], []
-            for text in texts:
-                h, place, _, _ = anchors(hashes.of(words_of(text.as_py())), window)
-                found.append((h, place))
-                counts.append(len(h))
-            repeat = lambda c: np.repeat(c.to_numpy(zero_copy_only=False), counts)
-            return {
-                "anchor": np.concatenate([f[0] for f in found]).view(np.int64), "rank": repeat(ranks), "tie": repeat(ties),
-                "place": np.concatenate([f[1] for f in found]).astype(np.int32),
-            }
+            ranks, ties = (c.to_numpy(zero_copy_only=False) for c in (ranks, ties))
+            out = {"anchor": [], "rank": [], "tie": [], "place": []}
+            for a, b, part in stretches([t or b"" for t in texts.cast("binary").to_pylist()]):
+                h, place, _, _ = part.anchors(window)
+                own = part.text_of[place]
+                out["anchor"].append(h.view(np.int64))
+                out["rank"].append(ranks[a:b][own])
+                out["tie"].append(ties[a:b][own])
+                out["place"].append((place - part.first_word[own]).astype(np.int32))
+            return {k: np.concatenate(v) for k, v in out.items()}
 
         return step
 
     return by_batch(rows.select("rank", "tie", "text"), "anchor long, rank long, tie long, place int", work)
 
 
+def _compressed(rows: DataFrame) -> DataFrame:
+    """Texts as they go through a shuffle: half as large as under the shuffle's own compression."""
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def work():
+        compress = zstandard.ZstdCompressor(level=3).compress
+
+        def step(ids, ranks, ties, texts):
+            return {"id": ids, "rank": ranks, "tie": ties, "body": [compress(t or b"") for t in texts.cast("binary").to_pylist()]}
+
+        return step
+
+    return by_batch(rows.select("id", "rank", "tie", "text"), f"id {kind}, rank long, tie long, body binary", work)
+
+
+def _opened(bodies) -> list[bytes]:
+    expand = zstandard.ZstdDecompressor().decompress
+    return [expand(b) for b in bodies.to_pylist()]
+
+
+def _flat(lists, a: int, b: int) -> tuple[np.ndarray, object]:
+    """Row (from 0) and value of every entry of the lists of rows a to b; null lists are empty."""
+    part = lists.slice(a, b - a)
+    lengths = part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(b - a), lengths), part.flatten()
+
+
+def _repeated(part: Stretch, place: np.ndarray, once, a: int, b: int) -> np.ndarray:
+    """Which anchors occur more than once."""
+    row, value = _flat(once, a, b)
+    single = np.zeros(len(part.hashes) + 1, dtype=bool)
+    single[part.first_word[row] + value.to_numpy(zero_copy_only=False)] = True
+    return ~single[place]
+
+
 def _once_and_hot(found: DataFrame) -> DataFrame:
     """For each document the places of its anchors that occur once; beside them, under null ranks, hot anchors."""
     counts = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("rank").alias("rank"), F.min("tie").alias("tie"), F.min("place").alias("place"))
@@ -196,37 +281,35 @@ def _passages(rows: DataFrame, hot, window: int) -> DataFrame:
 
     def work():
         bits = np.frombuffer(sent.value, dtype=bool)
-        hashes, mask = ByteHashes(), np.uint64((1 << HOT_BITS) - 1)
+        mask = np.uint64((1 << HOT_BITS) - 1)
 
-        def step(ranks, ties, texts, once):
+        def step(ranks, ties, bodies, once):
             out = {"anchor": [], "passage": [], "rank": [], "tie": [], "start": []}
+            ranks, ties = ranks.to_pylist(), ties.to_pylist()
 
-            def put(anchor, passage, rank, tie, start):
-                for name, value in zip(out, (anchor, passage, rank, tie, start)):
+            def put(part, a, anchor, passage, window_at):
+                row = int(part.text_of[window_at])
+                values = (anchor, passage, ranks[a + row], ties[a + row], window_at - int(part.first_word[row]))
+                for name, value in zip(out, values):
                     out[name].append(value)
 
-            for rank, tie, text, single in zip(ranks.to_pylist(), ties.to_pylist(), texts, once):
-                words = words_of(text.as_py())
-                numbers = hashes.of(words)
-                h, place, first, last = anchors(numbers, window)
-                singles = np.asarray(single.values) if single.is_valid else np.empty(0, dtype=np.int64)
-                repeated = ~np.isin(place, singles)
-                if not repeated.any():
-                    continue
+            for a, b, part in stretches(_opened(bodies)):
+                h, place, first, last = part.anchors(window)
+                repeated = _repeated(part, place, once, a, b)
                 much = repeated & bits[h & mask]
                 for i in np.flatnonzero(repeated & ~much).tolist():
-                    a, b = int(first[i]), int(last[i])
-                    put(int(h[i].astype(np.int64)), b" ".join(words[a : b + window]), rank, tie, a)
+                    put(part, a, int(h[i].astype(np.int64)), part.words(int(first[i]), int(last[i]) + window), int(first[i]))
                 if much.any():
-                    whole, other = shingle_hashes(numbers, window).view(np.int64), shingle_hashes(mixed(numbers + np.uint64(1)), window)
+                    whole = shingle_hashes(part.hashes, window).view(np.int64)
+                    other = shingle_hashes(mixed(part.hashes + np.uint64(1)), window)
                     for i in np.flatnonzero(much).tolist():
                         for j in range(int(first[i]), int(last[i]) + 1):
-                            put(int(whole[j]), b"#" + other[j].tobytes(), rank, tie, j)
+                            put(part, a, int(whole[j]), b"#" + other[j].tobytes(), j)
             return out
 
         return step
 
-    return by_batch(rows.select("rank", "tie", "text", "once"), "anchor long, passage binary, rank long, tie long, start int", work)
+    return by_batch(rows.select("rank", "tie", "body", "once"), "anchor long, passage binary, rank long, tie long, start int", work)
 
 
 def _firsts(passages: DataFrame, window: int) -> DataFrame:
@@ -281,33 +364,43 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
     lists = _once_and_hot(_all_anchors(rows, window))
     hot = bit_map(lists.where("rank IS NULL").select(F.explode("hot").alias("anchor")), "anchor", HOT_BITS)
     once = lists.where("rank IS NOT NULL").select("rank", "tie", "once")
-    listed = rows.join(once, ["rank", "tie"], "left")
+    listed = _compressed(rows).join(once, ["rank", "tie"], "left")
     firsts = _firsts(_passages(listed, hot, window), window)
     first = settle(firsts.groupBy("rank", "tie").agg(F.collect_list(F.struct("start", "bits")).alias("first")))
     lined = listed.join(first, ["rank", "tie"], "left")
     kind = docs.schema[key].dataType.simpleString()
 
     def work():
-        hashes = ByteHashes()
-
-        def step(ids, texts, once, first):
+        def step(ids, bodies, once, first):
             out = {"id": ids, "n_words": [], "n_removed": [], "kept_sha256": [], "kept": []}
-            for text, single, own in zip(texts, once, first):
-                words = words_of(text.as_py())
-                _, place, begin, last = anchors(hashes.of(words), window)
-                singles = np.asarray(single.values) if single.is_valid else np.empty(0, dtype=np.int64)
-                repeats = np.repeat(~np.isin(place, singles), last - begin + 1)
-                for item in own.as_py() or ():
-                    for j in range(item["bits"].bit_length()):
-                        if item["bits"] >> j & 1:
-                            repeats[item["start"] + j] = False
-                gone = covered(np.flatnonzero(repeats), window, len(words))
-                kept = b" ".join([w for w, g in zip(words, gone.tolist()) if not g])
-                out["n_words"].append(len(words))
-                out["n_removed"].append(int(gone.sum()))
-                out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-                if with_text:
-                    out["kept"].append(kept.decode())
+            for a, b, part in stretches(_opened(bodies)):
+                _, place, begin, last = part.anchors(window)
+                change = np.zeros(len(part.hashes) + 1, dtype=np.int64)
+                again = _repeated(part, place, once, a, b)
+                np.add.at(change, begin[again], 1)
+                np.add.at(change, last[again] + 1, -1)
+                repeats = np.cumsum(change) > 0  # by window
+                row, value = _flat(first, a, b)
+                at = part.first_word[row] + value.field("start").to_numpy(zero_copy_only=False)
+                bits = value.field("bits").to_numpy(zero_copy_only=False)
+                for j in range(int(bits.max(initial=0)).bit_length()):
+                    repeats[at[(bits >> j) & 1 == 1] + j] = False
+                change[:] = 0
+                where = np.flatnonzero(repeats)
+                change[where] += 1
+                np.add.at(change, where + window, -1)
+                gone = np.cumsum(change) > 0  # by word
+                for i in range(b - a):
+                    p, q = int(part.first_word[i]), int(part.first_word[i + 1])
+                    lost = int(gone[p:q].sum())
+                    kept = part.words(p, q)
+                    if lost:
+                        kept = b" ".join([w for w, g in zip(kept.split(b" "), gone[p:q].tolist()) if not g])
+                    out["n_words"].append(q - p)
+                    out["n_removed"].append(lost)
+                    out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
+                    if with_text:
+                        out["kept"].append(kept.decode())
             if not with_text:
                 del out["kept"]
             return out
@@ -315,7 +408,7 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
         return step
 
     schema = f"id {kind}, n_words long, n_removed long, kept_sha256 string" + (", kept string" if with_text else "")
-    return by_batch(lined.select("id", "text", "once", "first"), schema, work)
+    return by_batch(lined.select("id", "body", "once", "first"), schema, work)
 
 
 @query("op2_substring_dedup")
