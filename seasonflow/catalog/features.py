@@ -87,11 +87,13 @@ def item_history_in_blocks(spark, folder):
 
 
 @query(
-    f"""WITH {LONG} SELECT l.ds, l.key, l.hour, a.y AS calendar_lag_1d, b.y AS calendar_lag_7d, c.y AS calendar_lag_14d
-FROM long l
-LEFT JOIN long a ON a.key = l.key AND a.hour = l.hour AND a.ds = l.ds - 1
-LEFT JOIN long b ON b.key = l.key AND b.hour = l.hour AND b.ds = l.ds - 7
-LEFT JOIN long c ON c.key = l.key AND c.hour = l.hour AND c.ds = l.ds - 14"""
+    f"""WITH {LONG} SELECT ds, key, hour, """
+    + ", ".join(
+        f"max(y) OVER (PARTITION BY key, hour ORDER BY ds RANGE BETWEEN INTERVAL {k} DAY PRECEDING"
+        f" AND INTERVAL {k} DAY PRECEDING) AS calendar_lag_{k}d"
+        for k in (1, 7, 14)
+    )
+    + " FROM long"
 )
 def calendar_lags(spark, folder):
     df = features.add_calendar_lags(tables.line_long(spark, folder))

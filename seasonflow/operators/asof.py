@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seasonflow.functions.cleaning import mean
 from seasonflow.operators.ordering import over_series
+from seasonflow.session import settle
 from seasonflow.spec import SeriesSpec
 
 DAYS = (1, 7, 14)
@@ -19,11 +20,10 @@ def wanted_cells(requests: DataFrame, spec: SeriesSpec) -> DataFrame:
     return requests.select(*spec.row_id).na.drop().distinct()
 
 
-def _near(history: DataFrame, wanted: DataFrame, on: Sequence[str], few: bool) -> DataFrame:
-    """With few requests, drop the history they cannot touch before any shuffle."""
-    if not few:
-        return history
-    return history.join(F.broadcast(wanted.select(*on).distinct()), list(on), "left_semi")
+def _near(history: DataFrame, wanted: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Drops the history that no request can touch. The wanted cells are stored, so Spark knows their
+    size in bytes and sends them to the history while they are small."""
+    return history.join(settle(wanted.select(*on).distinct()), list(on), "left_semi")
 
 
 def calendar_lookup(
@@ -31,19 +31,17 @@ def calendar_lookup(
     history: DataFrame,
     days: Sequence[int] = DAYS,
     spec: SeriesSpec = SeriesSpec(),
-    few: bool = False,
 ) -> DataFrame:
     """Per distinct request cell: ``lag_<k>d`` on the exact date and ``has_<k>d``.
 
-    A row that exists with a null value counts as present. ``few`` states that the
-    caller has counted the requests and found them small enough to broadcast.
+    A row that exists with a null value counts as present.
     """
     offsets = F.array(*[F.lit(k) for k in days])
     looked = wanted_cells(requests, spec).withColumn("_k", F.explode(offsets))
     looked = looked.withColumn("_at", F.date_sub(spec.ds, F.col("_k")))
     dates = looked.select(F.col("_at").alias(spec.ds), *spec.series)
     past = (
-        _near(history.na.drop(subset=spec.row_id), dates, spec.row_id, few)
+        _near(history.na.drop(subset=spec.row_id), dates, spec.row_id)
         .groupBy(F.col(spec.ds).alias("_at"), *spec.series)
         .agg(F.min(spec.y).alias("_y"), F.lit(True).alias("_has"))
     )
@@ -89,7 +87,7 @@ def history_stats(
 
 
 def asof_stats(
-    requests: DataFrame, stats: DataFrame, spec: SeriesSpec = SeriesSpec(), few: bool = False
+    requests: DataFrame, stats: DataFrame, spec: SeriesSpec = SeriesSpec()
 ) -> DataFrame:
     """Per distinct request cell, statistics of the values strictly before its date.
 
@@ -97,7 +95,7 @@ def asof_stats(
     Both sides hold at most one row per date, so a series stays as short as the calendar.
     """
     wanted = wanted_cells(requests, spec)
-    near = _near(stats, wanted, spec.series, few)
+    near = _near(stats, wanted, spec.series)
     state = F.struct("n", "mean_all", "mean_7", "mean_28", "std_7")
     both = near.select(*spec.row_id, state.alias("_state"), F.lit(1).alias("_side")).unionByName(
         wanted.select(*spec.row_id, F.lit(0).alias("_side")), allowMissingColumns=True

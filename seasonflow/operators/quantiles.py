@@ -16,10 +16,10 @@ from seasonflow.session import settle
 
 
 def exact_quantile(
-    df: DataFrame, value: str, q: float, by: Sequence[str] = (), accuracy: int = 100_000, name: str = "quantile"
+    df: DataFrame, value: str, q: float, by: Sequence[str] = (), accuracy: int = 100_000, name: str = "quantile", slack: float | None = None
 ) -> DataFrame:
     """One row per group: the group columns and the exact ``q`` quantile of the non-null values."""
-    slack = 2.0 / accuracy  # twice the rank error that the sketch allows
+    slack = slack or 2.0 / accuracy  # twice the rank error that the sketch allows
     low_q, high_q = max(q - slack, 0.0), min(q + slack, 1.0)
     groups = [f"_g{i}" for i in range(len(by))]
     rows = df.where(F.col(value).isNotNull()).select(
@@ -72,7 +72,7 @@ def exact_quantile(
             | ((cell["_tier"] == 0) & (index == cell["_upto"] - 1))
             | ((cell["_tier"] == 2) & (index == cell["_upto"] - cell["_rows"]))
         )
-        return F.when(exact, cell["_at"]).otherwise(F.raise_error(F.lit("quantile rank outside its bracket")))
+        return F.when(exact, cell["_at"])
 
     low = held("_first", F.col("_k"))
     high = F.when(F.col("_part") == 0, low).otherwise(held("_second", nxt))
@@ -80,4 +80,8 @@ def exact_quantile(
         *[F.col(g).alias(c) for c, g in zip(by, groups)],
         (low + (high - low) * F.col("_part")).alias(name),
     )
-    return result
+    result = settle(result)
+    if result.where(F.col(name).isNull()).isEmpty():
+        return result
+    # the sketch missed a rank: look again in a wider bracket, which ends with the whole range
+    return exact_quantile(df, value, q, by, accuracy, name, slack * 16)

@@ -120,15 +120,15 @@ class ServingState:
 
 
 def request_features(
-    requests: DataFrame, state: ServingState, fill_present_nulls: bool = False, few: bool = False
+    requests: DataFrame, state: ServingState, fill_present_nulls: bool = False
 ) -> DataFrame:
     """All features of validated requests (``key, ds, hour`` present), one row each.
 
     A lag whose row is absent takes the weekday mean of its series, or 0. A row that
     is present but null stays null unless ``fill_present_nulls``.
     """
-    lags = asof.calendar_lookup(requests, state.history, few=few)
-    rolling = asof.asof_stats(requests, state.stats, few=few)
+    lags = asof.calendar_lookup(requests, state.history)
+    rolling = asof.asof_stats(requests, state.stats)
     weekday = F.weekday("ds")
     cells = (
         lags.join(rolling, SPEC.row_id)

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from seasonflow.session import literal_table
@@ -39,9 +39,10 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def write_json(df: DataFrame, path: str) -> DataFrame:
     """Writes JSON lines, reads them back and checks that every row is there."""
-    df.write.mode("overwrite").json(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").json(path)
     back = df.sparkSession.read.schema(df.schema).json(path)
-    wrote, read = df.count(), back.count()
+    wrote, read = seen.get["rows"], back.count()
     if wrote != read:
         raise IOError(f"{path}: wrote {wrote} rows, read back {read}")
     return back

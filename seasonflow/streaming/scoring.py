@@ -8,8 +8,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from seasonflow.plans import scoring
 
-FEW_REQUESTS = 100_000  # a micro-batch up to this many rows is broadcast to the history
-
 
 def score_batch(
     requests: DataFrame, state: scoring.ServingState, model: PipelineModel, answers: str, batch: int
@@ -21,10 +19,9 @@ def score_batch(
     """
     held = requests.persist()
     try:
-        few = held.limit(FEW_REQUESTS + 1).count() <= FEW_REQUESTS
         checked = scoring.validate(held, state.keys)
         scoring.rejected(checked).write.mode("overwrite").parquet(f"{answers}/rejected/batch={batch}")
-        found = scoring.request_features(scoring.accepted(checked), state, few=few)
+        found = scoring.request_features(scoring.accepted(checked), state)
         scoring.live_scores(found, model).write.mode("overwrite").parquet(f"{answers}/scored/batch={batch}")
     finally:
         held.unpersist()

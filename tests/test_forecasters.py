@@ -136,3 +136,12 @@ def test_ablation_reports_the_change(rows):
     found = {r["model"]: r for r in f.ablation(rows, NAMES, SMALL, "a").collect()}
     assert found["full"]["mae_change"] == 0 and found["reduced"]["mae_change"] > 0
     assert split.key_sizes(rows).count() == 3
+
+
+def test_more_keys_than_any_pool(spark, monkeypatch):
+    rows = spark.range(300 * 8).select(
+        F.concat(F.lit("k"), F.col("id") % 300).alias("key"), F.lit("train").alias("split"), F.lit(1.0).alias("y")
+    )
+    monkeypatch.setattr(f, "key_sizes", lambda split: split.groupBy("key").count().withColumn("kept", F.lit(True)))
+    monkeypatch.setattr(f, "fit_boosted", lambda rows, names, settings: "model")
+    assert len(f.fit_per_key(rows, ["y"], None)) == 300

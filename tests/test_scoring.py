@@ -56,14 +56,14 @@ def state(spark, long, bounded):
     )
 
 
-@pytest.mark.parametrize("bounded,few", [(True, False), (False, True)])
-def test_request_features_equal_direct_arithmetic(spark, bounded, few):
+@pytest.mark.parametrize("bounded", [True, False])
+def test_request_features_equal_direct_arithmetic(spark, bounded):
     long, rows = history(spark)
     days = [date(2023, 12, 30), *[date(2024, 1, 1) + timedelta(days=d) for d in range(0, 100, 3)]]
     asked = [(i, f" {k.lower()} ", d.isoformat(), str(h), None) for i, (k, h, d) in enumerate((k, h, d) for k, h in (("Line A", 5), ("Line A", 6), ("Line B", 5)) for d in days)]
     served = state(spark, long, bounded)
     valid = scoring.accepted(scoring.validate(spark.createDataFrame(asked, REQUEST), served.keys))
-    got = scoring.request_features(valid, served, few=few).collect()
+    got = scoring.request_features(valid, served).collect()
     assert len(got) == len(asked)
     for r in got:
         want = direct(rows, r["key"], r["hour"], r["ds"])
@@ -73,7 +73,10 @@ def test_request_features_equal_direct_arithmetic(spark, bounded, few):
         ].count(False) == 0
         present = all(any(x[1] == r["key"] and x[3] == r["hour"] and x[0] == r["ds"] - timedelta(days=k) for x in rows) for k in (1, 7, 14))
         assert r["lags_available"] == present
-    names = set(features.NUMERIC) | {"iso_week"}
+    past = {f"lag_{k}d" for k in features.LAGS} | {name for name, *_ in features.ROLLING}
+    dated = {"hour_of_day", "weekday", "month", "year", "year_trend", "day_of_year", "is_weekend", "iso_week", "is_holiday", "is_bridge"}
+    waves = {f"{part}_{side}" for part in ("hour", "weekday", "month") for side in ("sin", "cos")}
+    names = past | dated | waves | {"key_code", "kind_code", "is_rail", "hour_x_weekday", "is_morning_peak", "is_evening_peak"}
     assert names <= set(got[0].asDict())
 
 
