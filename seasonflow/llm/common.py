@@ -95,14 +95,6 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mixed(total)
 
 
-def covered(starts: np.ndarray, lengths: np.ndarray | int, n: int) -> np.ndarray:
-    """Which of ``n`` positions lie in one of the runs."""
-    change = np.zeros(n + 1, dtype=np.int64)
-    np.add.at(change, starts, 1)
-    np.add.at(change, starts + lengths, -1)
-    return np.cumsum(change[:n]) > 0
-
-
 def bit_map(rows: DataFrame, column: str, bits: int) -> np.ndarray:
     """Which remainders of a long column modulo ``2**bits`` occur, as one boolean for each.
 

@@ -76,7 +76,6 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = P
         letters = letter_table()
         held: dict[str, list[np.ndarray]] = {}
         amount: dict[str, int] = {}
-        totals: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
         def sum_up(name):
             values, counts = counted(np.concatenate(held.pop(name)))
@@ -91,7 +90,6 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = P
                 amount[name] = amount.get(name, 0) + len(codes)
                 if amount[name] > HELD:
                     yield sum_up(name)
-        del totals
         for name in list(held):
             yield sum_up(name)
 
