@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seasonflow.functions.cleaning import half_even, per_cent
+from seasonflow.session import settle
 
 BASELINE = "Baseline"
 LEAST_ROWS = 5
@@ -122,10 +123,14 @@ def metric_slices(preds: DataFrame, slices: Sequence[str] = ("key", "kind", "hou
     )
 
 
+def of_model(column: str, model: str) -> Column:
+    """A model's value beside every row of a table of metrics, which has one row per model."""
+    return F.max(F.when(F.col("model") == model, F.col(column))).over(Window.partitionBy())
+
+
 def improvements(metrics: DataFrame, places: int = 2, baseline: str = BASELINE) -> DataFrame:
     """Per cent by which each model's MAE and RMSE improve on the baseline's."""
-    base = metrics.where(F.col("model") == baseline)
-    base_mae, base_rmse = base.select("mae").scalar(), base.select("rmse").scalar()
+    base_mae, base_rmse = of_model("mae", baseline), of_model("rmse", baseline)
     return metrics.withColumn(
         "mae_gain_pct", half_even(per_cent(base_mae - F.col("mae"), base_mae), places)
     ).withColumn("rmse_gain_pct", half_even(per_cent(base_rmse - F.col("rmse"), base_rmse), places))
@@ -157,6 +162,8 @@ def metrics_document(preds: DataFrame, featured: DataFrame) -> DataFrame:
     ).where(
         F.col("slice_value").isNotNull() & ((F.col("slice_type") != "holiday") | (F.col("n") >= LEAST_ROWS))
     )
+    # some rows per model and key: stored, so that the gains do not run the predictions again
+    exact = settle(exact.select("model", "slice_type", "slice_value", "mae", "rmse", "r2", "n"))
     top = exact.where("slice_type = 'global'").select("model", "mae", "rmse")
     gains = improvements(top).select("model", F.lit("global").alias("slice_type"), "mae_gain_pct", "rmse_gain_pct")
     glob = F.col("slice_type") == "global"
@@ -244,9 +251,10 @@ def best_model(metrics: DataFrame, baseline: str = BASELINE) -> DataFrame:
 
 def kpi_table(metrics: DataFrame, baseline: str = BASELINE) -> DataFrame:
     """``metric, baseline, best, gain_pct`` for MAE, RMSE and R2 of the best model."""
-    winner = best_model(metrics, baseline).scalar()
-    gains = improvements(metrics)
-    both = gains.where((F.col("model") == baseline) | (F.col("model") == winner)).withColumn(
+    rank = F.when(F.col("model") != baseline, F.struct("mae", "model"))
+    winner = F.min(rank).over(Window.partitionBy())["model"]  # as best_model: one row per model
+    gains = improvements(metrics).withColumn("_winner", winner)
+    both = gains.where((F.col("model") == baseline) | (F.col("model") == F.col("_winner"))).withColumn(
         "side", F.when(F.col("model") == baseline, "baseline").otherwise("best")
     )
     tidy = both.select(
@@ -271,8 +279,7 @@ def kpi_table(metrics: DataFrame, baseline: str = BASELINE) -> DataFrame:
 
 def comparison_table(metrics: DataFrame, baseline: str = BASELINE) -> DataFrame:
     """Metrics of all models, gain to one place, and the least MAE marked."""
-    base = metrics.where(F.col("model") == baseline).select("mae").scalar()
-    least = metrics.agg(F.min("mae")).scalar()
+    base, least = of_model("mae", baseline), F.min("mae").over(Window.partitionBy())  # one row per model
     return metrics.select(
         "model",
         "mae",

@@ -16,7 +16,7 @@ from seasonflow.functions.holidays import holiday_table
 from seasonflow.operators import audit, evaluate, features, ingest, split
 from seasonflow.operators.baseline import SeasonalMean
 from seasonflow.plans import forecasters, reports
-from seasonflow.session import settle
+from seasonflow.session import scratch_scope, settle
 from seasonflow.sources import readers, sinks
 from seasonflow.sources.sinks import Artefact
 from seasonflow.spec import Profile, SeriesSpec
@@ -72,6 +72,14 @@ def audit_tables(trusted_rows: DataFrame, wide_totals: DataFrame, profile: Profi
     }
 
 
+def quality_tables(spark: SparkSession, root: str, profile: Profile) -> dict[str, DataFrame]:
+    """The audit of the trusted table and the report on the featured one, by name."""
+    rows, df = trusted(spark, root), featured(spark, root)
+    audits = audit_tables(rows, rows.select("ds", "key", "total").distinct(), profile)
+    found = {f"audit_{name}": table for name, table in audits.items()}
+    return {**found, "feature_correlations": features.correlations(df), "null_history": features.null_history(df)}
+
+
 def feature_step(spark: SparkSession, root: str, profile: Profile, spec: SeriesSpec = SeriesSpec()) -> DataFrame:
     """Trusted table to the stored featured table and label maps."""
     holidays = holiday_table(spark, profile.years)
@@ -223,12 +231,27 @@ def run(
     policy: str = "by_rule",
     target: str | None = None,
 ) -> DataFrame:
-    """All steps in order; returns the metrics, or the publishing report if ``target`` is given."""
+    """All steps in order; returns the metrics, or the publishing report if ``target`` is given.
+
+    The audit and the feature report are stored in the work folder, or published with the other
+    reports. Scratch tables go when the run ends: what is returned reads stored tables only.
+    """
+    with scratch_scope(spark):
+        return _steps(spark, raw, root, profile, effort, model, policy, target)
+
+
+def _steps(
+    spark: SparkSession, raw: str, root: str, profile: Profile, effort: Effort, model: str, policy: str, target: str | None
+) -> DataFrame:
     ingest_step(spark, raw, root, profile, policy)
     df = feature_step(spark, root, profile)
     preds, metrics = model_step(spark, root, profile, effort)
     if target is None:
+        made = [Artefact(n, t, f"reports/{n}") for n, t in quality_tables(spark, root, profile).items()]
+        sinks.publish(spark, made, root)
         return metrics
     holidays = holiday_table(spark, profile.years)
     made = report_tables(preds, trusted(spark, root), df, holidays, profile, model)
+    leak = ablation_step(spark, root, profile, effort.light)
+    made |= quality_tables(spark, root, profile) | ({} if leak is None else {"ablation": leak})
     return publish_step(spark, root, target, profile, made)

@@ -38,7 +38,7 @@ class Boosting:
     least_leaf: int
     row_share: float
     column_share: str
-    tolerance: float = 0.001
+    patience: int = 100
     bins: int = 64
     seed: int = 42
 
@@ -48,6 +48,7 @@ class Boosting:
 LIGHTGBM = Boosting(rounds=2000, step=0.02, depth=8, least_leaf=10, row_share=1.0, column_share="0.8")
 LIGHTGBM_PER_KEY = Boosting(rounds=2000, step=0.02, depth=7, least_leaf=5, row_share=1.0, column_share="0.8")
 XGBOOST = Boosting(rounds=397, step=0.0995, depth=7, least_leaf=10, row_share=0.961, column_share="0.713")
+SEARCH_PATIENCE = 50
 XGBOOST_DEFAULT = Boosting(rounds=2000, step=0.02, depth=8, least_leaf=10, row_share=0.8, column_share="0.8")
 
 
@@ -139,8 +140,25 @@ def fit_forest(
     return Pipeline(stages=[*_tree_inputs(features), forest]).fit(with_target(train))
 
 
+def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
+    """The round (from 1) of least error before ``patience`` rounds in a row bring no gain, and
+    whether these rounds were seen. The first of equal rounds wins; without errors it is 0."""
+    best = 0
+    for i, error in enumerate(errors, start=1):
+        if not best or error < errors[best - 1]:
+            best = i
+        elif i - best >= patience:
+            return best, True
+    return best, False
+
+
 def fit_boosted(train: DataFrame, features: Sequence[str], settings: Boosting, is_val: str | None = "is_val") -> PipelineModel:
-    """Boosted trees; rows marked ``is_val`` only decide when to stop.
+    """Boosted trees; rows marked ``is_val`` only decide how many.
+
+    The trees are those of the round with the least error on the marked rows, once ``patience``
+    rounds after it have brought no gain. Spark cannot go on from a fitted model, so fits double
+    in length until that round is known, and the last one repeats its first trees: sampling is
+    seeded by the round, so they are the same. Without marked rows all rounds are kept.
 
     The label codes are small integers whose splits are found like those of any
     number, which separates categories as well as category splits do, with more depth.
@@ -149,7 +167,6 @@ def fit_boosted(train: DataFrame, features: Sequence[str], settings: Boosting, i
     booster = GBTRegressor(
         featuresCol="features",
         labelCol="target",
-        maxIter=settings.rounds,
         stepSize=settings.step,
         maxDepth=settings.depth,
         minInstancesPerNode=settings.least_leaf,
@@ -158,11 +175,23 @@ def fit_boosted(train: DataFrame, features: Sequence[str], settings: Boosting, i
         maxBins=settings.bins,
         seed=settings.seed,
         checkpointInterval=10,
-        validationTol=settings.tolerance,
     )
-    if is_val:
-        booster = booster.setValidationIndicatorCol(is_val)
-    return Pipeline(stages=[*_tree_inputs(features), booster]).fit(with_target(train))
+    inputs = Pipeline(stages=_tree_inputs(features)).fit(train)
+    marked = F.coalesce(F.col(is_val), F.lit(False)) if is_val else F.lit(False)
+    rows = settle(inputs.transform(with_target(train)).select("features", "target", marked.alias("is_val")))
+    fitted, held = rows.where("NOT is_val"), rows.where("is_val")
+    if held.isEmpty():
+        return PipelineModel([*inputs.stages, booster.setMaxIter(settings.rounds).fit(fitted)])
+    length = min(settings.rounds, max(1, settings.patience + settings.patience // 4))
+    while True:
+        model = booster.setMaxIter(length).fit(fitted)
+        kept, over = best_round(model.evaluateEachIteration(held, "squared"), settings.patience)
+        if over or length >= settings.rounds:
+            break
+        length = min(settings.rounds, 2 * length)
+    if 0 < kept < length:
+        model = booster.setMaxIter(kept).fit(fitted)
+    return PipelineModel([*inputs.stages, model])
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -334,8 +363,9 @@ class SearchSpace:
     rounds: tuple[int, int] = (100, 500)
     row_share: tuple[float, float] = (0.5, 1.0)
     column_share: tuple[float, float] = (0.5, 1.0)
-    least_leaf: tuple[int, int] = (10, 100)
+    least_leaf: tuple[int, int] = (10, 10)
     base: Boosting = field(default_factory=lambda: XGBOOST_DEFAULT)
+    patience: int = SEARCH_PATIENCE
 
     def draw(self, source: random.Random) -> Boosting:
         low, high = (math.log(v) for v in self.step)
@@ -347,9 +377,16 @@ class SearchSpace:
             row_share=source.uniform(*self.row_share),
             column_share=f"{source.uniform(*self.column_share):.4f}",
             least_leaf=source.randint(*self.least_leaf),
+            patience=self.patience,
         )
 
 
+# The ranges of the second learner. Its 20 to 150 leaves are depths of 5 to 8 here.
+LIGHTGBM_SPACE = SearchSpace(
+    depth=(5, 8), column_share=(0.8, 0.8), least_leaf=(10, 100), base=replace(LIGHTGBM, rounds=500)
+)
+
+
 def search(
     df: DataFrame,
     folds: Sequence[Fold],

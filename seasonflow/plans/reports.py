@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seasonflow.functions.cleaning import half_even, per_cent
 from seasonflow.operators.evaluate import ACTIVE_FROM, BASELINE, LEAST_ROWS
+from seasonflow.session import settle
 from seasonflow.spec import SeriesSpec
 
 SPEC = SeriesSpec()
@@ -79,15 +80,10 @@ def monthly_totals(df: DataFrame, first: str, last: str, y: str = "real") -> Dat
 def linear_trend(monthly: DataFrame) -> DataFrame:
     """Least-squares line over the month index; null for a single month."""
     numbered = monthly.withColumn("x", F.row_number().over(Window.orderBy("month")) - 1)  # one row per month
-    fitted = numbered.agg(
-        F.regr_slope("total", "x").alias("slope"),
-        F.regr_intercept("total", "x").alias("intercept"),
-        F.count(F.lit(1)).alias("months"),
-    )
-    line = fitted.select(F.struct("slope", "intercept", "months")).scalar()
-    fit = numbered.withColumn("_line", line)
-    trend = F.when(F.col("_line.months") > 1, F.col("_line.intercept") + F.col("_line.slope") * F.col("x"))
-    return fit.select("month", "total", trend.alias("trend"))
+    every = Window.partitionBy()
+    slope, intercept = F.regr_slope("total", "x").over(every), F.regr_intercept("total", "x").over(every)
+    trend = F.when(F.count(F.lit(1)).over(every) > 1, intercept + slope * F.col("x"))
+    return numbered.select("month", "total", trend.alias("trend"))
 
 
 # ------------------------------------------------------------------ predictions
@@ -126,9 +122,11 @@ def error_histogram(preds: DataFrame, kinds: DataFrame, model: str, bins: int =
 
 def key_performance(preds: DataFrame) -> DataFrame:
     """MAE, total, hour of highest mean and key of highest sum; ties take the first."""
-    cells = preds.groupBy("key", "hour").agg(
-        F.sum("abs_err").alias("sae"), F.count("abs_err").alias("n"), F.sum("real").alias("s"), F.count("real").alias("c")
-    )
+    cells = settle(
+        preds.groupBy("key", "hour").agg(
+            F.sum("abs_err").alias("sae"), F.count("abs_err").alias("n"), F.sum("real").alias("s"), F.count("real").alias("c")
+        )
+    )  # keys x hours rows, read three times
     hours = cells.groupBy("hour").agg(F.try_divide(F.sum("s"), F.sum("c")).alias("mean"))
     keys = cells.groupBy("key").agg(F.coalesce(F.sum("s"), F.lit(0.0)).alias("sum"))
     peak_hour = hours.where(F.col("mean").isNotNull()).orderBy(F.desc("mean"), "hour").limit(1).select("hour").scalar()
@@ -184,7 +182,7 @@ def holiday_day_table(preds: DataFrame, holidays: DataFrame, model: str, baselin
 
     The normal level is the mean over all models' rows of normal days.
     """
-    dated = (
+    dated = settle(
         preds.groupBy("model", "ds")
         .agg(
             F.avg("abs_err").alias("mae"),

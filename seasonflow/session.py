@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,9 +41,30 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Folders of the open scopes, the innermost last; threads of one job share them.
+_scopes: list[str] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Scratch tables made inside go into one folder, which is deleted at the end.
+
+    What is to outlive the scope must have been written elsewhere by then: a DataFrame
+    that still reads a settled table fails after it.
+    """
+    folder = scratch_path(spark, "scope")
+    _scopes.append(folder)
+    try:
+        yield folder
+    finally:
+        _scopes.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table, beside the checkpoints."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for a written table: in the innermost open scope, else beside the checkpoints."""
+    return f"{_scopes[-1] if _scopes else shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -18,15 +18,16 @@ REQUESTS = "request_id long, line string, date string, hour string, model string
 def read_wide_csv(spark: SparkSession, path: str, profile: Profile) -> DataFrame:
     """The raw wide table, every column as text; a byte order mark is ignored.
 
-    Columns are taken by the names in the header, which may be in any order.
+    Columns are taken by the names in the header, which may be in any order, but in the same
+    one in all files of a folder: Spark checks each header and fails where one differs.
     """
     header = spark.read.option("header", False).csv(path).limit(1).first()
     names = [(c or "").lstrip(BOM).strip() for c in header]
     missing = [c for c in (profile.raw_date, profile.raw_key) if c not in names]
     if missing:
         raise ValueError(f"columns missing from {path}: {missing}")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    wide = spark.read.option("header", True).option("enforceSchema", True).schema(schema).csv(path)
+    schema = T.StructType([T.StructField(c or "", T.StringType()) for c in header])
+    wide = spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path).toDF(*names)
     absent = [c for c in profile.raw_columns() if c not in names]
     return wide.withColumns({c: F.lit(None).cast("string") for c in absent}).select(
         *[F.col(f"`{c}`") for c in profile.raw_columns()]

@@ -37,6 +37,7 @@ def test_whole_run_and_serving(spark, folder):
     assert {s for s, _ in got.values()} == {"ok"}, got
     assert got["trusted"][1] == 212 * 2 * 20
     assert got["comparison"][1] == 6
+    assert got["audit_total_mismatches"][1] >= 1 and got["null_history"][1] == 1 and got["feature_correlations"][1] == 15
     published = spark.read.parquet(f"{folder}/out/refined/features")
     assert {"fecha", "linea", "es_festivo", "año_trend", "lag_14d", "pasajeros"} <= set(published.columns)
     trusted, featured = flow.trusted(spark, f"{folder}/work"), flow.featured(spark, f"{folder}/work")

@@ -76,6 +76,37 @@ def test_boosting_beats_the_mean_and_repeats_itself(rows):
     assert mae < 0.7 * flat
 
 
+def test_best_round_waits_for_patience():
+    dips = [5.0, 4.0, 4.2, 4.1, 4.3, 3.0, 3.0, 3.5]
+    assert f.best_round(dips, 5) == (6, False)
+    assert f.best_round(dips, 3) == (2, True)
+    assert f.best_round([1.0, 1.0, 1.0], 2) == (1, True)
+    assert f.best_round([], 3) == (0, False)
+
+
+def test_patience_outlasts_flat_rounds(rows):
+    """Stumps with small steps gain less than 0.1 % a round, and still sum up."""
+    slow = replace(SMALL, rounds=30, step=0.0005, depth=1, patience=10)
+    test, mae = rows.where("split = 'test'"), {}
+    for name, settings in (("slow", slow), ("hasty", replace(slow, rounds=1))):
+        model = f.fit_boosted(marked(rows), NAMES, settings)
+        assert model.stages[-1].getNumTrees == settings.rounds
+        mae[name] = f.predict(model, test).agg(F.avg(F.abs(F.col("y") - F.col("pred")))).first()[0]
+    assert mae["slow"] < mae["hasty"]
+
+
+def test_trees_after_the_best_round_are_dropped(rows):
+    """Validation rows that contradict the others: every round after the first does harm."""
+    opposite = F.expm1(F.greatest(6 - F.log1p("y"), F.lit(0.0)))
+    odd = marked(rows).withColumn("y", F.when(F.col("is_val"), opposite).otherwise(F.col("y")))
+    model = f.fit_boosted(odd, NAMES, replace(SMALL, rounds=12, patience=4))
+    assert model.stages[-1].getNumTrees == 1
+    plain = f.fit_boosted(odd.where("NOT is_val"), NAMES, replace(SMALL, rounds=1))
+    test = rows.where("split = 'test'")
+    left, right = (f.predict(m, test).orderBy("ds", "key").toPandas()["pred"].to_numpy() for m in (model, plain))
+    np.testing.assert_allclose(left, right, rtol=1e-6)
+
+
 def test_forest_and_importance(rows):
     model = f.fit_forest(train(rows), NAMES, trees=5, depth=5)
     importance = f.feature_importance(model, NAMES).collect()

@@ -4,7 +4,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from seasonflow.session import scratch_path, settle, shared_dir
+from seasonflow.session import scratch_path, scratch_scope, settle, shared_dir
 from seasonflow.sources import readers, sinks
 from seasonflow.spec import TRANSIT
 
@@ -25,6 +25,25 @@ def test_mark_before_the_first_column(spark, folder):
     assert readers.read_wide_csv(spark, f"{folder}/raw.csv", TRANSIT).first()["DIA"] == "1/2/2024"
 
 
+def test_files_whose_columns_are_in_another_order_are_refused(spark, folder):
+    Path(folder, "raw").mkdir()
+    for i, names in enumerate((TRANSIT.raw_columns(), TRANSIT.raw_columns()[::-1])):
+        Path(folder, "raw", f"{i}.csv").write_text(",".join(names) + "\n" + ",".join("7" for _ in names) + "\n")
+    with pytest.raises(Exception, match="CSV header"):
+        readers.read_wide_csv(spark, f"{folder}/raw", TRANSIT).collect()
+
+
+def test_scratch_goes_with_its_scope(spark):
+    with scratch_scope(spark) as outer:
+        kept = settle(spark.range(5))
+        with scratch_scope(spark) as inner:
+            assert inner.startswith(outer) and settle(spark.range(3)).count() == 3
+        assert kept.count() == 5
+        assert len(list(Path(outer.removeprefix("file:")).iterdir())) == 1
+    assert not Path(outer.removeprefix("file:")).exists()
+    assert not settle(spark.range(2)).inputFiles()[0].count("scope-")
+
+
 def test_missing_columns(spark, folder):
     Path(folder, "raw.csv").write_text("DIA,LINEA,4:00\n1/2/2024,L,3\n")
     row = readers.read_wide_csv(spark, f"{folder}/raw.csv", TRANSIT).first()
