@@ -10,6 +10,9 @@ from tests.oracle import compare, database
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables absent")
 
+#: No holiday has five rows of the baseline in the smallest tables.
+MAY_BE_EMPTY = {"holiday_day_table"}
+
 
 @pytest.fixture(scope="module")
 def db():
@@ -23,4 +26,5 @@ def test_keys_and_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query(spark, db, name):
-    assert compare(spark, db, entry.queries()[name], entry.oracle_sql()[name], FOLDER, empty_ok=True) is None
+    found = compare(spark, db, entry.queries()[name], entry.oracle_sql()[name], FOLDER, empty_ok=name in MAY_BE_EMPTY)
+    assert found is None
