@@ -10,6 +10,16 @@ subtrees under its values are joined each with itself. In such a subtree fingerp
 already connected are not compared again, so a dense group costs no pairs, and what leaves a task is
 a spanning forest of its links. Components are then found over these links by contraction.
 
+Four bits of 64 are near a Jaccard similarity of 0.95. The pipeline looks for similarities of 0.8 and
+more, of five-word shingles, where 64 bits tell too little and five blocks find nothing. It votes over
+distinct shingles for ``WIDE`` bits and sets the budget two deviations beyond the mean of pairs
+at 0.8. Chosen bits then lead the trie instead of blocks: in each of some bands the subtree under every
+value of a few drawn bits is joined with itself, under the budget for all bits. The number of drawn
+bits grows with the logarithm of the rows, so subtrees stay small, and bands are as many as it takes
+to miss at most one in fifty pairs at 0.8; closer pairs are missed less, and a missed pair is still in
+one component where others connect it. The similarity is the one that fingerprints tell: pairs from
+about 0.6 on may be linked too. Comparing texts for every pair would undo the forest in dense groups.
+
 Defined results: texts with fewer words than a shingle are one shingle; texts without words (null and
 empty ones too) have fingerprint zero and are linked like others; repeated rows share a component;
 a null id never names a component, and a component of null ids alone has none; an empty table gives
@@ -18,6 +28,7 @@ an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import math
 import string
 
 import numpy as np
@@ -25,11 +36,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonflow.llm.common import by_batch, fresh, table
+from seasonflow.llm.common import by_batch, fresh, mixed, shingle_hashes, table
 from seasonflow.llm.registry import query
 from seasonflow.session import settle
 
 SHINGLE, BUDGET, SEED = 4, 4, 42
+#: Near copies: words of a shingle, least similarity, bits, share of pairs at that similarity which no band may meet.
+NEAR_SHINGLE, SIMILARITY, WIDE, MISSED = 5, 0.8, 256, 0.02
 #: Node pairs that a task walks at a time, and pairs of leaves below which a node pair is spelled out.
 FRONTIER, SMALL = 1 << 16, 16
 _LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
@@ -55,6 +68,27 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * votes > len(hashes)).view(">u8")[0])
 
 
+def wide_fingerprint(text: str | None, shingle: int = NEAR_SHINGLE) -> bytes:
+    """``WIDE`` bits, each a majority vote over the distinct shingles of a text."""
+    words = (text or "").encode("utf-8").translate(_LOWER).split()
+    if not words:
+        return bytes(WIDE // 8)
+    numbers = np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+    found = np.unique(shingle_hashes(numbers, min(shingle, len(words))))
+    votes = np.zeros(WIDE, dtype=np.int64)
+    step = np.arange(1, WIDE // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for at in range(0, len(found), 1 << 12):
+        part = mixed(found[at : at + (1 << 12), None] + step)
+        votes += np.unpackbits(part.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * votes > len(found)).tobytes()
+
+
+def wide_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and fp (the wide bits as bytes) of every row."""
+    work = lambda: lambda keys, texts: {"doc_id": keys, "fp": [wide_fingerprint(t.as_py()) for t in texts]}
+    return by_batch(docs.select(key, text), f"doc_id {docs.schema[key].dataType.simpleString()}, fp binary", work)
+
+
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """doc_id and fp (the 64 bits as a long) of every row."""
 
@@ -115,29 +149,71 @@ class Forest:
             up = higher
 
 
+class Numbers:
+    """Sorted distinct numbers of 64 bits as the leaves of a trie."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.depth = bits, 64
+
+    def __len__(self) -> int:
+        return len(self.bits)
+
+    def halves(self, first: np.ndarray, last: np.ndarray, depth: int) -> np.ndarray:
+        """Where the ones of the bit at ``depth`` begin in every node (first, last), whose bits above agree."""
+        mark = np.uint64(1 << (63 - depth))
+        above = np.uint64(~((1 << (64 - depth)) - 1) & 0xFFFFFFFFFFFFFFFF)
+        return np.searchsorted(self.bits, (self.bits[first] & above) | mark)
+
+    def errors(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(self.bits[x] ^ self.bits[y])
+
+
+class Strings:
+    """Rows of bytes, sorted and distinct in every group, as the leaves of the groups' tries."""
+
+    def __init__(self, rows: np.ndarray):
+        self.rows, self.words, self.depth = rows, rows.view(np.uint64), 8 * rows.shape[1]
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def halves(self, first: np.ndarray, last: np.ndarray, depth: int) -> np.ndarray:
+        ones = np.concatenate(([0], np.cumsum(self.rows[:, depth // 8] >> (7 - depth % 8) & 1, dtype=np.int64)))
+        return last - (ones[last] - ones[first])
+
+    def errors(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(self.words[x] ^ self.words[y]).sum(axis=1, dtype=np.int64)
+
+
 def trie_links(bits: np.ndarray, lead: int, budget: int) -> list[tuple[int, int]]:
     """Pairs of places in ``bits`` (sorted, distinct) within the budget that span all such links
     between numbers with the same ``lead`` first bits."""
-    n = len(bits)
-    if n < 2:
+    if len(bits) < 2:
         return []
     head = bits >> np.uint64(64 - lead)
-    starts = np.concatenate(([0], np.flatnonzero(head[1:] != head[:-1]) + 1))
-    stops = np.concatenate((starts[1:], [n]))
+    return walked(Numbers(bits), np.flatnonzero(head[1:] != head[:-1]) + 1, lead, budget)
+
+
+def walked(leaves: Numbers | Strings, cuts: np.ndarray, depth: int, budget: int) -> list[tuple[int, int]]:
+    """Pairs of leaves within the budget that span all such links inside the subtrees which begin at
+    the ``cuts``; the bits of a subtree agree above ``depth``."""
+    n = len(leaves)
+    starts = np.concatenate(([0], cuts))
+    stops = np.concatenate((cuts, [n]))
     many = stops - starts > 1
     forest, links = Forest(n), []
     root = np.stack([starts[many], stops[many], starts[many], stops[many], np.zeros(many.sum(), dtype=np.int64)])
-    stack = [(root[:, i : i + FRONTIER // 16], 63 - lead) for i in range(0, root.shape[1], FRONTIER // 16)]
+    stack = [(root[:, i : i + FRONTIER // 16], depth) for i in range(0, root.shape[1], FRONTIER // 16)]
     labels, changes = forest.labels(), np.arange(n)
     while stack:
-        pairs, bit = stack.pop()
+        pairs, depth = stack.pop()
         # a pair of nodes whose leaves all are connected can add nothing
         low, high = pairs[0], pairs[2]
         joined = (changes[pairs[1] - 1] == changes[low]) & (changes[pairs[3] - 1] == changes[high]) & (labels[low] == labels[high])
         pairs = pairs[:, ~joined]
         sizes = (pairs[1] - pairs[0]) * (pairs[3] - pairs[2])
-        small = (sizes <= SMALL) | (bit < 0)
-        found = _leaves(bits, pairs[:, small], budget)
+        small = (sizes <= SMALL) | (depth == leaves.depth)
+        found = _leaves(leaves, pairs[:, small], budget)
         if len(found[0]):
             apart = labels[found[0]] != labels[found[1]]
             made = forest.join(found[0][apart], found[1][apart])
@@ -147,17 +223,14 @@ def trie_links(bits: np.ndarray, lead: int, budget: int) -> list[tuple[int, int]
                 changes = np.concatenate(([0], np.cumsum(labels[1:] != labels[:-1])))
         rest = pairs[:, ~small]
         if rest.shape[1]:
-            below = _children(bits, rest, bit, budget)
-            stack += [(below[:, i : i + FRONTIER], bit - 1) for i in range(0, below.shape[1], FRONTIER)]
+            below = _children(leaves, rest, depth, budget)
+            stack += [(below[:, i : i + FRONTIER], depth + 1) for i in range(0, below.shape[1], FRONTIER)]
     return links
 
 
-def _children(bits: np.ndarray, pairs: np.ndarray, bit: int, budget: int) -> np.ndarray:
+def _children(leaves: Numbers | Strings, pairs: np.ndarray, depth: int, budget: int) -> np.ndarray:
     a, b, c, d, errors = pairs
-    mark = np.uint64(1 << bit)
-    above = np.uint64(~((1 << (bit + 1)) - 1) & 0xFFFFFFFFFFFFFFFF)
-    middle = lambda x: np.searchsorted(bits, (bits[x] & above) | mark)
-    m, k, itself = middle(a), middle(c), a == c
+    m, k, itself = leaves.halves(a, b, depth), leaves.halves(c, d, depth), a == c
     # a node with itself has three pairs of children, two nodes have four
     parts = [
         (a, m, c, k, errors, np.ones(len(a), dtype=bool)), (m, b, k, d, errors, np.ones(len(a), dtype=bool)),
@@ -170,13 +243,13 @@ def _children(bits: np.ndarray, pairs: np.ndarray, bit: int, budget: int) -> np.
     return np.concatenate(kept, axis=1)
 
 
-def _leaves(bits: np.ndarray, pairs: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+def _leaves(leaves: Numbers | Strings, pairs: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
     a, b, c, d, _ = pairs
     width, sizes = d - c, (b - a) * (d - c)
     which = np.repeat(np.arange(len(a)), sizes)
     within = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     x, y = a[which] + within // width[which], c[which] + within % width[which]
-    close = (x < y) & (np.bitwise_count(bits[x] ^ bits[y]) <= budget)
+    close = (x < y) & (leaves.errors(x, y) <= budget)
     return x[close], y[close]
 
 
@@ -204,6 +277,69 @@ def links(distinct: DataFrame, budget: int = BUDGET) -> DataFrame:
     return dealt.mapInArrow(run, "u long, v long")
 
 
+def packed(column) -> np.ndarray:
+    """The rows of bytes of an Arrow column of wide fingerprints."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]].reshape(len(column), WIDE // 8)
+
+
+def wide_law(rows: int) -> tuple[int, int, int]:
+    """For so many rows: the budget, the bits drawn for a band, and the bands."""
+    apart = math.acos(2 * SIMILARITY / (1 + SIMILARITY)) / math.pi  # share of differing bits at the similarity
+    budget = math.floor(WIDE * apart + 2 * math.sqrt(WIDE * apart * (1 - apart)))
+    drawn = max(8, int(math.log2(max(rows, 1))) - 1)  # some four rows for each value
+    return budget, drawn, math.ceil(math.log(MISSED) / math.log(1 - (1 - apart) ** drawn))
+
+
+def wide_links(distinct: DataFrame) -> DataFrame:
+    """u and v: a spanning forest, for every subtree of every band, of the links between distinct wide fingerprints."""
+    budget, drawn, bands = wide_law(distinct.count())
+    rng = np.random.default_rng(SEED)
+    places = [rng.choice(WIDE, drawn, replace=False) for _ in range(bands)]
+
+    def deal(batches):
+        import pyarrow as pa
+
+        powers = np.left_shift(np.int64(1), np.arange(drawn, dtype=np.int64))
+        for batch in batches:
+            fps = batch.column(0)
+            if len(fps):
+                bits = np.unpackbits(packed(fps), axis=1)
+                for i, place in enumerate(places):
+                    values = (bits[:, place] * powers).sum(axis=1) * bands + i
+                    yield pa.RecordBatch.from_arrays([pa.array(values), fps], names=["band", "fp"])
+
+    def run(batches):
+        import pyarrow as pa
+
+        # of equal band values only those that occur twice can hold a pair
+        held = [(b.column(0).to_numpy(zero_copy_only=False), packed(b.column(1))) for b in batches if b.num_rows]
+        if not held:
+            return
+        band = np.concatenate([h[0] for h in held])
+        rows = np.concatenate([h[1] for h in held])
+        _, place, times = np.unique(band, return_inverse=True, return_counts=True)
+        paired = times[place] > 1
+        band, rows = band[paired], rows[paired]
+        words = rows.view(">u8")
+        order = np.lexsort((*(words[:, i] for i in reversed(range(words.shape[1]))), band))
+        band, rows = band[order], np.ascontiguousarray(rows[order])
+        starts = np.concatenate(([0], np.flatnonzero(band[1:] != band[:-1]) + 1)) if len(band) else []
+        at = 0
+        while at < len(starts):  # some groups at a time
+            upto = max(at + 1, int(np.searchsorted(starts, starts[at] + FRONTIER)))
+            first, last = starts[at], starts[upto] if upto < len(starts) else len(band)
+            part = rows[first:last]
+            made = walked(Strings(part), starts[at + 1 : upto] - first, 0, budget)
+            if made:
+                ends = part[np.array(made)]
+                yield pa.RecordBatch.from_pydict({"u": [e.tobytes() for e in ends[:, 0]], "v": [e.tobytes() for e in ends[:, 1]]})
+            at = upto
+
+    return distinct.mapInArrow(deal, "band long, fp binary").repartition("band").mapInArrow(run, "u binary, v binary")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and root for every end of the edges (u, v); the same root for all of a component.
 
@@ -237,9 +373,17 @@ def components(edges: DataFrame) -> DataFrame:
 def grouped(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET) -> DataFrame:
     """doc_id, fp, root (a fingerprint of the component) and component_id (the least id of all
     documents that links reach) of every row."""
-    marks = settle(fingerprints(docs, shingle=shingle))
+    return _connected(settle(fingerprints(docs, shingle=shingle)), lambda distinct: links(distinct, budget))
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """The same by wide fingerprints: components of texts whose similarity is ``SIMILARITY`` or more."""
+    return _connected(settle(wide_fingerprints(docs)), wide_links)
+
+
+def _connected(marks: DataFrame, find) -> DataFrame:
     distinct = settle(marks.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(links(distinct.select("fp"), budget)).withColumnRenamed("node", "fp")
+    roots = components(find(distinct.select("fp"))).withColumnRenamed("node", "fp")
     rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = settle(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     ids = settle(rooted.join(named, "root").select("fp", "root", "component_id"))
@@ -256,10 +400,10 @@ def simhash(spark: SparkSession, folder: str) -> DataFrame:
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component: the one that the component is named after.
 
-    The fingerprint, and the budget, are those of the operator. Repeated rows of that id, and rows
+    Groups are those of ``near_copies``: five-word shingles, a similarity of 0.8 or more. Repeated rows of that id, and rows
     without an id in components without any, leave one row.
     """
-    found = settle(grouped(docs.select("doc_id", "text")))
+    found = settle(near_copies(docs.select("doc_id", "text")))
     keepers = found.where("doc_id = component_id").groupBy("doc_id").count().withColumnRenamed("doc_id", "keeper")
     named = docs.join(keepers.select("keeper"), docs["doc_id"] == F.col("keeper"), "left_semi")
     if not keepers.where("count > 1").isEmpty():
@@ -268,7 +412,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         return named.select(*docs.columns)
     # rows without an id are told apart by their fingerprints
     mark = fresh(docs, "mark")
-    hashed = F.pandas_udf(lambda texts: texts.map(lambda t: np.uint64(fingerprint(t)).astype(np.int64)).astype("int64"), "long")
+    hashed = F.pandas_udf(lambda texts: texts.map(wide_fingerprint), "binary")
     nameless = docs.where(docs["doc_id"].isNull()).withColumn(mark, hashed("text"))
     roots = found.where("component_id IS NULL").select(F.col("fp").alias(mark), "root").distinct()
     roots = roots.withColumnRenamed("root", fresh(nameless, "root"))

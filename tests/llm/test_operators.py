@@ -119,7 +119,7 @@ def slow_fingerprint(text, shingle=4):
     return sum(1 << k for k in range(64) if 2 * sum(v >> k & 1 for v in values) > len(values))
 
 
-def slow_components(marks):
+def slow_components(marks, budget=4):
     names = list(marks)
     up = {n: n for n in names}
 
@@ -130,7 +130,7 @@ def slow_components(marks):
 
     for i, a in enumerate(names):
         for b in names[:i]:
-            if bin(marks[a] ^ marks[b]).count("1") <= 4:
+            if bin(marks[a] ^ marks[b]).count("1") <= budget:
                 up[max(root(a), root(b))] = min(root(a), root(b))
     return {n: root(n) for n in names}
 
@@ -174,6 +174,64 @@ def test_trie_in_dense_and_random_groups():
     assert {b: root(b) for b in forest} == expected
 
 
+def slow_shingles(text, size=5):
+    words = [w.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")) for w in blank_words(text)]
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def slow_near_copies(texts):
+    """Components of texts (by id) whose wide fingerprints all pairs are compared for."""
+    marks = {i: int.from_bytes(simhash.wide_fingerprint(t), "big") for i, t in texts.items()}
+    return slow_components(marks, simhash.wide_law(len(marks))[0])
+
+
+def test_near_copies(spark, odd, empty):
+    rng = random.Random(3)
+    texts = {}
+    for i in range(0, 1200, 3):  # a text, one with a few words changed, one that shares a third of it
+        words = [f"v{rng.randrange(5000)}" for _ in range(rng.randrange(120, 400))]
+        near = list(words)
+        for _ in range(len(words) // 60):
+            near[rng.randrange(len(near))] = "changed"
+        third = words[: len(words) // 3] + [f"v{rng.randrange(5000)}" for _ in range(2 * len(words) // 3)]
+        texts |= {i: " ".join(words), i + 1: " ".join(near), i + 2: " ".join(third)}
+    found = simhash.near_copies(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5))
+    got = {r.doc_id: r.component_id for r in found.collect()}
+    assert got.keys() == texts.keys()
+    close = missed = 0
+    for i in range(0, 1200, 3):
+        a, b = slow_shingles(texts[i]), slow_shingles(texts[i + 1])
+        if len(a & b) >= 0.8 * len(a | b):
+            close += 1
+            missed += got[i + 1] != i
+        assert got[i + 2] == i + 2  # a shared third is no copy
+    assert close > 250 and missed <= 0.03 * close
+    rows = simhash.near_copies(odd).collect()
+    assert len(rows) == len(ROWS) and simhash.near_copies(empty).count() == 0
+    assert {r.component_id for r in rows if not any(r.fp)} == {1}
+    copies = simhash.wide_fingerprint(COPY)
+    assert {r.component_id for r in rows if r.fp == copies} == {-3}
+
+
+def test_wide_trie_in_dense_and_random_groups():
+    rng = np.random.default_rng(6)
+    centre = rng.integers(0, 256, 32, dtype=np.uint8)
+    near = np.tile(centre, (700, 1))
+    for row in near:
+        for bit in rng.choice(256, rng.integers(0, 30), replace=False):
+            row[bit // 8] ^= 1 << (7 - bit % 8)
+    rows = np.unique(np.concatenate((near, rng.integers(0, 256, (300, 32), dtype=np.uint8))), axis=0)
+    cuts = np.array([len(rows) // 3, len(rows) // 2])
+    made = simhash.walked(simhash.Strings(rows), cuts, 0, 20)
+    numbers = [int.from_bytes(r.tobytes(), "big") for r in rows]
+    assert all(bin(numbers[a] ^ numbers[b]).count("1") <= 20 for a, b in made)
+    for first, last in zip((0, *cuts), (*cuts, len(rows))):
+        expected = slow_components({i: numbers[i] for i in range(first, last)}, 20)
+        linked = simhash.Forest(len(rows))
+        linked.join(*np.array([p for p in made if first <= p[0] < last], dtype=np.int64).reshape(-1, 2).T)
+        assert {i: linked.root(i) for i in range(first, last)} == expected
+
+
 # ------------------------------------------------------------------ tokens
 
 
@@ -431,7 +489,7 @@ def test_pipeline(spark, documents):
 
     verdicts = {r.doc_id: r.kept for r in quality.rejected_keys(documents).collect()}
     rows = {r.doc_id: r.text for r in documents.collect() if verdicts[r.doc_id]}
-    groups = slow_components({i: slow_fingerprint(t) for i, t in rows.items()})
+    groups = slow_near_copies(rows)
     rows = {i: t for i, t in rows.items() if groups[i] == i}
     items = spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()
     dirty = {k[0] for k in slow_contamination(list(rows.items()), items) if k[4]}
@@ -451,6 +509,6 @@ def test_stages_on_odd_rows(spark, odd, empty):
         assert name == "byte_bpe" or out.columns == columns, name
         if name == "simhash_near_dedup":
             kept = out.collect()
-            assert len({slow_fingerprint(r.text) for r in kept}) == len(kept)
+            assert len({simhash.wide_fingerprint(r.text) for r in kept}) == len(kept)
         if name == "pii_masking":
             assert json.dumps(sorted(map(str, (r[1] for r in out.collect())))) == json.dumps(sorted(map(str, (r[1] for r in ROWS))))
