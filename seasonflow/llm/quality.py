@@ -36,6 +36,9 @@ UNIT = 256
 CORE, CONSISTENCY = 0.75, 1.41
 STEPS = 4
 MIN_ROWS = 200
+#: Files of a table of estimates, one row for each group: many near-empty files would seem too large to
+#: broadcast, and the join would deal all rows of a group to one task.
+FILES = 4
 #: No direction counts as narrower than this (in vector units): statistics that are zero in almost
 #: every clean text would otherwise reject every text that has any.
 LEAST_SPREAD = (0.5, 0.12, 0.06, 0.6, 0.18)
@@ -192,9 +195,9 @@ def judged(rows: DataFrame, keys: tuple[str, ...] = ("lang", "source")) -> DataF
     measured = settle(vectors(rows).withColumn("base_failed", base_failed()))  # texts are read once
     grouped = settle(_with_groups(measured, keys))
     sound = grouped.where(~F.col("base_failed")).select("__group", *VECTOR)
-    estimates = settle(_first_estimates(sound))
+    estimates = settle(_first_estimates(sound).repartition(FILES))
     for _ in range(STEPS):
-        estimates = settle(_concentrated(sound, estimates))  # one row for each group
+        estimates = settle(_concentrated(sound, estimates).repartition(FILES))
     far = with_distance(grouped, estimates)
     outlier = F.coalesce((F.col("rows") >= MIN_ROWS) & (F.col("distance") > CUTOFF), F.lit(False))
     return far.withColumn("kept", ~F.col("base_failed") & ~outlier).drop("__group", "rows", *VECTOR)
