@@ -16,9 +16,12 @@ distinct shingles for ``WIDE`` bits and sets the budget two deviations beyond th
 at 0.8. Chosen bits then lead the trie instead of blocks: in each of some bands the subtree under every
 value of a few drawn bits is joined with itself, under the budget for all bits. The number of drawn
 bits grows with the logarithm of the rows, so subtrees stay small, and bands are as many as it takes
-to miss at most one in fifty pairs at 0.8; closer pairs are missed less, and a missed pair is still in
-one component where others connect it. The similarity is the one that fingerprints tell: pairs from
-about 0.6 on may be linked too. Comparing texts for every pair would undo the forest in dense groups.
+to miss at most one in fifty pairs that differ in the mean of bits at 0.8; closer pairs are missed less.
+
+These links only propose. Each is checked by the exact similarity of the shingle sets, and those below
+0.8 are dropped. A dropped link may have hidden others of its forest, so in components of proposed links
+that hold one the tries are walked again: first for another forest over what is connected by checked
+links, then for all pairs that are still apart. Fingerprints that agree in all bits count as one text.
 
 Defined results: texts with fewer words than a shingle are one shingle; texts without words (null and
 empty ones too) have fingerprint zero and are linked like others; repeated rows share a component;
@@ -36,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonflow.llm.common import by_batch, fresh, mixed, shingle_hashes, table
+from seasonflow.llm.common import by_batch, fresh, mixed, shingle_hashes, table, text_content
 from seasonflow.llm.registry import query
 from seasonflow.session import settle
 
@@ -84,9 +87,17 @@ def wide_fingerprint(text: str | None, shingle: int = NEAR_SHINGLE) -> bytes:
 
 
 def wide_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and fp (the wide bits as bytes) of every row."""
-    work = lambda: lambda keys, texts: {"doc_id": keys, "fp": [wide_fingerprint(t.as_py()) for t in texts]}
-    return by_batch(docs.select(key, text), f"doc_id {docs.schema[key].dataType.simpleString()}, fp binary", work)
+    """doc_id, text_hash, text_bytes and fp (the wide bits as bytes) of every row."""
+    content = text_content(text)
+
+    def work():
+        def step(keys, hashes, sizes, texts):
+            return {"doc_id": keys, "text_hash": hashes, "text_bytes": sizes, "fp": [wide_fingerprint(t.as_py()) for t in texts]}
+
+        return step
+
+    rows = docs.select(key, *(c.alias(n) for n, c in content.items()), text)
+    return by_batch(rows, f"doc_id {docs.schema[key].dataType.simpleString()}, text_hash long, text_bytes int, fp binary", work)
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -197,14 +208,24 @@ def trie_links(bits: np.ndarray, lead: int, budget: int) -> list[tuple[int, int]
 def walked(leaves: Numbers | Strings, cuts: np.ndarray, depth: int, budget: int) -> list[tuple[int, int]]:
     """Pairs of leaves within the budget that span all such links inside the subtrees which begin at
     the ``cuts``; the bits of a subtree agree above ``depth``."""
+    return [pair for found in walk(leaves, cuts, depth, budget) for pair in found]
+
+
+def walk(leaves: Numbers | Strings, cuts: np.ndarray, depth: int, budget: int, known: np.ndarray | None = None, every: bool = False):
+    """Lists of such pairs as they are found. Leaves with equal ``known`` numbers are connected from
+    the start; with ``every``, all pairs that these leave apart are given instead of a forest."""
     n = len(leaves)
     starts = np.concatenate(([0], cuts))
     stops = np.concatenate((cuts, [n]))
     many = stops - starts > 1
-    forest, links = Forest(n), []
+    forest = Forest(n)
+    if known is not None:
+        _, first, place = np.unique(known, return_index=True, return_inverse=True)
+        forest.up = first[place]
     root = np.stack([starts[many], stops[many], starts[many], stops[many], np.zeros(many.sum(), dtype=np.int64)])
     stack = [(root[:, i : i + FRONTIER // 16], depth) for i in range(0, root.shape[1], FRONTIER // 16)]
-    labels, changes = forest.labels(), np.arange(n)
+    labels = forest.labels()
+    changes = np.concatenate(([0], np.cumsum(labels[1:] != labels[:-1])))
     while stack:
         pairs, depth = stack.pop()
         # a pair of nodes whose leaves all are connected can add nothing
@@ -216,16 +237,16 @@ def walked(leaves: Numbers | Strings, cuts: np.ndarray, depth: int, budget: int)
         found = _leaves(leaves, pairs[:, small], budget)
         if len(found[0]):
             apart = labels[found[0]] != labels[found[1]]
-            made = forest.join(found[0][apart], found[1][apart])
-            if made:
-                links += made
+            if every:
+                yield list(zip(found[0][apart].tolist(), found[1][apart].tolist()))
+            elif made := forest.join(found[0][apart], found[1][apart]):
+                yield made
                 labels = forest.labels()
                 changes = np.concatenate(([0], np.cumsum(labels[1:] != labels[:-1])))
         rest = pairs[:, ~small]
         if rest.shape[1]:
             below = _children(leaves, rest, depth, budget)
             stack += [(below[:, i : i + FRONTIER], depth + 1) for i in range(0, below.shape[1], FRONTIER)]
-    return links
 
 
 def _children(leaves: Numbers | Strings, pairs: np.ndarray, depth: int, budget: int) -> np.ndarray:
@@ -284,6 +305,13 @@ def packed(column) -> np.ndarray:
     return np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]].reshape(len(column), WIDE // 8)
 
 
+def shingle_set(text: str | None, shingle: int = NEAR_SHINGLE) -> np.ndarray:
+    """Hashes of the distinct shingles of a text."""
+    words = (text or "").encode("utf-8").translate(_LOWER).split()
+    numbers = np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+    return np.unique(shingle_hashes(numbers, min(shingle, len(words)))) if words else numbers
+
+
 def wide_law(rows: int) -> tuple[int, int, int]:
     """For so many rows: the budget, the bits drawn for a band, and the bands."""
     apart = math.acos(2 * SIMILARITY / (1 + SIMILARITY)) / math.pi  # share of differing bits at the similarity
@@ -292,11 +320,16 @@ def wide_law(rows: int) -> tuple[int, int, int]:
     return budget, drawn, math.ceil(math.log(MISSED) / math.log(1 - (1 - apart) ** drawn))
 
 
-def wide_links(distinct: DataFrame) -> DataFrame:
-    """u and v: a spanning forest, for every subtree of every band, of the links between distinct wide fingerprints."""
-    budget, drawn, bands = wide_law(distinct.count())
+def wide_links(distinct: DataFrame, law: tuple[int, int, int] | None = None, every: bool = False) -> DataFrame:
+    """u and v: a spanning forest, for every subtree of every band, of the links between distinct wide fingerprints.
+
+    Where ``distinct`` has ``known`` (long), equal numbers are connected already; ``every`` gives all
+    pairs that are not, instead of a forest.
+    """
+    budget, drawn, bands = law or wide_law(distinct.count())
     rng = np.random.default_rng(SEED)
     places = [rng.choice(WIDE, drawn, replace=False) for _ in range(bands)]
+    again = "known" in distinct.columns
 
     def deal(batches):
         import pyarrow as pa
@@ -308,36 +341,79 @@ def wide_links(distinct: DataFrame) -> DataFrame:
                 bits = np.unpackbits(packed(fps), axis=1)
                 for i, place in enumerate(places):
                     values = (bits[:, place] * powers).sum(axis=1) * bands + i
-                    yield pa.RecordBatch.from_arrays([pa.array(values), fps], names=["band", "fp"])
+                    yield pa.RecordBatch.from_arrays([pa.array(values), *batch.columns], names=["band", *batch.schema.names])
 
     def run(batches):
         import pyarrow as pa
 
         # of equal band values only those that occur twice can hold a pair
-        held = [(b.column(0).to_numpy(zero_copy_only=False), packed(b.column(1))) for b in batches if b.num_rows]
+        held = [tuple(b.column(i).to_numpy(zero_copy_only=False) if i != 1 else packed(b.column(1)) for i in range(b.num_columns)) for b in batches if b.num_rows]
         if not held:
             return
-        band = np.concatenate([h[0] for h in held])
-        rows = np.concatenate([h[1] for h in held])
+        band, rows = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+        known = np.concatenate([h[2] for h in held]) if again else None
         _, place, times = np.unique(band, return_inverse=True, return_counts=True)
-        paired = times[place] > 1
-        band, rows = band[paired], rows[paired]
-        words = rows.view(">u8")
-        order = np.lexsort((*(words[:, i] for i in reversed(range(words.shape[1]))), band))
+        paired = np.flatnonzero(times[place] > 1)
+        words = rows[paired].view(">u8")
+        if again:
+            words = words[:, ::-1]  # another order of bits gives another forest
+        order = paired[np.lexsort((*(words[:, i] for i in reversed(range(words.shape[1]))), band[paired]))]
         band, rows = band[order], np.ascontiguousarray(rows[order])
+        known = known[order] if again else None
         starts = np.concatenate(([0], np.flatnonzero(band[1:] != band[:-1]) + 1)) if len(band) else []
         at = 0
         while at < len(starts):  # some groups at a time
             upto = max(at + 1, int(np.searchsorted(starts, starts[at] + FRONTIER)))
             first, last = starts[at], starts[upto] if upto < len(starts) else len(band)
             part = rows[first:last]
-            made = walked(Strings(part), starts[at + 1 : upto] - first, 0, budget)
-            if made:
-                ends = part[np.array(made)]
-                yield pa.RecordBatch.from_pydict({"u": [e.tobytes() for e in ends[:, 0]], "v": [e.tobytes() for e in ends[:, 1]]})
+            leaves = np.ascontiguousarray(part.view(np.uint64)[:, ::-1]).view(np.uint8) if again else part
+            for made in walk(Strings(leaves), starts[at + 1 : upto] - first, 0, budget, known[first:last] if again else None, every):
+                for i in range(0, len(made), FRONTIER):
+                    ends = part[np.array(made[i : i + FRONTIER])]
+                    yield pa.RecordBatch.from_pydict({"u": [e.tobytes() for e in ends[:, 0]], "v": [e.tobytes() for e in ends[:, 1]]})
             at = upto
 
-    return distinct.mapInArrow(deal, "band long, fp binary").repartition("band").mapInArrow(run, "u binary, v binary")
+    columns = ["fp", "known"] if again else ["fp"]
+    dealt = distinct.select(*columns).mapInArrow(deal, "band long, fp binary" + (", known long" if again else ""))
+    return dealt.repartition("band").mapInArrow(run, "u binary, v binary")
+
+
+def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Adds ``close``: whether the shingle sets (sets: fp, shingles) of both ends reach the similarity."""
+    a = sets.select(F.col("fp").alias("u"), F.col("shingles").alias("a"))
+    b = sets.select(F.col("fp").alias("v"), F.col("shingles").alias("b"))
+    common = F.size(F.array_intersect("a", "b")).cast("long")
+    # in whole numbers of hundredths: common / (all - common) >= similarity
+    part = round(100 * SIMILARITY)
+    close = common * (100 + part) >= (F.size("a").cast("long") + F.size("b")) * F.lit(part)
+    return pairs.join(a, "u").join(b, "v").select("u", "v", close.alias("close"))
+
+
+def checked_links(distinct: DataFrame, sets_of) -> DataFrame:
+    """u and v: links between distinct fingerprints whose texts are similar; their components are those of
+    all such pairs that the bands propose. ``sets_of`` gives the shingles (fp, shingles) of the ends of pairs."""
+    law = wide_law(distinct.count())
+    oriented = lambda df: settle(df.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    first = oriented(wide_links(distinct, law))
+    ends = first.select(F.col("u").alias("fp")).union(first.select(F.col("v").alias("fp"))).distinct()
+    sets = settle(sets_of(ends))
+    found = settle(similar(first, sets))
+    links = found.where("close").select("u", "v")
+    if found.where("NOT close").isEmpty():
+        return links
+    # unconnected pairs within the budget can only be in components of proposed links that lost a link
+    proposed = components(first)
+    torn = found.where("NOT close").select(F.col("u").alias("node")).join(proposed, "node").select("root").distinct()
+    open_nodes = settle(proposed.join(torn, "root", "left_semi").select(F.col("node").alias("fp")))
+    tried = found.select("u", "v")
+    for every in (False, True):
+        roots = components(links).withColumnRenamed("node", "fp")
+        known = open_nodes.join(roots, "fp", "left").select("fp", F.xxhash64(F.coalesce("root", "fp")).alias("known"))
+        pairs = oriented(wide_links(settle(known), law, every))
+        new = settle(similar(pairs.join(tried, ["u", "v"], "left_anti"), sets))
+        tried = tried.union(new.select("u", "v"))
+        links = links.union(new.where("close").select("u", "v"))
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -377,8 +453,23 @@ def grouped(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET) -> Da
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
-    """The same by wide fingerprints: components of texts whose similarity is ``SIMILARITY`` or more."""
-    return _connected(settle(wide_fingerprints(docs)), wide_links)
+    """The same by wide fingerprints: components of texts whose similarity is ``SIMILARITY`` or more.
+
+    text_hash and text_bytes tell the text of a row.
+    """
+    marks = settle(wide_fingerprints(docs))
+
+    def sets_of(ends: DataFrame) -> DataFrame:
+        # one text stands for each fingerprint
+        chosen = marks.join(ends, "fp", "left_semi").groupBy("fp").agg(F.min(F.struct("text_hash", "text_bytes")).alias("one"))
+        chosen = chosen.select("fp", F.col("one.text_hash").alias("h"), F.col("one.text_bytes").alias("n"))
+        content = text_content()
+        match = F.col("text_hash").eqNullSafe(F.col("h")) & F.col("text_bytes").eqNullSafe(F.col("n"))
+        texts = docs.select(*(c.alias(n) for n, c in content.items()), "text").join(chosen, match).select("fp", "text")
+        work = lambda: lambda fps, texts: {"fp": fps, "shingles": [shingle_set(t.as_py()).view(np.int64) for t in texts]}
+        return by_batch(texts.dropDuplicates(["fp"]), "fp binary, shingles array<long>", work)
+
+    return _connected(marks, lambda distinct: checked_links(distinct, sets_of))
 
 
 def _connected(marks: DataFrame, find) -> DataFrame:

@@ -213,6 +213,41 @@ def test_near_copies(spark, odd, empty):
     assert {r.component_id for r in rows if r.fp == copies} == {-3}
 
 
+def likeness(a, b):
+    a, b = slow_shingles(a), slow_shingles(b)
+    return len(a & b) / len(a | b)
+
+
+def test_near_copies_are_checked(spark):
+    rng = random.Random(8)
+    texts = {}
+    for g in range(40):  # copies of one text with growing damage: similarities to each other from 0.5 to 1
+        words = [f"g{rng.randrange(5000)}" for _ in range(rng.randrange(150, 300))]
+        for k in range(9):
+            near = list(words)
+            for _ in range(len(words) * k // 120):
+                near[rng.randrange(len(near))] = f"g{rng.randrange(5000)}"
+            texts[10 * g + k] = " ".join(near)
+    close = {(a, b): likeness(texts[a], texts[b]) >= 0.8 for a in texts for b in texts if a < b and a // 10 == b // 10}
+    up = {i: i for i in texts}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for (a, b), near in close.items():
+        if near:
+            up[max(root(a), root(b))] = min(root(a), root(b))
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    # nothing is joined that similar pairs do not join, and nearly all of these are found
+    assert all(root(i) == root(c) for i, c in got.items())
+    assert sum(got[a] != got[b] for (a, b), near in close.items() if near) <= 0.02 * sum(close.values())
+    apart = [p for p, near in close.items() if root(p[0]) != root(p[1])]
+    mark = lambda i: int.from_bytes(simhash.wide_fingerprint(texts[i]), "big")
+    assert sum((mark(a) ^ mark(b)).bit_count() <= 50 for a, b in apart) > 20  # fingerprints alone join these
+
+
 def test_wide_trie_in_dense_and_random_groups():
     rng = np.random.default_rng(6)
     centre = rng.integers(0, 256, 32, dtype=np.uint8)
@@ -499,6 +534,24 @@ def test_pipeline(spark, documents):
     assert all(got[i].decoded_sha256 == sha(t) and len(got[i].ids) == got[i].n_tokens for i, t in rows.items())
 
 
+def test_near_duplicate_stage_keeps_texts_that_are_not_similar(spark, documents):
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    parts = {i: slow_shingles(t) for i, t in texts.items()}
+    up = {i: i for i in texts}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in texts:
+        for b in texts:
+            if a < b and len(parts[a] & parts[b]) >= 0.8 * len(parts[a] | parts[b]):
+                up[max(root(a), root(b))] = min(root(a), root(b))
+    kept = {r.doc_id for r in simhash.near_duplicate_stage(spark, documents, FOLDER).collect()}
+    assert kept == {i for i in texts if root(i) == i}
+
+
 def test_stages_on_odd_rows(spark, odd, empty):
     import corpus_pipeline
 
