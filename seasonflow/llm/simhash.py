@@ -12,11 +12,12 @@ a spanning forest of its links. Components are then found over these links by co
 
 Four bits of 64 are near a Jaccard similarity of 0.95. The pipeline looks for similarities of 0.8 and
 more, of five-word shingles, where 64 bits tell too little and five blocks find nothing. It votes over
-distinct shingles for ``WIDE`` bits and sets the budget two deviations beyond the mean of pairs
+distinct shingles for ``WIDE`` bits and sets the budget four deviations beyond the mean of pairs
 at 0.8. Chosen bits then lead the trie instead of blocks: in each of some bands the subtree under every
 value of a few drawn bits is joined with itself, under the budget for all bits. The number of drawn
 bits grows with the logarithm of the rows, so subtrees stay small, and bands are as many as it takes
-to miss at most one in fifty pairs that differ in the mean of bits at 0.8; closer pairs are missed less.
+to miss at most one in fifty pairs at 0.8, by bands and budget together and over the binomial spread of
+the bits in which such pairs differ; closer pairs are missed less.
 
 These links only propose. Each is checked by the exact similarity of the shingle sets, and those below
 0.8 are dropped. A dropped link may have hidden others of its forest, so in components of proposed links
@@ -312,12 +313,22 @@ def shingle_set(text: str | None, shingle: int = NEAR_SHINGLE) -> np.ndarray:
     return np.unique(shingle_hashes(numbers, min(shingle, len(words)))) if words else numbers
 
 
+def wide_miss(budget: int, drawn: int, bands: int) -> float:
+    """Share of the pairs at the similarity that the budget or all bands miss, over the spread of differing bits."""
+    apart = math.acos(2 * SIMILARITY / (1 + SIMILARITY)) / math.pi  # share of differing bits at the similarity
+    share = [math.comb(WIDE, k) * apart**k * (1 - apart) ** (WIDE - k) for k in range(budget + 1)]
+    return 1 - sum(p * (1 - (1 - math.prod((WIDE - k - i) / (WIDE - i) for i in range(drawn))) ** bands) for k, p in enumerate(share))
+
+
 def wide_law(rows: int) -> tuple[int, int, int]:
     """For so many rows: the budget, the bits drawn for a band, and the bands."""
-    apart = math.acos(2 * SIMILARITY / (1 + SIMILARITY)) / math.pi  # share of differing bits at the similarity
-    budget = math.floor(WIDE * apart + 2 * math.sqrt(WIDE * apart * (1 - apart)))
-    drawn = max(8, int(math.log2(max(rows, 1))) - 1)  # some four rows for each value
-    return budget, drawn, math.ceil(math.log(MISSED) / math.log(1 - (1 - apart) ** drawn))
+    apart = math.acos(2 * SIMILARITY / (1 + SIMILARITY)) / math.pi
+    budget = math.floor(WIDE * apart + 4 * math.sqrt(WIDE * apart * (1 - apart)))
+    drawn = max(8, int(math.log2(max(rows, 1))) - 4)  # some thirty rows for each value
+    bands = 1
+    while wide_miss(budget, drawn, bands) > MISSED:
+        bands += max(1, bands // 32)
+    return budget, drawn, bands
 
 
 def wide_links(distinct: DataFrame, law: tuple[int, int, int] | None = None, every: bool = False) -> DataFrame:

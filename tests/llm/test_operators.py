@@ -248,6 +248,14 @@ def test_near_copies_are_checked(spark):
     assert sum((mark(a) ^ mark(b)).bit_count() <= 50 for a, b in apart) > 20  # fingerprints alone join these
 
 
+@pytest.mark.parametrize("rows", [0, 1, 300, 10**5, 10**6, 10**7, 10**8])
+def test_bands_miss_few_pairs_at_every_size(rows):
+    budget, drawn, bands = simhash.wide_law(rows)
+    differing = np.random.default_rng(9).binomial(256, np.arccos(1.6 / 1.8) / np.pi, 200_000)
+    met = np.where(differing <= budget, 1 - (1 - (1 - differing / 256) ** drawn) ** bands, 0)
+    assert met.mean() >= 0.977
+
+
 def test_wide_trie_in_dense_and_random_groups():
     rng = np.random.default_rng(6)
     centre = rng.integers(0, 256, 32, dtype=np.uint8)
