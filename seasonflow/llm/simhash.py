@@ -500,23 +500,23 @@ def simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component: the one that the component is named after.
+    """One row of each component: that of the least id, null last, and of its texts the least by hash and length.
 
-    Groups are those of ``near_copies``: five-word shingles, a similarity of 0.8 or more. Repeated rows of that id, and rows
-    without an id in components without any, leave one row.
+    Groups are those of ``near_copies``: five-word shingles, a similarity of 0.8 or more. The row is looked up by id and
+    content, so other texts of its id are judged by their own components; repeated rows of that id and text leave one.
     """
     found = settle(near_copies(docs.select("doc_id", "text")))
-    keepers = found.where("doc_id = component_id").groupBy("doc_id").count().withColumnRenamed("doc_id", "keeper")
-    named = docs.join(keepers.select("keeper"), docs["doc_id"] == F.col("keeper"), "left_semi")
-    if not keepers.where("count > 1").isEmpty():
-        named = named.dropDuplicates(["doc_id"])
-    if found.where("component_id IS NULL").isEmpty():
-        return named.select(*docs.columns)
-    # rows without an id are told apart by their fingerprints
-    mark = fresh(docs, "mark")
-    hashed = F.pandas_udf(lambda texts: texts.map(wide_fingerprint), "binary")
-    nameless = docs.where(docs["doc_id"].isNull()).withColumn(mark, hashed("text"))
-    roots = found.where("component_id IS NULL").select(F.col("fp").alias(mark), "root").distinct()
-    roots = roots.withColumnRenamed("root", fresh(nameless, "root"))
-    one = nameless.join(roots, mark).dropDuplicates([roots.columns[1]])
-    return named.select(*docs.columns).unionByName(one.select(*docs.columns))
+    content = {"doc_id": F.col("doc_id"), **text_content()}
+    rows = found.groupBy("root", *content).agg(F.count("*").alias("times"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), *content, "times")).alias("least")
+    keepers = settle(rows.groupBy("root").agg(least).select("least.*"))
+    left, names = docs, {}
+    for name, value in content.items():
+        names[name] = fresh(left, f"left_{name}")
+        left = left.withColumn(names[name], value)
+    right = keepers.select(*(F.col(n).alias(fresh(left, f"right_{n}")) for n in content))
+    match = [left[names[n]].eqNullSafe(right[r]) for n, r in zip(content, right.columns)]
+    kept = left.join(right, match, "left_semi")
+    if not keepers.where("times > 1").isEmpty():
+        kept = kept.dropDuplicates(list(names.values()))
+    return kept.select(*docs.columns)

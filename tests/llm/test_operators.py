@@ -560,6 +560,15 @@ def test_near_duplicate_stage_keeps_texts_that_are_not_similar(spark, documents)
     assert kept == {i for i in texts if root(i) == i}
 
 
+def test_near_duplicate_stage_with_repeated_ids(spark):
+    rng = random.Random(12)
+    a, b, c = (" ".join(f"r{rng.randrange(9000)}" for _ in range(200)) for _ in range(3))
+    # two texts of one id name a component each; the copy of a kept text has the id of another component
+    rows = [(1, a), (1, b), (2, a), (2, c), (1, a), (None, b), (None, "only here"), (None, "only here")]
+    kept = simhash.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), FOLDER)
+    assert bag(kept.collect()) == bag([(1, a), (1, b), (2, c), (None, "only here")])
+
+
 def test_stages_on_odd_rows(spark, odd, empty):
     import corpus_pipeline
 
