@@ -11,9 +11,9 @@ over the few bins of a group gives the moments of its closest rows. Vectors are
 the sums are exact and the result does not depend on the order of rows.
 
 Defined results: a null or empty text has zero statistics and fails the base rules; a null language
-or source is a group value of its own; groups with fewer than ``MIN_ROWS`` rows share one pooled
-estimate, and while even the pool is smaller nothing but the base rules rejects; repeated rows count
-each; other columns are not read.
+or source is a group value of its own; groups with fewer than ``MIN_ROWS`` rows that pass the base rules
+share one pooled estimate, and where even the pool has fewer, it is judged by an estimate of all rows that
+pass them, however few these are; repeated rows count each; other columns are not read.
 """
 
 from __future__ import annotations
@@ -124,10 +124,19 @@ def _with_groups(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Adds the group of a row: a string of its keys, or null for the pool of small groups."""
     parts = [F.coalesce(F.concat(F.lit("="), F.col(k)), F.lit("")) for k in keys]
     named = rows.withColumn("__group", F.to_json(F.array(*parts)))
-    large = settle(named.groupBy("__group").count().where(F.col("count") >= MIN_ROWS).select(F.col("__group").alias("__large")))
+    counts = settle(named.where(~F.col("base_failed")).groupBy("__group").count())
+    large = settle(counts.where(F.col("count") >= MIN_ROWS).select(F.col("__group").alias("__large")))
     return named.join(large, F.col("__group") == F.col("__large"), "left").withColumn("__group", F.coalesce("__large", F.lit("pool"))).drop("__large")
 
 
+def _estimated(sound: DataFrame) -> DataFrame:
+    """The estimate of every group."""
+    estimates = settle(_first_estimates(sound).repartition(FILES))
+    for _ in range(STEPS):
+        estimates = settle(_concentrated(sound, estimates).repartition(FILES))
+    return estimates
+
+
 def _first_estimates(rows: DataFrame) -> DataFrame:
     """For each group the medians and quartile ranges as a centre and a diagonal covariance."""
     stacked = rows.select("__group", F.posexplode(F.array(*VECTOR)).alias("part", "value")).groupBy("__group", "part", "value").count()
@@ -195,11 +204,13 @@ def judged(rows: DataFrame, keys: tuple[str, ...] = ("lang", "source")) -> DataF
     measured = settle(vectors(rows).withColumn("base_failed", base_failed()))  # texts are read once
     grouped = settle(_with_groups(measured, keys))
     sound = grouped.where(~F.col("base_failed")).select("__group", *VECTOR)
-    estimates = settle(_first_estimates(sound).repartition(FILES))
-    for _ in range(STEPS):
-        estimates = settle(_concentrated(sound, estimates).repartition(FILES))
+    estimates = _estimated(sound)
+    pool = F.col("__group") == "pool"
+    if estimates.where(pool & (F.col("rows") >= MIN_ROWS)).isEmpty() and not grouped.where(pool).isEmpty():
+        everything = _estimated(sound.withColumn("__group", F.lit("pool")))
+        estimates = settle(estimates.where(~pool).unionByName(everything).repartition(FILES))
     far = with_distance(grouped, estimates)
-    outlier = F.coalesce((F.col("rows") >= MIN_ROWS) & (F.col("distance") > CUTOFF), F.lit(False))
+    outlier = F.coalesce(F.col("distance") > CUTOFF, F.lit(False))
     return far.withColumn("kept", ~F.col("base_failed") & ~outlier).drop("__group", "rows", *VECTOR)
 
 

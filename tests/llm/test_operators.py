@@ -412,6 +412,19 @@ def test_outliers_are_rejected_and_the_rest_stays(spark):
     assert kept == set(range(600))
 
 
+def test_outliers_of_groups_with_few_sound_rows(spark):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("etaoin") for _ in range(rng.randint(2, 8)))
+    sound = lambda i, source: (i, " ".join(word() for _ in range(rng.randint(40, 400))), "en", source)
+    odd = lambda i, source: (i, " ".join(word() + "%%%" for _ in range(200)), "en", source)
+    # 300 rows of which 240 fail the base rules, beside a group of its own
+    rows = [sound(i, "a") for i in range(400)] + [sound(400 + i, "b") for i in range(50)] + [odd(500 + i, "b") for i in range(10)]
+    rows += [(600 + i, "too short", "en", "b") for i in range(240)]
+    read = lambda rows: {r.doc_id for r in quality.rejected_keys(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).where("kept").collect()}
+    assert read(rows) == set(range(450))  # the pool is small: all sound rows judge it
+    assert read(rows[400:]) == set(range(400, 450))  # a small table is judged too
+
+
 # ------------------------------------------------------------------ personal data
 
 
