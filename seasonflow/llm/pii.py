@@ -233,29 +233,33 @@ def signs(tape: Tape) -> Tape:
 
 
 _DOT_NAMES = frozenset(("dot", "punkt", "point", "punto"))
-_RUN_NAMES = _DOT_NAMES | frozenset(_DIGIT_NAMES)
-_SPACED_DOMAIN = re.compile(r"(?:at|arroba|aroba|arobase|klammeraffe)[\s_-]{1,3}[a-z0-9-]+\.[a-z]")
+_DIGIT_WORDS = frozenset(_DIGIT_NAMES)
+_WORDS = re.compile(r"[\W_]+")
+_SPACED_DOMAIN = re.compile(r"(?:at|arroba|aroba|arobase|klammeraffe)[\s_-]{1,3}[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]")
+_FOLDED = re.compile("[İıſ]")  # match plain letters where case is ignored
 _BRACKETED = re.compile(r"[\[({<]\s{0,3}(?:at|arroba|aroba|arobase|klammeraffe|dot|punkt|point|punto|@|\.)\s{0,3}[\])}>]")
 
 
+def _named(run: str) -> int:
+    """Digit names in a row that ``_SPELLED`` found."""
+    return sum(t.lower() in _DIGIT_WORDS for t in _TOKEN.findall(run))
+
+
 def disguised(text: str) -> bool:
     """Whether a transducer could change anything that matters: a cheap necessary condition."""
-    if not text.isascii() and _ODD.search(text):
+    if not text.isascii() and (_ODD.search(text) or _FOLDED.search(text)):
         return True
     low = text.lower()
     if any(c in low for c in "([{<") and _BRACKETED.search(low):
         return True
     if "@" in low and _SPACED_AT.search(low):
         return True
-    for c in ".,;-_":
-        if c in low:
-            low = low.replace(c, " ")
-    words = low.split()
-    if not _RUN_NAMES.isdisjoint(words):
-        if not _DOT_NAMES.isdisjoint(words):
-            return True
-        # three names in a row: rows that count are longer
-        if b"\1\1\1" in bytes(map(_RUN_NAMES.__contains__, words)):
+    words = _WORDS.split(low)
+    if not _DOT_NAMES.isdisjoint(words):
+        return True
+    if not _DIGIT_WORDS.isdisjoint(words):
+        # as many names as count, wherever digits or signs stand between them
+        if sum(map(_DIGIT_WORDS.__contains__, words)) >= LEAST_SPELLED and any(_named(m[0]) >= LEAST_SPELLED for m in _SPELLED.finditer(text)):
             return True
     return bool(_SPACED_DOMAIN.search(text.lower()))
 

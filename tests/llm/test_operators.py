@@ -468,6 +468,27 @@ def test_disguised_identifiers(text, kind, source):
     assert (kind, source) in [(k, text[a:b]) for k, a, b in every]
 
 
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("card four 1 one 1 one 1 one 1 one 1 one 1 one 1 one 1", ("card", 5, 53)),
+        ('call "one.two.three.four" now', ("ip", 6, 24)),
+    ],
+)
+def test_mixed_and_quoted_digit_names(text, found):
+    assert found in pii.all_identifiers(text)[1]
+
+
+def test_gate_agrees_with_no_gate(monkeypatch):
+    rng = random.Random(6)
+    parts = ["one", "two", "four", "Un", "zw\u00f6lf", "dot", "punto", "plus", "1", "22", "word", "at", "@", "oh", "f\u00fcnf", "mail.com", "com"]
+    gaps = [" ", ".", ",", "-", " - ", "; ", "\n", '"', "_", "(", ")", ":", "/", "  ", "\u00a0"]
+    texts = ["".join(rng.choice(parts) + rng.choice(gaps if rng.random() < 0.4 else gaps[:2]) for _ in range(rng.randint(4, 24))) for _ in range(20_000)]
+    gated = [pii.revealed(t) for t in texts]
+    monkeypatch.setattr(pii, "disguised", lambda t: True)
+    assert [pii.revealed(t) for t in texts] == gated and sum(map(bool, gated)) > 100
+
+
 def test_personal_data(odd, empty, documents):
     for text in ("we look at it. The dot product", "at the point of one or two", "", "(at)"):
         assert pii.all_identifiers(text) == ([], [])
