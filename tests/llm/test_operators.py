@@ -549,6 +549,26 @@ def test_toxicity(spark, odd, empty):
     assert toxicity.scored(empty, network, ["doc_id"]).count() == 0
 
 
+def test_toxicity_learns_from_whole_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda rows, share: seen.extend(len(r[0]) for r in rows))
+    docs = spark.createDataFrame([(i, "word " * (5000 + i) + "last", "en") for i in range(4)], "doc_id long, text string, lang string")
+    toxicity.learn(docs, spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, toxic int"))
+    assert sorted(seen) == [5001, 5002, 5003, 5004]
+
+
+def test_pooled_places():
+    network = toxicity.Network.fresh()
+    words = np.array([toxicity.Buckets()[f"w{i % 37}"] for i in range(1000)])
+    for part in (1, 7, 64, 1 << 14):
+        best, at = network.places(words, part)
+        whole, top = network.places(words, 1000)
+        assert np.allclose(best, whole, atol=1e-5) and (at >= 0).all() and at.max() < 1000
+    x = network.embedded(words)
+    assert np.allclose(whole[: toxicity.FILTERS], network.convolved(x, 0).max(axis=0), atol=1e-5)
+    assert (network.places(words[:0])[1] == -1).all() and (network.places(words[:1])[1][toxicity.FILTERS :] == -1).all()
+
+
 # ------------------------------------------------------------------ queries and pipeline
 
 
