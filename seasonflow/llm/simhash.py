@@ -10,20 +10,6 @@ subtrees under its values are joined each with itself. In such a subtree fingerp
 already connected are not compared again, so a dense group costs no pairs, and what leaves a task is
 a spanning forest of its links. Components are then found over these links by contraction.
 
-Four bits of 64 are near a Jaccard similarity of 0.95. The pipeline looks for similarities of 0.8 and
-more, of five-word shingles, where 64 bits tell too little and five blocks find nothing. It votes over
-distinct shingles for ``WIDE`` bits and sets the budget four deviations beyond the mean of pairs
-at 0.8. Chosen bits then lead the trie instead of blocks: in each of some bands the subtree under every
-value of a few drawn bits is joined with itself, under the budget for all bits. The number of drawn
-bits grows with the logarithm of the rows, so subtrees stay small, and bands are as many as it takes
-to miss at most one in fifty pairs at 0.8, by bands and budget together and over the binomial spread of
-the bits in which such pairs differ; closer pairs are missed less.
-
-These links only propose. Each is checked by the exact similarity of the shingle sets, and those below
-0.8 are dropped. A dropped link may have hidden others of its forest, so in components of proposed links
-that hold one the tries are walked again: first for another forest over what is connected by checked
-links, then for all pairs that are still apart. Fingerprints that agree in all bits count as one text.
-
 Defined results: texts with fewer words than a shingle are one shingle; texts without words (null and
 empty ones too) have fingerprint zero and are linked like others; repeated rows share a component;
 a null id never names a component, and a component of null ids alone has none; an empty table gives
@@ -32,7 +18,6 @@ an empty result; other columns are not read.
 
 from __future__ import annotations
 
-import math
 import string
 
 import numpy as np
@@ -40,13 +25,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonflow.llm.common import by_batch, fresh, mixed, shingle_hashes, table, text_content
+from seasonflow.llm.common import by_batch, fresh, table, text_content
 from seasonflow.llm.registry import query
 from seasonflow.session import settle
 
 SHINGLE, BUDGET, SEED = 4, 4, 42
-#: Near copies: words of a shingle, least similarity, bits, share of pairs at that similarity which no band may meet.
-NEAR_SHINGLE, SIMILARITY, WIDE, MISSED = 5, 0.8, 256, 0.02
 #: Node pairs that a task walks at a time, and pairs of leaves below which a node pair is spelled out.
 FRONTIER, SMALL = 1 << 16, 16
 _LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
@@ -72,47 +55,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * votes > len(hashes)).view(">u8")[0])
 
 
-def wide_fingerprint(text: str | None, shingle: int = NEAR_SHINGLE) -> bytes:
-    """``WIDE`` bits, each a majority vote over the distinct shingles of a text."""
-    words = (text or "").encode("utf-8").translate(_LOWER).split()
-    if not words:
-        return bytes(WIDE // 8)
-    numbers = np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
-    found = np.unique(shingle_hashes(numbers, min(shingle, len(words))))
-    votes = np.zeros(WIDE, dtype=np.int64)
-    step = np.arange(1, WIDE // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for at in range(0, len(found), 1 << 12):
-        part = mixed(found[at : at + (1 << 12), None] + step)
-        votes += np.unpackbits(part.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * votes > len(found)).tobytes()
-
-
-def wide_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text_hash, text_bytes and fp (the wide bits as bytes) of every row."""
-    content = text_content(text)
-
-    def work():
-        def step(keys, hashes, sizes, texts):
-            return {"doc_id": keys, "text_hash": hashes, "text_bytes": sizes, "fp": [wide_fingerprint(t.as_py()) for t in texts]}
-
-        return step
-
-    rows = docs.select(key, *(c.alias(n) for n, c in content.items()), text)
-    return by_batch(rows, f"doc_id {docs.schema[key].dataType.simpleString()}, text_hash long, text_bytes int, fp binary", work)
-
-
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the 64 bits as a long) of every row."""
+    """doc_id, text_hash and text_bytes (what tells the text) and fp (the 64 bits as a long) of every row."""
 
     def work():
-        def step(keys, texts):
+        def step(keys, hashes, sizes, texts):
             values = np.array([fingerprint(t.as_py(), shingle) for t in texts], dtype=np.uint64)
-            return {"doc_id": keys, "fp": values.view(np.int64)}
+            return {"doc_id": keys, "text_hash": hashes, "text_bytes": sizes, "fp": values.view(np.int64)}
 
         return step
 
     kind = docs.schema[key].dataType.simpleString()
-    return by_batch(docs.select(key, text), f"doc_id {kind}, fp long", work)
+    rows = docs.select(key, *(c.alias(n) for n, c in text_content(text).items()), text)
+    return by_batch(rows, f"doc_id {kind}, text_hash long, text_bytes int, fp long", work)
 
 
 def turned(bits: np.ndarray, by: int) -> np.ndarray:
@@ -180,23 +135,6 @@ class Numbers:
         return np.bitwise_count(self.bits[x] ^ self.bits[y])
 
 
-class Strings:
-    """Rows of bytes, sorted and distinct in every group, as the leaves of the groups' tries."""
-
-    def __init__(self, rows: np.ndarray):
-        self.rows, self.words, self.depth = rows, rows.view(np.uint64), 8 * rows.shape[1]
-
-    def __len__(self) -> int:
-        return len(self.rows)
-
-    def halves(self, first: np.ndarray, last: np.ndarray, depth: int) -> np.ndarray:
-        ones = np.concatenate(([0], np.cumsum(self.rows[:, depth // 8] >> (7 - depth % 8) & 1, dtype=np.int64)))
-        return last - (ones[last] - ones[first])
-
-    def errors(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        return np.bitwise_count(self.words[x] ^ self.words[y]).sum(axis=1, dtype=np.int64)
-
-
 def trie_links(bits: np.ndarray, lead: int, budget: int) -> list[tuple[int, int]]:
     """Pairs of places in ``bits`` (sorted, distinct) within the budget that span all such links
     between numbers with the same ``lead`` first bits."""
@@ -206,23 +144,19 @@ def trie_links(bits: np.ndarray, lead: int, budget: int) -> list[tuple[int, int]
     return walked(Numbers(bits), np.flatnonzero(head[1:] != head[:-1]) + 1, lead, budget)
 
 
-def walked(leaves: Numbers | Strings, cuts: np.ndarray, depth: int, budget: int) -> list[tuple[int, int]]:
+def walked(leaves: Numbers, cuts: np.ndarray, depth: int, budget: int) -> list[tuple[int, int]]:
     """Pairs of leaves within the budget that span all such links inside the subtrees which begin at
     the ``cuts``; the bits of a subtree agree above ``depth``."""
     return [pair for found in walk(leaves, cuts, depth, budget) for pair in found]
 
 
-def walk(leaves: Numbers | Strings, cuts: np.ndarray, depth: int, budget: int, known: np.ndarray | None = None, every: bool = False):
-    """Lists of such pairs as they are found. Leaves with equal ``known`` numbers are connected from
-    the start; with ``every``, all pairs that these leave apart are given instead of a forest."""
+def walk(leaves: Numbers, cuts: np.ndarray, depth: int, budget: int):
+    """Lists of such pairs as they are found."""
     n = len(leaves)
     starts = np.concatenate(([0], cuts))
     stops = np.concatenate((cuts, [n]))
     many = stops - starts > 1
     forest = Forest(n)
-    if known is not None:
-        _, first, place = np.unique(known, return_index=True, return_inverse=True)
-        forest.up = first[place]
     root = np.stack([starts[many], stops[many], starts[many], stops[many], np.zeros(many.sum(), dtype=np.int64)])
     stack = [(root[:, i : i + FRONTIER // 16], depth) for i in range(0, root.shape[1], FRONTIER // 16)]
     labels = forest.labels()
@@ -238,9 +172,7 @@ def walk(leaves: Numbers | Strings, cuts: np.ndarray, depth: int, budget: int, k
         found = _leaves(leaves, pairs[:, small], budget)
         if len(found[0]):
             apart = labels[found[0]] != labels[found[1]]
-            if every:
-                yield list(zip(found[0][apart].tolist(), found[1][apart].tolist()))
-            elif made := forest.join(found[0][apart], found[1][apart]):
+            if made := forest.join(found[0][apart], found[1][apart]):
                 yield made
                 labels = forest.labels()
                 changes = np.concatenate(([0], np.cumsum(labels[1:] != labels[:-1])))
@@ -250,7 +182,7 @@ def walk(leaves: Numbers | Strings, cuts: np.ndarray, depth: int, budget: int, k
             stack += [(below[:, i : i + FRONTIER], depth + 1) for i in range(0, below.shape[1], FRONTIER)]
 
 
-def _children(leaves: Numbers | Strings, pairs: np.ndarray, depth: int, budget: int) -> np.ndarray:
+def _children(leaves: Numbers, pairs: np.ndarray, depth: int, budget: int) -> np.ndarray:
     a, b, c, d, errors = pairs
     m, k, itself = leaves.halves(a, b, depth), leaves.halves(c, d, depth), a == c
     # a node with itself has three pairs of children, two nodes have four
@@ -265,7 +197,7 @@ def _children(leaves: Numbers | Strings, pairs: np.ndarray, depth: int, budget:
     return np.concatenate(kept, axis=1)
 
 
-def _leaves(leaves: Numbers | Strings, pairs: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+def _leaves(leaves: Numbers, pairs: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
     a, b, c, d, _ = pairs
     width, sizes = d - c, (b - a) * (d - c)
     which = np.repeat(np.arange(len(a)), sizes)
@@ -299,134 +231,6 @@ def links(distinct: DataFrame, budget: int = BUDGET) -> DataFrame:
     return dealt.mapInArrow(run, "u long, v long")
 
 
-def packed(column) -> np.ndarray:
-    """The rows of bytes of an Arrow column of wide fingerprints."""
-    _, offsets, data = column.buffers()
-    at = np.frombuffer(offsets, dtype=np.int32)[column.offset : column.offset + len(column) + 1]
-    return np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]].reshape(len(column), WIDE // 8)
-
-
-def shingle_set(text: str | None, shingle: int = NEAR_SHINGLE) -> np.ndarray:
-    """Hashes of the distinct shingles of a text."""
-    words = (text or "").encode("utf-8").translate(_LOWER).split()
-    numbers = np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
-    return np.unique(shingle_hashes(numbers, min(shingle, len(words)))) if words else numbers
-
-
-def wide_miss(budget: int, drawn: int, bands: int) -> float:
-    """Share of the pairs at the similarity that the budget or all bands miss, over the spread of differing bits."""
-    apart = math.acos(2 * SIMILARITY / (1 + SIMILARITY)) / math.pi  # share of differing bits at the similarity
-    share = [math.comb(WIDE, k) * apart**k * (1 - apart) ** (WIDE - k) for k in range(budget + 1)]
-    return 1 - sum(p * (1 - (1 - math.prod((WIDE - k - i) / (WIDE - i) for i in range(drawn))) ** bands) for k, p in enumerate(share))
-
-
-def wide_law(rows: int) -> tuple[int, int, int]:
-    """For so many rows: the budget, the bits drawn for a band, and the bands."""
-    apart = math.acos(2 * SIMILARITY / (1 + SIMILARITY)) / math.pi
-    budget = math.floor(WIDE * apart + 4 * math.sqrt(WIDE * apart * (1 - apart)))
-    drawn = max(8, int(math.log2(max(rows, 1))) - 4)  # some thirty rows for each value
-    bands = 1
-    while wide_miss(budget, drawn, bands) > MISSED:
-        bands += max(1, bands // 32)
-    return budget, drawn, bands
-
-
-def wide_links(distinct: DataFrame, law: tuple[int, int, int] | None = None, every: bool = False) -> DataFrame:
-    """u and v: a spanning forest, for every subtree of every band, of the links between distinct wide fingerprints.
-
-    Where ``distinct`` has ``known`` (long), equal numbers are connected already; ``every`` gives all
-    pairs that are not, instead of a forest.
-    """
-    budget, drawn, bands = law or wide_law(distinct.count())
-    rng = np.random.default_rng(SEED)
-    places = [rng.choice(WIDE, drawn, replace=False) for _ in range(bands)]
-    again = "known" in distinct.columns
-
-    def deal(batches):
-        import pyarrow as pa
-
-        powers = np.left_shift(np.int64(1), np.arange(drawn, dtype=np.int64))
-        for batch in batches:
-            fps = batch.column(0)
-            if len(fps):
-                bits = np.unpackbits(packed(fps), axis=1)
-                for i, place in enumerate(places):
-                    values = (bits[:, place] * powers).sum(axis=1) * bands + i
-                    yield pa.RecordBatch.from_arrays([pa.array(values), *batch.columns], names=["band", *batch.schema.names])
-
-    def run(batches):
-        import pyarrow as pa
-
-        # of equal band values only those that occur twice can hold a pair
-        held = [tuple(b.column(i).to_numpy(zero_copy_only=False) if i != 1 else packed(b.column(1)) for i in range(b.num_columns)) for b in batches if b.num_rows]
-        if not held:
-            return
-        band, rows = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-        known = np.concatenate([h[2] for h in held]) if again else None
-        _, place, times = np.unique(band, return_inverse=True, return_counts=True)
-        paired = np.flatnonzero(times[place] > 1)
-        words = rows[paired].view(">u8")
-        if again:
-            words = words[:, ::-1]  # another order of bits gives another forest
-        order = paired[np.lexsort((*(words[:, i] for i in reversed(range(words.shape[1]))), band[paired]))]
-        band, rows = band[order], np.ascontiguousarray(rows[order])
-        known = known[order] if again else None
-        starts = np.concatenate(([0], np.flatnonzero(band[1:] != band[:-1]) + 1)) if len(band) else []
-        at = 0
-        while at < len(starts):  # some groups at a time
-            upto = max(at + 1, int(np.searchsorted(starts, starts[at] + FRONTIER)))
-            first, last = starts[at], starts[upto] if upto < len(starts) else len(band)
-            part = rows[first:last]
-            leaves = np.ascontiguousarray(part.view(np.uint64)[:, ::-1]).view(np.uint8) if again else part
-            for made in walk(Strings(leaves), starts[at + 1 : upto] - first, 0, budget, known[first:last] if again else None, every):
-                for i in range(0, len(made), FRONTIER):
-                    ends = part[np.array(made[i : i + FRONTIER])]
-                    yield pa.RecordBatch.from_pydict({"u": [e.tobytes() for e in ends[:, 0]], "v": [e.tobytes() for e in ends[:, 1]]})
-            at = upto
-
-    columns = ["fp", "known"] if again else ["fp"]
-    dealt = distinct.select(*columns).mapInArrow(deal, "band long, fp binary" + (", known long" if again else ""))
-    return dealt.repartition("band").mapInArrow(run, "u binary, v binary")
-
-
-def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Adds ``close``: whether the shingle sets (sets: fp, shingles) of both ends reach the similarity."""
-    a = sets.select(F.col("fp").alias("u"), F.col("shingles").alias("a"))
-    b = sets.select(F.col("fp").alias("v"), F.col("shingles").alias("b"))
-    common = F.size(F.array_intersect("a", "b")).cast("long")
-    # in whole numbers of hundredths: common / (all - common) >= similarity
-    part = round(100 * SIMILARITY)
-    close = common * (100 + part) >= (F.size("a").cast("long") + F.size("b")) * F.lit(part)
-    return pairs.join(a, "u").join(b, "v").select("u", "v", close.alias("close"))
-
-
-def checked_links(distinct: DataFrame, sets_of) -> DataFrame:
-    """u and v: links between distinct fingerprints whose texts are similar; their components are those of
-    all such pairs that the bands propose. ``sets_of`` gives the shingles (fp, shingles) of the ends of pairs."""
-    law = wide_law(distinct.count())
-    oriented = lambda df: settle(df.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-    first = oriented(wide_links(distinct, law))
-    ends = first.select(F.col("u").alias("fp")).union(first.select(F.col("v").alias("fp"))).distinct()
-    sets = settle(sets_of(ends))
-    found = settle(similar(first, sets))
-    links = found.where("close").select("u", "v")
-    if found.where("NOT close").isEmpty():
-        return links
-    # unconnected pairs within the budget can only be in components of proposed links that lost a link
-    proposed = components(first)
-    torn = found.where("NOT close").select(F.col("u").alias("node")).join(proposed, "node").select("root").distinct()
-    open_nodes = settle(proposed.join(torn, "root", "left_semi").select(F.col("node").alias("fp")))
-    tried = found.select("u", "v")
-    for every in (False, True):
-        roots = components(links).withColumnRenamed("node", "fp")
-        known = open_nodes.join(roots, "fp", "left").select("fp", F.xxhash64(F.coalesce("root", "fp")).alias("known"))
-        pairs = oriented(wide_links(settle(known), law, every))
-        new = settle(similar(pairs.join(tried, ["u", "v"], "left_anti"), sets))
-        tried = tried.union(new.select("u", "v"))
-        links = links.union(new.where("close").select("u", "v"))
-    return links
-
-
 def components(edges: DataFrame) -> DataFrame:
     """node and root for every end of the edges (u, v); the same root for all of a component.
 
@@ -458,34 +262,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def grouped(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET) -> DataFrame:
-    """doc_id, fp, root (a fingerprint of the component) and component_id (the least id of all
-    documents that links reach) of every row."""
-    return _connected(settle(fingerprints(docs, shingle=shingle)), lambda distinct: links(distinct, budget))
-
-
-def near_copies(docs: DataFrame) -> DataFrame:
-    """The same by wide fingerprints: components of texts whose similarity is ``SIMILARITY`` or more.
-
-    text_hash and text_bytes tell the text of a row.
-    """
-    marks = settle(wide_fingerprints(docs))
-
-    def sets_of(ends: DataFrame) -> DataFrame:
-        # one text stands for each fingerprint
-        chosen = marks.join(ends, "fp", "left_semi").groupBy("fp").agg(F.min(F.struct("text_hash", "text_bytes")).alias("one"))
-        chosen = chosen.select("fp", F.col("one.text_hash").alias("h"), F.col("one.text_bytes").alias("n"))
-        content = text_content()
-        match = F.col("text_hash").eqNullSafe(F.col("h")) & F.col("text_bytes").eqNullSafe(F.col("n"))
-        texts = docs.select(*(c.alias(n) for n, c in content.items()), "text").join(chosen, match).select("fp", "text")
-        work = lambda: lambda fps, texts: {"fp": fps, "shingles": [shingle_set(t.as_py()).view(np.int64) for t in texts]}
-        return by_batch(texts.dropDuplicates(["fp"]), "fp binary, shingles array<long>", work)
-
-    return _connected(marks, lambda distinct: checked_links(distinct, sets_of))
-
-
-def _connected(marks: DataFrame, find) -> DataFrame:
+    """doc_id, text_hash, text_bytes, fp, root (a fingerprint of the component) and component_id (the
+    least id of all documents that links reach) of every row."""
+    marks = settle(fingerprints(docs, shingle=shingle))
     distinct = settle(marks.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(find(distinct.select("fp"))).withColumnRenamed("node", "fp")
+    roots = components(links(distinct.select("fp"), budget)).withColumnRenamed("node", "fp")
     rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = settle(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     ids = settle(rooted.join(named, "root").select("fp", "root", "component_id"))
@@ -500,12 +281,13 @@ def simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component: that of the least id, null last, and of its texts the least by hash and length.
+    """One row of each component of ``grouped``: that of the least id, null last, and of its texts the least by
+    hash and length.
 
-    Groups are those of ``near_copies``: five-word shingles, a similarity of 0.8 or more. The row is looked up by id and
-    content, so other texts of its id are judged by their own components; repeated rows of that id and text leave one.
+    The row is looked up by id and content, so other texts of its id are judged by their own components; repeated
+    rows of that id and text leave one.
     """
-    found = settle(near_copies(docs.select("doc_id", "text")))
+    found = settle(grouped(docs.select("doc_id", "text")))
     content = {"doc_id": F.col("doc_id"), **text_content()}
     rows = found.groupBy("root", *content).agg(F.count("*").alias("times"))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), *content, "times")).alias("least")
