@@ -121,6 +121,22 @@ _BRACKET_AT = re.compile(rf"{_OPEN}(?:{_AT}|@){_CLOSE}", re.I)
 _BRACKET_DOT = re.compile(rf"{_OPEN}(?:{_DOT}|\.){_CLOSE}", re.I)
 _SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])[ \t]{1,3}@[ \t]{0,3}(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@[ \t]{1,3}(?=[A-Za-z0-9])")
 _WORD_DOT = re.compile(rf"(?<=[\w-])(?:\s{{1,3}}|[-_]){_DOT}(?:\s{{1,3}}|[-_])(?=[\w-])", re.I)
+# the word itself; that a domain follows is seen by ``Domains``, which reads each of them once
+_WORD_AT = re.compile(rf"(?<=[A-Za-z0-9])(?:\s{{1,3}}|[-_]){_AT}(?:\s{{1,3}}|[-_])(?=[A-Za-z0-9-])", re.I)
+_CHAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*", re.I)
+_TOP_LEVEL = re.compile(r"\.[A-Za-z]{2,}\b", re.I)
+_NAMES = {
+    "zero": 0, "oh": 0, "one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9,
+    "null": 0, "eins": 1, "zwei": 2, "zwo": 2, "drei": 3, "vier": 4, "fünf": 5, "sechs": 6, "sieben": 7, "acht": 8, "neun": 9,
+    "zéro": 0, "un": 1, "deux": 2, "trois": 3, "quatre": 4, "cinq": 5, "sept": 7, "huit": 8, "neuf": 9,
+    "cero": 0, "uno": 1, "dos": 2, "tres": 3, "cuatro": 4, "cinco": 5, "seis": 6, "siete": 7, "ocho": 8, "nueve": 9,
+}
+_AT, _DOT, _PLUS = r"(?:at|arroba|aroba|arobase|klammeraffe)", r"(?:dot|punkt|point|punto)", r"(?:plus|más|mas)"
+_OPEN, _CLOSE = r"\s{0,3}[\[({<]\s{0,3}", r"\s{0,3}[\])}>]\s{0,3}"
+_BRACKET_AT = re.compile(rf"{_OPEN}(?:{_AT}|@){_CLOSE}", re.I)
+_BRACKET_DOT = re.compile(rf"{_OPEN}(?:{_DOT}|\.){_CLOSE}", re.I)
+_SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])[ \t]{1,3}@[ \t]{0,3}(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@[ \t]{1,3}(?=[A-Za-z0-9])")
+_WORD_DOT = re.compile(rf"(?<=[\w-])(?:\s{{1,3}}|[-_]){_DOT}(?:\s{{1,3}}|[-_])(?=[\w-])", re.I)
 _WORD_AT = re.compile(rf"(?<=[A-Za-z0-9])(?:\s{{1,3}}|[-_]){_AT}(?:\s{{1,3}}|[-_])(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}}\b)", re.I)
 _NAMES = "|".join(sorted(_DIGIT_NAMES, key=lambda n: (-len(n), n)))
 _GAP = r"(?:[\s,;]{1,3}|-|\s-\s)"
@@ -225,17 +241,45 @@ def spelled_digits(tape: Tape) -> Tape:
     return tape.rewrite(edits)
 
 
+class Domains:
+    """Whether a domain begins at a place; places are asked for in rising order, each chain of labels is read once."""
+
+    def __init__(self, text: str):
+        self.text, self.end, self.last = text, -1, -1
+
+    def begins(self, at: int) -> bool:
+        if at >= self.end:
+            chain = _CHAIN.match(self.text, at)
+            if chain is None:
+                return False
+            self.end, self.last = chain.end(), -1
+            for m in _TOP_LEVEL.finditer(self.text, at, self.end + 1):
+                self.last = m.start()
+        return self.last > at
+
+
+def words_for_at(text: str) -> list[tuple[int, int]]:
+    """Where a word for @ stands between a local part and a domain."""
+    found, domains, m = [], Domains(text), _WORD_AT.search(text)
+    while m:
+        good = domains.begins(m.end())
+        if good:
+            found.append(m.span())
+        m = _WORD_AT.search(text, m.end() if good else m.start() + 1)
+    return found
+
+
 def signs(tape: Tape) -> Tape:
     """Words and brackets that stand for @ and . become the signs: dots first, as they make domains."""
-    for pattern, sign in ((_BRACKET_DOT, "."), (_BRACKET_AT, "@"), (_SPACED_AT, "@"), (_WORD_DOT, "."), (_WORD_AT, "@")):
+    for pattern, sign in ((_BRACKET_DOT, "."), (_BRACKET_AT, "@"), (_SPACED_AT, "@"), (_WORD_DOT, ".")):
         tape = tape.rewrite([(m.start(), m.end(), sign) for m in pattern.finditer(tape.text)])
-    return tape
+    return tape.rewrite([(*span, "@") for span in words_for_at(tape.text)])
 
 
 _DOT_NAMES = frozenset(("dot", "punkt", "point", "punto"))
 _DIGIT_WORDS = frozenset(_DIGIT_NAMES)
 _WORDS = re.compile(r"[\W_]+")
-_SPACED_DOMAIN = re.compile(r"(?:at|arroba|aroba|arobase|klammeraffe)[\s_-]{1,3}[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]")
+_AT_NAMES = re.compile(r"(?:at|arroba|aroba|arobase|klammeraffe)[\s_-]{1,3}(?=[a-z0-9-])")
 _FOLDED = re.compile("[İıſ]")  # match plain letters where case is ignored
 _BRACKETED = re.compile(r"[\[({<]\s{0,3}(?:at|arroba|aroba|arobase|klammeraffe|dot|punkt|point|punto|@|\.)\s{0,3}[\])}>]")
 
@@ -261,7 +305,8 @@ def disguised(text: str) -> bool:
         # as many names as count, wherever digits or signs stand between them
         if sum(map(_DIGIT_WORDS.__contains__, words)) >= LEAST_SPELLED and any(_named(m[0]) >= LEAST_SPELLED for m in _SPELLED.finditer(text)):
             return True
-    return bool(_SPACED_DOMAIN.search(text.lower()))
+    domains = Domains(low)
+    return any(domains.begins(m.end()) for m in _AT_NAMES.finditer(low))
 
 
 def revealed(text: str) -> list[tuple[str, int, int]]:
