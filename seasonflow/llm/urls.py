@@ -1,7 +1,7 @@
 """URL rules by a blocked Bloom filter and an exact hash join.
 
 Rules are listed as ``host/path``. A rule fits its host and all subdomains if the URL's path starts
-with the rule's path; the longest host wins, then the longest path. Each URL yields the canonical
+with the rule's path; the longest rule wins, of equally long ones that of the longer host. Each URL yields the canonical
 keys under which a rule could be listed: its host's last labels and its path's first characters, in
 the few shapes that the list has. A blocked Bloom filter of the listed keys (one block of 256 bits
 for each key) passes the possible hits on; an exact join with the list removes the false ones.
@@ -45,7 +45,7 @@ def path_of(url: Column) -> Column:
 
 
 def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:
-    """verdict, rule, its host and path, and its rank: the longer rule has the higher one."""
+    """verdict, rule, its host and path, and their shape."""
     rows = []
     for verdict, rule in rules:
         host, slash, path = rule.partition("/")
@@ -112,7 +112,7 @@ def judge(pages: DataFrame, listed: DataFrame, default: str = "allow") -> DataFr
     possible = probes.join(bloom, F.col("block") == F.col("bloom_block"), "left").select(
         "page_id", "row", "host", "path", F.when(passes, F.col("key")).alias("key")
     )
-    exact = listed.select("key", "rule", "verdict", F.struct("labels", F.length("rule_host").alias("l"), "path_length").alias("rank"))
+    exact = listed.select("key", "rule", "verdict", F.struct(F.length("rule").alias("length"), F.length("rule_host").alias("host_length"), "verdict").alias("rank"))
     hits = possible.join(exact, "key", "left")
     best = F.max_by(F.struct("rule", "verdict"), F.col("rank"))
     judged = hits.groupBy("row", "page_id", "host", "path").agg(best.alias("best"))
