@@ -75,11 +75,10 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = P
 
         letters = letter_table()
         held: dict[str, list[np.ndarray]] = {}
-        amount: dict[str, int] = {}
+        amount = 0  # over all languages
 
         def sum_up(name):
             values, counts = counted(np.concatenate(held.pop(name)))
-            amount[name] = 0
             return pa.RecordBatch.from_pydict({"lang": [name] * len(values), "gram": values, "n": counts})
 
         for batch in batches:
@@ -87,16 +86,18 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = P
                 name = name.as_py()
                 codes = ngrams(text.as_py(), letters)
                 held.setdefault(name, []).append(codes)
-                amount[name] = amount.get(name, 0) + len(codes)
-                if amount[name] > HELD:
-                    yield sum_up(name)
-        for name in list(held):
-            yield sum_up(name)
+                amount += len(codes)
+                if amount > HELD:
+                    yield from map(sum_up, list(held))
+                    amount = 0
+        yield from map(sum_up, list(held))
 
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string"), text)
     sums = rows.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")  # n-grams of an alphabet, not of the corpus
-    return sums.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < size).select("lang", "gram", "rank")
+    # Spark limits the rows of a language in every task before it deals them, whatever the size of the alphabet
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
+    first = sums.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size)
+    return first.select("lang", "gram", (F.col("place") - 1).alias("rank"))
 
 
 class Profiles:
