@@ -22,6 +22,10 @@ from seasonflow.session import literal_table, scratch_path, settle
 
 SLOTS = 8192
 SHARDS = 40
+#: Parts of a virtual slot that holds more than its part's share of all records.
+PARTS = 1024
+#: Records up to which a slot is numbered in one task anyway.
+LEAST_HOT = 100_000
 #: Bytes that a record has besides its text.
 RECORD_BYTES = 16
 MAP_SCHEMA = "version int, virtual_slot int, shard int"
@@ -39,6 +43,7 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", slots: int
         (F.octet_length(body) + F.lit(RECORD_BYTES)).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),
         virtual_slot(F.col(key), slots).alias("virtual_slot"),
+        F.monotonically_increasing_id().alias("part"),
     )
 
 
@@ -140,18 +145,27 @@ def assign(rows: DataFrame, spark: SparkSession, path: str, version: int) -> Dat
     """Adds the shard of a map's version, and a gapless position in the shard.
 
     Positions come from the counts of the virtual slots before a slot in its shard, and a row number
-    in the slot: no task holds a shard.
+    in the slot: no task holds a shard. ``rows`` is a stored table with ``part`` (a number that spreads
+    equal records too); a slot with more than one of ``PARTS`` of all records (null or much repeated ids)
+    is numbered by its parts, so no task holds it either. There are fewer than ``PARTS`` such slots.
     """
     _, mapping = load_map(spark, path, version)
     counts = {r.virtual_slot: r.records for r in slot_loads(rows).collect()}
+    most = max(sum(counts.values()) // PARTS, LEAST_HOT)
     bases, base = [], {}
     for slot, shard in sorted(mapping.items()):
-        bases.append((slot, shard, base.get(shard, 0)))
+        bases.append((slot, shard, base.get(shard, 0), counts.get(slot, 0) > most))
         base[shard] = base.get(shard, 0) + counts.get(slot, 0)
-    placed = literal_table(spark, bases, "virtual_slot int, shard int, base long")
-    order = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
-    numbered = rows.withColumn("place", F.row_number().over(order) - 1)
-    return numbered.join(F.broadcast(placed), "virtual_slot").withColumn("slot", (F.col("base") + F.col("place")).cast("long"))
+    placed = literal_table(spark, bases, "virtual_slot int, shard int, base long, hot boolean")
+    dealt = rows.join(F.broadcast(placed), "virtual_slot")
+    dealt = dealt.withColumn("part", F.when(F.col("hot"), F.pmod("part", F.lit(PARTS))).otherwise(0))
+    order = Window.partitionBy("virtual_slot", "part").orderBy("doc_id", "text_crc32", "size")
+    numbered = dealt.withColumn("place", F.col("base") + F.row_number().over(order) - 1)
+    sizes = dealt.where("hot").groupBy("virtual_slot", "part").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("virtual_slot").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = settle(sizes.select("virtual_slot", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift")))
+    whole = numbered.join(shifts, ["virtual_slot", "part"], "left")
+    return whole.withColumn("slot", F.col("place") + F.coalesce("shift", F.lit(0)))
 
 
 @query("op8_virtual_slots")
