@@ -5,6 +5,7 @@ import hashlib
 import json
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -258,6 +259,32 @@ def test_urls(spark):
     assert urls.judge(pages, urls.rule_table(spark).limit(0)).where("verdict = 'allow' AND rule IS NULL").count() == len(cases)
 
 
+def test_the_longest_rule_wins(spark):
+    listed = urls.rule_table(spark, [("block", "example.com/en/longer/"), ("allow", "www.example.com/en/"), ("block", "a.b/c/"), ("allow", "x.a.b/")])
+    pages = spark.createDataFrame([(1, "http://www.example.com/en/longer/x"), (2, "http://x.a.b/c/"), (3, "http://a.b/c/")], "page_id long, url string")
+    got = {r.page_id: r.rule for r in urls.judge(pages, listed).collect()}
+    assert got == {1: "example.com/en/longer/", 2: "x.a.b/", 3: "a.b/c/"}
+
+
+def test_positions_of_hot_slots(spark, odd, empty, folder, monkeypatch):
+    import zlib
+
+    path = f"{folder}/map"
+    sharding.store_map(spark, path, 1, sharding.first_map())
+    many = [(None, f"t{i % 7}") for i in range(900)] + [(5, "same")] * 400 + [(i, f"t{i}") for i in range(300)]
+    for rows in (ROWS, many):
+        docs = spark.createDataFrame([(r[0], r[1]) for r in rows], "doc_id long, text string").repartition(6)
+        for least in (100_000, 3):  # one task for each slot, and hot slots by their parts
+            monkeypatch.setattr(sharding, "LEAST_HOT", least)
+            got = sharding.assign(sharding.settle(sharding.digests(docs)), spark, path, 1).collect()
+            slow = collections.Counter((r[0], len((r[1] or "").encode()) + 16, zlib.crc32((r[1] or "").encode())) for r in rows)
+            assert collections.Counter((r.doc_id, r["size"], r.text_crc32) for r in got) == slow
+            for shard in range(40):
+                own = sorted(r.slot for r in got if r.shard == shard)
+                assert own == list(range(len(own)))
+    assert sharding.assign(sharding.settle(sharding.digests(empty)), spark, path, 1).count() == 0
+
+
 def test_sharding(spark, odd, empty, folder):
     rows = sharding.digests(odd)
     sharding.store_map(spark, f"{folder}/map", 1, sharding.first_map(64, 4))
@@ -388,6 +415,27 @@ def test_gate_agrees_with_no_gate(monkeypatch):
     assert [pii.revealed(t) for t in texts] == gated and sum(map(bool, gated)) > 100
 
 
+OLD_WORD_AT = re.compile(
+    r"(?<=[A-Za-z0-9])(?:\s{1,3}|[-_])(?:at|arroba|aroba|arobase|klammeraffe)(?:\s{1,3}|[-_])(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\b)", re.I
+)
+
+
+def test_words_for_at_equal_one_pattern_with_look_ahead():
+    rng = random.Random(11)
+    parts = ["at", "-", "_", " ", ".", "a", "b1", "com", ".de", "AT", "\n", "\u00e9", "arroba", "x.y", "\u0131", "  "]
+    for _ in range(40_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(3, 16)))
+        assert pii.words_for_at(text) == [m.span() for m in OLD_WORD_AT.finditer(text)]
+
+
+@pytest.mark.parametrize("unit", ["at-", "a.", "at-a.", "at-a.co", "7", "1.", "one ", "one-", "1 ", "+1(", "a@", "@a.", "(at", "[ dot ", "at at ", " dot ", "\u0430"])
+def test_hostile_texts_take_linear_time(unit):
+    text = unit * (1_000_000 // len(unit))
+    start = time.process_time()
+    pii.all_identifiers(text)
+    assert time.process_time() - start < 12
+
+
 def test_personal_data(odd, empty, documents):
     for text in ("we look at it. The dot product", "at the point of one or two", "", "(at)"):
         assert pii.all_identifiers(text) == ([], [])
@@ -416,6 +464,26 @@ def test_language(odd, empty, documents):
     assert language.identify(empty, profiles, ["doc_id"]).count() == 0
 
 
+def test_distances_equal_the_naive_ones(documents):
+    letters, rng = language.letter_table(), random.Random(5)
+    rows = [("a", g, k) for k, g in enumerate(rng.sample(range(200), 60))] + [("b", g, k) for k, g in enumerate(rng.sample(range(200), 60))]
+    known = language.Profiles(rows, 60)
+    for _ in range(50):
+        mine = np.array(rng.sample(range(220), rng.randint(1, 60)))
+        for name, away in zip(known.names, known.distances(mine)):
+            places = {g: k for n, g, k in rows if n == name}
+            assert away == sum(abs(places[g] - k) if g in places else 60 for k, g in enumerate(mine.tolist()))
+    # profiles by one count over all texts
+    docs = documents.where("lang IS NOT NULL").select("text", "lang").collect()
+    expected = collections.defaultdict(collections.Counter)
+    for r in docs:
+        expected[r.lang].update(language.ngrams(r.text, letters).tolist())
+    got = {(r.lang, r.gram): r["rank"] for r in language.learn(documents).collect()}
+    for name, counts in expected.items():
+        order = sorted(counts, key=lambda g: (-counts[g], g))[: language.PROFILE]
+        assert [got[name, g] for g in order] == list(range(len(order)))
+
+
 def test_ranked_ngrams():
     letters = language.letter_table()
     codes = language.ngrams("Ab, ab!", letters)
@@ -448,6 +516,50 @@ def test_toxicity(spark, odd, empty):
     assert toxicity.scored(empty, network, ["doc_id"]).count() == 0
 
 
+def test_toxicity_sample_bounds_rows(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda rows, share: seen.extend(rows))
+    docs = spark.createDataFrame([(i % 2, f"text {i}", None) for i in range(600)] + [(5, None, "en")], "doc_id long, text string, lang string")
+    toxicity.learn(docs.repartition(4), spark.createDataFrame([(0, 0), (1, 1), (5, 1), (6, 0)], "doc_id long, toxic int"), sample=10)
+    assert sorted(r[1] for r in seen) == [0, 1, 1]
+
+
+def test_slopes_equal_differences_of_the_loss():
+    """One step of training without momentum goes against the numeric slope of the loss."""
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, 50, n) << 32 | rng.integers(0, 50, n) for n in (1, 2, 7, 30)]
+    labels = np.array([0, 1, 1, 0])
+
+    def loss(net):
+        z = np.array([net.pooled(t) @ net.out + net.bias for t in texts], dtype=np.float64)
+        return float(np.mean(np.logaddexp(0, z) - labels * z))
+
+    slopes = {}
+
+    class Recorder(toxicity.Adam):
+        def step(self, name, weights, slope, rows=None):
+            slopes.setdefault(name, (slope.copy(), rows))
+
+    original, toxicity.Adam = toxicity.Adam, Recorder
+    try:
+        toxicity.train(texts, labels, epochs=1)
+    finally:
+        toxicity.Adam = original
+    net = toxicity.Network.fresh()
+    checks = [("out", net.out, i) for i in range(0, 36, 5)]
+    checks += [(f"f{w}", net.filters[w], (k, d, 3)) for w in range(3) for k in range(w + 1) for d in (0, 5)]
+    checks += [(f"s{w}", net.shifts[w], 4) for w in range(3)]
+    for name, weights, at in checks:
+        values = []
+        for move in (2e-3, -2e-3):
+            kept = weights[at]
+            weights[at] = kept + move
+            values.append(loss(net))
+            weights[at] = kept
+        slope = slopes[name][0][at] - (1e-4 * weights[at] if name == "out" else 0)
+        assert abs(slope - (values[0] - values[1]) / 4e-3) < 2e-3, (name, at)
+
+
 def test_toxicity_learns_from_whole_texts(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(toxicity, "fit", lambda rows, share: seen.extend(len(r[0]) for r in rows))
