@@ -589,7 +589,7 @@ def test_sql(spark, name):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark, documents):
