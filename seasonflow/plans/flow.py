@@ -108,16 +108,15 @@ def model_step(
 
     mean = SeasonalMean().fit(train).transform(test)
     light = forecasters.fit_boosted(marked, names, effort.light)
-    per_key = forecasters.fit_per_key(rows, names, effort.per_key, threads)
+    per_key = forecasters.fit_per_key(rows, names, effort.per_key, threads, f"{root}/models/per_key")
     sinks.save_model(light, f"{root}/models/boosted")
-    sinks.save_models(per_key, f"{root}/models/per_key")
     scored: Mapping[str, DataFrame] = {
         "Baseline": mean,
         "RidgeBaseline": forecasters.predict(forecasters.fit_ridge(train, names), test),
         "RandomForest": forecasters.predict(forecasters.fit_forest(train, names, effort.trees, effort.depth), test),
         "LightGBM": forecasters.predict(light, test),
         "XGBoost": forecasters.predict(forecasters.fit_boosted(marked, names, effort.tuned), test),
-        "LGB_PerLinea": forecasters.predict_per_key(per_key, test),
+        "LGB_PerLinea": forecasters.predict_per_key(per_key, test, mean),
     }
     preds = evaluate.stack([evaluate.prediction_rows(s, name) for name, s in scored.items()])
     sinks.write_predictions(preds, f"{root}/predictions")

@@ -8,24 +8,31 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seasonflow.operators import trees
 from seasonflow.operators.baseline import clip, fold_forecasts
 from seasonflow.operators.evaluate import BASELINE, improvements, metrics_by, prediction_rows
 from seasonflow.operators.split import Fold, fold_rows, fold_sizes, key_sizes, tail_split
-from seasonflow.session import literal_table, settle, shared_dir
+from seasonflow.operators.trees import Inputs, TreeModel
+from seasonflow.session import literal_table, scratch_path, settle
 
 RIDGE_CATEGORICAL = ("key_code", "kind_code")
+#: Columns whose values have no order.
+NOMINAL = ("key_code", "kind_code", "weekday", "month", "hour_of_day")
+#: Rounds between two written tables of a boosting run, and models of keys that are stored together.
+STORED_EVERY, STORED_MODELS = 10, 16
 
 
 @dataclass(frozen=True)
@@ -41,6 +48,7 @@ class Boosting:
     patience: int = 100
     bins: int = 64
     seed: int = 42
+    nominal: tuple[str, ...] = NOMINAL
 
 
 # The settings of the compared learners. Leaf counts become depths, since
@@ -152,155 +160,221 @@ def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
     return best, False
 
 
-def fit_boosted(train: DataFrame, features: Sequence[str], settings: Boosting, is_val: str | None = "is_val") -> PipelineModel:
+def fit_boosted(
+    train: DataFrame, features: Sequence[str], settings: Boosting, is_val: str | None = "is_val", start: TreeModel | None = None
+) -> TreeModel:
     """Boosted trees; rows marked ``is_val`` only decide how many.
 
-    The trees are those of the round with the least error on the marked rows, once ``patience``
-    rounds after it have brought no gain. Spark cannot go on from a fitted model, so fits double
-    in length until that round is known, and the last one repeats its first trees: sampling is
-    seeded by the round, so they are the same. Without marked rows all rounds are kept.
+    Every row keeps its prediction so far, and each round fits one tree to what is left, so a round is fitted
+    once: the trees are those of Spark's ``GBTRegressor`` (whose candidate splits come from one draw of the rows
+    where these are very many, and from one draw a round here). The error on the marked rows is kept as rounds
+    go on; the fit ends ``patience`` rounds after the best one, whose trees are kept. Without marked rows all
+    rounds are kept. ``start`` goes on from a model: its trees count as rounds and stay.
 
-    The label codes are small integers whose splits are found like those of any
-    number, which separates categories as well as category splits do, with more depth.
+    Nominal columns are split by sets of their values. Predictions are held by the executors and written to the
+    shared folder every few rounds, so a lost executor costs these rounds at most.
     """
-    shared_dir(train.sparkSession)  # long runs cut their lineage in the shared folder
-    booster = GBTRegressor(
-        featuresCol="features",
-        labelCol="target",
-        stepSize=settings.step,
-        maxDepth=settings.depth,
-        minInstancesPerNode=settings.least_leaf,
-        subsamplingRate=settings.row_share,
-        featureSubsetStrategy=settings.column_share,
-        maxBins=settings.bins,
-        seed=settings.seed,
-        checkpointInterval=10,
-    )
-    inputs = Pipeline(stages=_tree_inputs(features)).fit(train)
+    rounds = list(start.trees) if start else []
+    inputs = start.inputs if start else Inputs.of(train, features, settings.nominal)
     marked = F.coalesce(F.col(is_val), F.lit(False)) if is_val else F.lit(False)
-    rows = settle(inputs.transform(with_target(train)).select("features", "target", marked.alias("is_val")))
-    fitted, held = rows.where("NOT is_val"), rows.where("is_val")
-    if held.isEmpty():
-        return PipelineModel([*inputs.stages, booster.setMaxIter(settings.rounds).fit(fitted)])
-    length = min(settings.rounds, max(1, settings.patience + settings.patience // 4))
-    while True:
-        model = booster.setMaxIter(length).fit(fitted)
-        kept, over = best_round(model.evaluateEachIteration(held, "squared"), settings.patience)
-        if over or length >= settings.rounds:
+    rows = with_target(start.transform(train) if start else train.withColumn("prediction", F.lit(0.0)))
+    vectors = inputs.vectors(rows.select("*", marked.alias("_val"))).select("features", "target", "_val", F.col("prediction").alias("so_far"))
+    state = settle(vectors)
+    watched = not state.where("_val").isEmpty()
+    errors = list(start.errors) if start else []
+    squared = F.avg((F.col("target") - F.col("so_far")) ** 2).alias("e")
+    held = state
+    while len(rounds) < settings.rounds:
+        first = not rounds
+        forest = RandomForestRegressor(
+            featuresCol="features",
+            labelCol="left",
+            predictionCol="more",
+            numTrees=1,
+            bootstrap=False,
+            maxDepth=settings.depth,
+            minInstancesPerNode=settings.least_leaf,
+            subsamplingRate=settings.row_share,
+            featureSubsetStrategy=settings.column_share,
+            maxBins=max(settings.bins, inputs.most_categories),
+            seed=settings.seed + len(rounds),
+        )
+        # the negative slope of the squared error
+        left = F.col("target") if first else 2 * (F.col("target") - F.col("so_far"))
+        fitted = forest.fit(held.where("NOT _val").withColumn("left", left)).trees[0]
+        weight = 1.0 if first else settings.step
+        rounds.append(trees.tree_of(fitted.toDebugString, weight, fitted.featureImportances.toArray().tolist()))
+        fitted = fitted.setPredictionCol("more")
+        moved = fitted.transform(held).withColumn("so_far", F.col("so_far") + weight * F.col("more")).select(*state.columns)
+        after = settle(moved) if len(rounds) % STORED_EVERY == 0 else moved.persist(StorageLevel.MEMORY_AND_DISK)
+        if watched:
+            errors.append(after.where("_val").agg(squared).first()["e"])
+        held.unpersist()
+        held = after
+        if watched and best_round(errors, settings.patience)[1]:
             break
-        length = min(settings.rounds, 2 * length)
-    if 0 < kept < length:
-        model = booster.setMaxIter(kept).fit(fitted)
-    return PipelineModel([*inputs.stages, model])
+    held.unpersist()
+    if watched:
+        rounds = rounds[: max(best_round(errors, settings.patience)[0], 1)]
+    return TreeModel(inputs, rounds, errors)
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: PipelineModel | TreeModel, df: DataFrame) -> DataFrame:
     """Adds ``pred`` in the original scale: clipped at 0 in the log, then inverted."""
     scored = model.transform(df)
     kept = [c for c in df.columns]
     return scored.select(*kept, F.expm1(clip(F.col("prediction"))).alias("pred"))
 
 
-def feature_importance(model: PipelineModel, features: Sequence[str]) -> DataFrame:
-    """``feature, importance`` by impurity gain, largest first."""
+def feature_importance(model: PipelineModel | TreeModel, features: Sequence[str], by: str = "splits") -> DataFrame:
+    """``feature, importance``, largest first: how many splits of the trees use a feature, or by ``gain`` its
+    mean share of a tree's gain in impurity, which is what a forest has."""
     from pyspark.sql import SparkSession
 
-    values = model.stages[-1].featureImportances.toArray().tolist()
+    spark = SparkSession.active()
+    if isinstance(model, TreeModel) and by == "splits":
+        found = trees.split_counts(trees.model_table(spark, {"": model}), model.inputs.columns)
+        return found.select("feature", "importance").orderBy(F.desc("importance"), "feature")
+    if isinstance(model, TreeModel):
+        values = np.mean([t.gain for t in model.trees], axis=0).tolist()
+    else:
+        values = model.stages[-1].featureImportances.toArray().tolist()
     rows = sorted(zip(features, values), key=lambda r: (-r[1], r[0]))
-    return literal_table(SparkSession.active(), rows, "feature string, importance double")
+    return literal_table(spark, rows, "feature string, importance double")
 
 
 # ------------------------------------------------------------------ one model per key
 
 
-def fit_per_key(
-    split: DataFrame, features: Sequence[str], settings: Boosting, threads: int = 4
-) -> dict[str, PipelineModel]:
-    """A boosted model for every key with enough rows, fitted in a bounded pool.
+def fit_per_key(split: DataFrame, features: Sequence[str], settings: Boosting, threads: int = 4, path: str | None = None) -> DataFrame:
+    """A boosted model for every key with enough rows, fitted in a bounded pool: the table of their trees.
 
-    Every key is fitted, whatever their number; :func:`fit_ridge_per_key` costs one job for all of them.
+    Every key is fitted, whatever their number, and its trees are stored before the next ones are fitted;
+    :func:`fit_ridge_per_key` costs one job for all of them.
     """
+    spark = split.sparkSession
+    path = path or scratch_path(spark, "models")
     sizes = key_sizes(split).where("kept").select("key").orderBy("key").collect()  # one row per model
     marked = split.where("split <> 'test'").withColumn("is_val", F.col("split") == "val")
 
-    def fit(key: str) -> PipelineModel:
+    def fit(key: str) -> TreeModel:
         return fit_boosted(marked.where(F.col("key") == key), features, settings)
 
     keys = [row["key"] for row in sizes]
+    trees.model_table(spark, {}).write.mode("overwrite").parquet(path)
     with ThreadPoolExecutor(max_workers=threads) as pool:
-        return dict(zip(keys, pool.map(fit, keys)))
+        for at in range(0, len(keys), STORED_MODELS):
+            some = keys[at : at + STORED_MODELS]
+            trees.model_table(spark, dict(zip(some, pool.map(fit, some)))).coalesce(1).write.mode("append").parquet(path)
+    return spark.read.schema(trees.SCHEMA).parquet(path)
 
 
-def predict_per_key(models: Mapping[str, PipelineModel], df: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
-    """Each key by its own model; other keys by ``fallback`` (``ds, key, hour, pred``), else 0."""
-    parts = [predict(models[key], df.where(F.col("key") == key)) for key in sorted(models)]
-    rest = df.where(~F.col("key").isin(*models)) if models else df
+def predict_per_key(models: DataFrame, df: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
+    """Each key by its own model of the table, in one plan; other keys by ``fallback`` (``ds, key, hour, pred``), else 0."""
+    scored = trees.score_by_key(df, models)
+    own = F.when(F.col("prediction").isNotNull(), F.expm1(clip(F.col("prediction"))))
     if fallback is None:
-        rest = rest.withColumn("pred", F.lit(0.0))
-    else:
-        side = fallback.select("ds", "key", "hour", "pred")
-        rest = rest.join(side, ["ds", "key", "hour"], "left").withColumn("pred", F.coalesce("pred", F.lit(0.0)))
-    whole = rest
-    for part in parts:
-        whole = whole.unionByName(part)
-    return whole
+        return scored.select(*df.columns, F.coalesce(own, F.lit(0.0)).alias("pred"))
+    side = fallback.groupBy("ds", "key", "hour").agg(F.min("pred").alias("_other"))
+    joined = scored.join(side, ["ds", "key", "hour"], "left")
+    return joined.select(*df.columns, F.coalesce(own, "_other", F.lit(0.0)).alias("pred"))
 
 
-def fit_ridge_per_key(
-    train: DataFrame, features: Sequence[str], alpha: float = 1.0, part_rows: int = 200_000
-) -> DataFrame:
-    """``key, weights``: closed-form ridge on log1p for every key, however many.
+def fit_ridge_per_key(train: DataFrame, features: Sequence[str], alpha: float = 1.0, held: int = 256) -> DataFrame:
+    """``key, weights, medians``: closed-form ridge on log1p for every key, however many.
 
-    Keys are counted first; a key of more than ``part_rows`` rows is cut into parts
-    of about that size. Each part yields its moment matrix, and the matrices of a key
-    are summed entry by entry, so a large key makes no large task.
+    As :func:`fit_ridge` on the key's rows: missing values are the key's medians and columns are scaled. Each task
+    sums one matrix of moments for each key that it meets, and hands them on when it holds more than ``held``;
+    no row leaves its task. A matrix has the sums of products of the values, of marks where they are missing, and
+    of the target, so that medians and scales can be put in afterwards.
     """
-    size = len(features) + 2
+    d = len(features)
+    size = 2 * d + 2  # one, values, marks, target
     upper = np.triu_indices(size)
     rows = train.select("key", "y", *[F.col(c).cast("double").alias(c) for c in features]).na.drop(subset=["key", "y"])
-    counted = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / part_rows).alias("_parts"))
-    place = F.pmod(F.xxhash64("y", *features), F.col("_parts"))
 
-    def moments(part: pd.DataFrame) -> pd.DataFrame:
-        x = np.nan_to_num(part[list(features)].to_numpy(dtype=float))
-        full = np.column_stack([np.ones(len(x)), x, np.log1p(part["y"].to_numpy(dtype=float))])
-        return pd.DataFrame({"key": [part["key"].iloc[0]], "m": [(full.T @ full)[upper].tolist()]})
+    def moments(batches):
+        import pyarrow as pa
+
+        sums: dict[str, np.ndarray] = {}
+
+        def out():
+            return pa.RecordBatch.from_pydict({"key": list(sums), "m": [m[upper] for m in sums.values()]})
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column(0).dictionary_encode()
+            columns = [batch.column(2 + i).to_numpy(zero_copy_only=False) for i in range(d)]
+            x = np.column_stack(columns) if d else np.empty((batch.num_rows, 0))
+            missing = np.isnan(x)
+            full = np.column_stack([np.ones(len(x)), np.where(missing, 0.0, x), missing, np.log1p(batch.column(1).to_numpy(zero_copy_only=False))])
+            place = keys.indices.to_numpy(zero_copy_only=False)
+            for i, key in enumerate(keys.dictionary.to_pylist()):
+                own = full[place == i]
+                sums[key] = sums.get(key, 0) + own.T @ own
+            if len(sums) > held:
+                yield out()
+                sums.clear()
+        if sums:
+            yield out()
 
     summed = (
-        rows.join(settle(counted), "key")
-        .withColumn("_place", place)
-        .groupBy("key", "_place")
-        .applyInPandas(moments, "key string, m array<double>")
+        rows.mapInArrow(moments, "key string, m array<double>")
         .select("key", F.posexplode("m").alias("at", "v"))
         .groupBy("key", "at")
         .agg(F.sum("v").alias("v"))
         .groupBy("key")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "v"))), lambda e: e["v"]).alias("m"))
     )
+    middle = rows.groupBy("key").agg(F.array(*[F.percentile_approx(c, 0.5, 10_000) for c in features]).alias("medians"))
 
     def solve(batches):
         for batch in batches:
-            weights = []
-            for flat in batch["m"]:
-                m = np.zeros((size, size))
-                m[upper] = flat
-                n, mean = m[0, 0], m[0, 1:] / m[0, 0]
-                inner = m[1:, 1:]
-                centred = inner + np.triu(inner, 1).T - n * np.outer(mean, mean)
-                slope = np.linalg.solve(centred[:-1, :-1] + alpha * np.eye(size - 2), centred[:-1, -1])
-                weights.append([float(mean[-1] - slope @ mean[:-1]), *slope.tolist()])
-            yield pd.DataFrame({"key": batch["key"], "weights": weights})
-
-    return summed.mapInPandas(solve, "key string, weights array<double>")
-
-
-def predict_ridge_per_key(df: DataFrame, weights: DataFrame, features: Sequence[str]) -> DataFrame:
+            found = [_ridge_of(flat, medians, d, alpha) for flat, medians in zip(batch["m"], batch["medians"])]
+            yield pd.DataFrame({"key": batch["key"], "weights": [w for w, _ in found], "medians": [c for _, c in found]})
+
+    return summed.join(middle, "key").mapInPandas(solve, "key string, weights array<double>, medians array<double>")
+
+
+def _ridge_of(flat: Sequence[float], medians: Sequence[float | None], d: int, alpha: float) -> tuple[list[float], list[float]]:
+    """Intercept and slopes in the columns' own units, and what stands for missing values. A column without a
+    value, or with one value only, has slope 0."""
+    size = 2 * d + 2
+    m = np.zeros((size, size))
+    m[np.triu_indices(size)] = flat
+    m = m + np.triu(m, 1).T
+    fill = np.array([np.nan if c is None else c for c in medians], dtype=float)
+    fill = np.where(np.isnan(fill), 0.0, fill)
+    put = np.zeros((d + 2, size))  # one, filled values, target
+    put[0, 0] = put[-1, -1] = 1
+    put[1 : d + 1, 1 : d + 1] = np.eye(d)
+    put[1 : d + 1, d + 1 : 2 * d + 1] = np.diag(fill)
+    m = put @ m @ put.T
+    n, mean = m[0, 0], m[0, 1:] / m[0, 0]
+    centred = m[1:, 1:] - n * np.outer(mean, mean)
+    spread = np.sqrt(np.maximum(np.diag(centred)[:-1], 0) / max(n - 1, 1))
+    flat_column = spread <= 1e-9 * np.maximum(np.abs(mean[:-1]), 1)
+    scale = np.where(flat_column, 1.0, spread)
+    inner = centred[:-1, :-1] / np.outer(scale, scale)
+    inner[flat_column] = inner[:, flat_column] = 0
+    right = np.where(flat_column, 0.0, centred[:-1, -1] / scale)
+    slope = np.linalg.solve(inner + alpha * np.eye(d), right) / scale
+    return [float(mean[-1] - slope @ mean[:-1]), *slope.tolist()], fill.tolist()
+
+
+def predict_ridge_per_key(df: DataFrame, weights: DataFrame, features: Sequence[str], fallback: DataFrame | None = None) -> DataFrame:
+    """Keys without weights by ``fallback`` (``ds, key, hour, pred``), else 0."""
     joined = df.join(weights, "key", "left")
     linear = F.col("weights")[0]
-    for i, feature in enumerate(features, start=1):
-        linear = linear + F.col("weights")[i] * F.coalesce(F.col(feature).cast("double"), F.lit(0.0))
-    pred = F.coalesce(F.expm1(clip(linear)), F.lit(0.0))
-    return joined.withColumn("pred", F.when(F.col("weights").isNull(), F.lit(0.0)).otherwise(pred)).drop("weights")
+    for i, feature in enumerate(features):
+        linear = linear + F.col("weights")[i + 1] * F.coalesce(F.col(feature).cast("double"), F.col("medians")[i])
+    own = F.when(F.col("weights").isNotNull(), F.coalesce(F.expm1(clip(linear)), F.lit(0.0)))
+    if fallback is None:
+        return joined.withColumn("pred", F.coalesce(own, F.lit(0.0))).drop("weights", "medians")
+    side = fallback.groupBy("ds", "key", "hour").agg(F.min("pred").alias("_other"))
+    both = joined.withColumn("pred", own).join(side, ["ds", "key", "hour"], "left")
+    return both.select(*df.columns, F.coalesce("pred", "_other", F.lit(0.0)).alias("pred"))
 
 
 # ------------------------------------------------------------------ ablation

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from seasonflow.operators import trees
+from seasonflow.operators.trees import TreeModel
 from seasonflow.session import literal_table
 from seasonflow.spec import SeriesSpec
 
@@ -48,30 +50,30 @@ def write_json(df: DataFrame, path: str) -> DataFrame:
     return back
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: PipelineModel | TreeModel, path: str) -> None:
+    """A pipeline in Spark's own format, boosted trees as a table of them."""
+    if isinstance(model, TreeModel):
+        trees.model_table(SparkSession.active(), {"": model}).coalesce(1).write.mode("overwrite").parquet(path)
+    else:
+        model.write().overwrite().save(path)
 
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def save_models(models: Mapping[str, PipelineModel], root: str) -> DataFrame | None:
-    """One folder per key and an index table that names them."""
-    if not models:
-        return None
-    placed = [(key, f"{root}/model-{i:05d}") for i, key in enumerate(sorted(models))]
-    for key, path in placed:
-        save_model(models[key], path)
-    spark = SparkSession.active()
-    index = literal_table(spark, placed, "key string, path string")
-    index.write.mode("overwrite").parquet(f"{root}/index")
-    return index
+def load_trees(spark: SparkSession, path: str) -> TreeModel:
+    """The one model of boosted trees that :func:`save_model` stored."""
+    return trees.model_of(spark.read.schema(trees.SCHEMA).parquet(path))
 
 
-def load_models(spark: SparkSession, root: str) -> dict[str, PipelineModel]:
-    index = spark.read.parquet(f"{root}/index").collect()  # one row per saved model
-    return {row["key"]: load_model(row["path"]) for row in index}
+def save_models(models: DataFrame, path: str) -> None:
+    """The table of the models of many keys, however many: one write."""
+    models.write.mode("overwrite").parquet(path)
+
+
+def load_models(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(trees.SCHEMA).parquet(path)
 
 
 @dataclass(frozen=True)

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seasonflow.operators import evaluate, split
+from seasonflow.operators import evaluate, split, trees
 from seasonflow.plans import forecasters as f
 
 NAMES = ["key_code", "kind_code", "a", "b"]
@@ -90,7 +90,7 @@ def test_patience_outlasts_flat_rounds(rows):
     test, mae = rows.where("split = 'test'"), {}
     for name, settings in (("slow", slow), ("hasty", replace(slow, rounds=1))):
         model = f.fit_boosted(marked(rows), NAMES, settings)
-        assert model.stages[-1].getNumTrees == settings.rounds
+        assert len(model.trees) == settings.rounds
         mae[name] = f.predict(model, test).agg(F.avg(F.abs(F.col("y") - F.col("pred")))).first()[0]
     assert mae["slow"] < mae["hasty"]
 
@@ -100,7 +100,7 @@ def test_trees_after_the_best_round_are_dropped(rows):
     opposite = F.expm1(F.greatest(6 - F.log1p("y"), F.lit(0.0)))
     odd = marked(rows).withColumn("y", F.when(F.col("is_val"), opposite).otherwise(F.col("y")))
     model = f.fit_boosted(odd, NAMES, replace(SMALL, rounds=12, patience=4))
-    assert model.stages[-1].getNumTrees == 1
+    assert len(model.trees) == 1 and len(model.errors) == 5
     plain = f.fit_boosted(odd.where("NOT is_val"), NAMES, replace(SMALL, rounds=1))
     test = rows.where("split = 'test'")
     left, right = (f.predict(m, test).orderBy("ds", "key").toPandas()["pred"].to_numpy() for m in (model, plain))
@@ -109,7 +109,7 @@ def test_trees_after_the_best_round_are_dropped(rows):
 
 def test_forest_and_importance(rows):
     model = f.fit_forest(train(rows), NAMES, trees=5, depth=5)
-    importance = f.feature_importance(model, NAMES).collect()
+    importance = f.feature_importance(model, NAMES, by="gain").collect()
     assert {r["feature"] for r in importance} == set(NAMES)
     assert sum(r["importance"] for r in importance) == pytest.approx(1.0)
     assert importance[0]["importance"] == max(r["importance"] for r in importance)
@@ -118,7 +118,7 @@ def test_forest_and_importance(rows):
 def test_one_model_per_key(rows):
     few = rows.where("key <> 'z' or split = 'test'")
     models = f.fit_per_key(few, NAMES, replace(SMALL, rounds=2))
-    assert sorted(models) == ["x", "y"]
+    assert {r["key"] for r in models.collect()} == {"x", "y"}
     test = rows.where("split = 'test'")
     scored = f.predict_per_key(models, test)
     assert scored.count() == test.count()
@@ -129,15 +129,41 @@ def test_one_model_per_key(rows):
 
 
 def test_ridge_for_any_number_of_keys(rows):
-    names, alpha = ["a", "b"], 2.0
-    weights = {r["key"]: r["weights"] for r in f.fit_ridge_per_key(train(rows), names, alpha, part_rows=50).collect()}
+    names, alpha = ["a", "b", "flat", "void"], 2.0
+    table = train(rows).withColumn("flat", F.lit(3.0)).withColumn("void", F.lit(None).cast("double"))
+    found = {r["key"]: r for r in f.fit_ridge_per_key(table, names, alpha, held=2).collect()}
     pdf = train(rows).toPandas()
     for key, part in pdf.groupby("key"):
-        x, y = np.nan_to_num(part[names].to_numpy()), np.log1p(part["y"].to_numpy())
-        centred = x - x.mean(axis=0)
-        slope = np.linalg.solve(centred.T @ centred + alpha * np.eye(2), centred.T @ (y - y.mean()))
-        np.testing.assert_allclose(weights[key][1:], slope, rtol=1e-8)
-        assert weights[key][0] == pytest.approx(y.mean() - slope @ x.mean(axis=0))
+        x, y = part[["a", "b"]].to_numpy(), np.log1p(part["y"].to_numpy())
+        median = found[key]["medians"]
+        assert abs((x[:, 1] < median[1]).sum() - (x[:, 1] > median[1]).sum()) <= 1
+        x = np.where(np.isnan(x), median[:2], x)
+        scale = x.std(axis=0, ddof=1)
+        centred = (x - x.mean(axis=0)) / scale
+        slope = np.linalg.solve(centred.T @ centred + alpha * np.eye(2), centred.T @ (y - y.mean())) / scale
+        np.testing.assert_allclose(found[key]["weights"][1:3], slope, rtol=1e-8)
+        assert found[key]["weights"][3:] == [0, 0] and median[2:] == [3, 0]
+        assert found[key]["weights"][0] == pytest.approx(y.mean() - slope @ x.mean(axis=0))
+
+
+def test_ridge_per_key_equals_ridge_on_one_key(rows):
+    one = train(rows).where("key = 'y'")
+    test = rows.where("split = 'test' and key = 'y'")
+    whole = f.predict(f.fit_ridge(one, ["a", "b"], 2.0), test).orderBy("ds").toPandas()["pred"]
+    weights = f.fit_ridge_per_key(one, ["a", "b"], 2.0)
+    own = f.predict_ridge_per_key(test, weights, ["a", "b"]).orderBy("ds").toPandas()["pred"]
+    np.testing.assert_allclose(own, whole, rtol=1e-5)
+    plan = weights._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroupsInPandas" not in plan
+
+
+def test_ridge_per_key_fallback(rows):
+    weights = f.fit_ridge_per_key(train(rows).where("key <> 'z'"), ["a", "b"])
+    test = rows.where("split = 'test'")
+    other = test.select("ds", "key", "hour", F.lit(3.0).alias("pred"))
+    got = f.predict_ridge_per_key(test, weights, ["a", "b"], other)
+    assert got.count() == test.count() and got.where("key = 'z' and pred <> 3").count() == 0
+    assert f.predict_ridge_per_key(test, weights, ["a", "b"]).where("key = 'z' and pred <> 0").count() == 0
 
 
 def test_walk_forward_and_search(rows):
@@ -170,9 +196,18 @@ def test_ablation_reports_the_change(rows):
 
 
 def test_more_keys_than_any_pool(spark, monkeypatch):
-    rows = spark.range(300 * 8).select(
-        F.concat(F.lit("k"), F.col("id") % 300).alias("key"), F.lit("train").alias("split"), F.lit(1.0).alias("y")
-    )
+    """A thousand models, scored in one plan."""
+    rows = spark.range(1000 * 8).select(
+        F.concat(F.lit("k"), F.col("id") % 1000).alias("key"), F.lit("train").alias("split"), F.lit(1.0).alias("y"),
+        F.lit("2024-01-01").cast("date").alias("ds"), (F.col("id") % 7).cast("int").alias("hour"),
+    )
     monkeypatch.setattr(f, "key_sizes", lambda split: split.groupBy("key").count().withColumn("kept", F.lit(True)))
-    monkeypatch.setattr(f, "fit_boosted", lambda rows, names, settings: "model")
-    assert len(f.fit_per_key(rows, ["y"], None)) == 300
+    leaf = lambda v: trees.Tree(1.0, [0, -1, -1], [3.0, 0, 0], [1, -1, -1], [2, -1, -1], [0, v, v + 1], [[], [], []], [])
+    monkeypatch.setattr(f, "fit_boosted", lambda rows, names, settings: trees.TreeModel(trees.Inputs(("hour",)), [leaf(1.0), leaf(0.5)]))
+    monkeypatch.setattr(f, "STORED_MODELS", 250)
+    models = f.fit_per_key(rows, ["hour"], None)
+    assert models.select("key").distinct().count() == 1000 and models.count() == 2000
+    scored = f.predict_per_key(models, rows)
+    expected = {h: np.expm1(1.5 if h <= 3 else 3.5) for h in range(7)}
+    got = scored.collect()
+    assert len(got) == 8000 and all(r["pred"] == pytest.approx(expected[r["hour"]]) for r in got)
