@@ -109,3 +109,21 @@ def test_stretches_do_not_change_the_result(monkeypatch):
     texts = [" ".join(rng.choice(["the", "café", "\U0001f600", "  x", "Wort"]) for _ in range(rng.randint(0, 30))) for _ in range(40)]
     whole = alignment.Aligned(known, *known.encode(texts)).digests()
     assert whole == [alignment.Aligned(known, *known.encode([t])).digests()[0] for t in texts]
+
+
+def test_encoder_by_ranks_equals_the_tokenizer():
+    a_json, b_model = alignment.default_models()
+    known = alignment.Tokenizers(a_json, b_model)
+    assert known.ranked is not None
+    rng = random.Random(9)
+    units = ["a", "aa", "the", " ", "  ", "\n", "'s", "'S", "1", "é", "中", "\U0001f600", "ing", "\t", "_", "--", ".", "<|endoftext|>", "\u3000", "\u200b", "tion"]
+    texts = ["".join(rng.choice(units) for _ in range(rng.randint(1, 40))) for _ in range(4000)]
+    texts += ["".join(chr(rng.choice((rng.randrange(32, 0xD800), rng.randrange(0xE000, 0x110000)))) for _ in range(rng.randint(1, 30))) for _ in range(4000)]
+    texts += ["xq" * 100_000, " " * 50_000, "7" * 50_000]
+    expected = [e.ids for e in known.a.encode_batch(texts, add_special_tokens=False)]
+    assert [known.ranked.encode_ordinary(t) for t in texts] == expected
+    # another kind of tokenizer is taken as it is
+    assert alignment.by_ranks(a_json.replace(b'"add_prefix_space":false', b'"add_prefix_space":true', 1).replace(b'"add_prefix_space": false', b'"add_prefix_space": true', 1)) is None
+    other = alignment.Tokenizers(a_json, b_model)
+    other.ranked = None
+    assert other.encode(texts[:500]) == known.encode(texts[:500])
