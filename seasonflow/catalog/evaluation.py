@@ -158,13 +158,11 @@ def equal_weight_mae(spark, folder):
 @query(
     _BY_KEY
     + """ SELECT a.key, a.mae AS baseline_mae, o.mae AS model_mae, round((a.mae - coalesce(o.mae, a.mae)) / a.mae * 100, 7) AS gain_pct
-FROM k a LEFT JOIN k o ON o.key = a.key AND o.model = 'Roll7' AND o.key <> 'NO' WHERE a.model = 'Baseline'"""
+FROM k a LEFT JOIN k o ON o.key = a.key AND o.model = 'Roll7' WHERE a.model = 'Baseline'"""
 )
 def gain_by_key(spark, folder):
-    """One key has no model of its own, so it counts as 0 %."""
     by_key = evaluate.metrics_by(predictions(spark, folder), ["model", "key"])
-    seen = by_key.where((F.col("model") == "Baseline") | (F.col("key") != "NO"))
-    return rounded(evaluate.gain_by_key(seen, "Roll7"), 7, "gain_pct")
+    return rounded(evaluate.gain_by_key(by_key, "Roll7"), 7, "gain_pct")
 
 
 @query(

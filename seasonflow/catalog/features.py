@@ -96,23 +96,17 @@ def item_history_in_blocks(spark, folder):
     + " FROM long"
 )
 def calendar_lags(spark, folder):
-    df = features.add_calendar_lags(tables.line_long(spark, folder))
+    df = features.add_calendar_lags(tables.line_long(spark, folder), unique=True)
     return df.select("ds", "key", "hour", "calendar_lag_1d", "calendar_lag_7d", "calendar_lag_14d")
 
 
-# Hours 0..23 of the events, of which some cells of a type never occur at small scale.
+# Every hour of every day on which a type of event occurs; hours without events are null.
 _EVENT_GRID = """
-ev AS (SELECT CAST(ts AS DATE) AS ds, event_type AS key, CAST(hour(ts) AS INTEGER) AS hour,
-  CAST(sum(CASE WHEN value > 60 THEN CAST(value AS DECIMAL(18,2)) END) AS DOUBLE) AS y FROM events GROUP BY 1, 2, 3)"""
-
-
-def _large_events(spark, folder):
-    value = F.when(F.col("value") > 60, tables.cents("value"))
-    return (
-        tables.table(spark, folder, "events")
-        .groupBy(F.col("ts").cast("date").alias("ds"), F.col("event_type").alias("key"), F.hour("ts").alias("hour"))
-        .agg((F.sum(value) / 100.0).alias("y"))
-    )
+cells AS (SELECT CAST(ts AS DATE) AS ds, event_type AS key, CAST(hour(ts) AS INTEGER) AS hour,
+  CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS y FROM events GROUP BY 1, 2, 3),
+ev AS (SELECT d.ds, d.key, h.hour, c.y FROM (SELECT DISTINCT ds, key FROM cells) d
+  CROSS JOIN (SELECT CAST(range AS INTEGER) AS hour FROM range(0, 24)) h
+  LEFT JOIN cells c ON c.ds = d.ds AND c.key = d.key AND c.hour = h.hour)"""
 
 
 @query(
@@ -121,12 +115,12 @@ SELECT ev.ds, ev.key, ev.hour, CASE WHEN n = 0 THEN 0.0 ELSE y END AS y
 FROM ev JOIN ops ON ops.key = ev.key AND ops.hour = ev.hour"""
 )
 def zero_fill(spark, folder):
-    return features.zero_fill(_large_events(spark, folder))
+    return features.zero_fill(tables.events_long(spark, folder))
 
 
 @query(f"WITH {_EVENT_GRID} SELECT key, hour, count(y) AS n FROM ev GROUP BY key, hour HAVING count(y) > 0")
 def operating_cells(spark, folder):
-    return features.operating_cells(_large_events(spark, folder))
+    return features.operating_cells(tables.events_long(spark, folder))
 
 
 # ------------------------------------------------------------------ calendar

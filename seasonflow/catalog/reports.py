@@ -18,14 +18,14 @@ _EVENTS = """ev AS (SELECT CAST(ts AS DATE) AS ds, event_type AS key, CAST(hour(
 
 
 @query(
-    f"""WITH {_EVENTS}, grid AS (SELECT key, CAST(range AS INTEGER) AS hour_of_day FROM (SELECT DISTINCT key FROM ev), range(4, 24))
+    f"""WITH {_EVENTS}, grid AS (SELECT key, CAST(range AS INTEGER) AS hour_of_day FROM (SELECT DISTINCT key FROM ev), range(0, 24))
 SELECT g.key, g.hour_of_day, """
     + ", ".join(f"round(coalesce(avg(y) FILTER (WHERE isodow(ds) = {d + 1}), 0), 6) AS dow_{d}" for d in range(7))
     + " FROM grid g LEFT JOIN ev ON ev.key = g.key AND ev.hour = g.hour_of_day GROUP BY 1, 2"
 )
 def demand_heatmap(spark, folder):
     events = features.add_calendar(tables.events_hourly(spark, folder), trend_base=2024)
-    return rounded(reports.heatmap(events, range(4, 24)), 6, *[f"dow_{d}" for d in range(7)])
+    return rounded(reports.heatmap(events, range(24)), 6, *[f"dow_{d}" for d in range(7)])
 
 
 @query(D + " SELECT key, round(sum(y) / 1e6, 6) AS millions FROM daily GROUP BY key ORDER BY millions")
@@ -59,14 +59,13 @@ def annual_totals(spark, folder):
 
 _MONTHLY = (
     D
-    + """, mo AS (SELECT strftime(ds, '%Y-%m') AS month, round_even(CAST(sum(CAST(y AS DECIMAL(18,2))) AS DOUBLE), 0) AS total FROM daily
-WHERE ds BETWEEN DATE '1996-01-01' AND DATE '2000-12-31' GROUP BY 1)"""
+    + """, mo AS (SELECT strftime(ds, '%Y-%m') AS month, round_even(CAST(sum(CAST(y AS DECIMAL(18,2))) AS DOUBLE), 0) AS total FROM daily GROUP BY 1)"""
 )
 
 
 def _monthly(spark, folder):
     exact = tables.orders_daily(spark, folder).withColumn("y", F.col("y").cast("decimal(18,2)"))
-    return reports.monthly_totals(exact, "1996-01-01", "2000-12-31", y="y")
+    return reports.monthly_totals(exact, y="y")
 
 
 @query(_MONTHLY + " SELECT * FROM mo")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from seasonflow.catalog.base import LONG, PREDICTIONS, holidays, predictions, query, rounded
 from seasonflow.operators import asof, features
 from seasonflow.plans import scoring
-from seasonflow.session import settle
+from seasonflow.session import scratch_path, settle
 from seasonflow.sources import tables
 from seasonflow.sources.tables import RETAIL
 
@@ -106,12 +106,14 @@ def prediction_lookup(spark, folder):
     return scoring.lookup(tables.order_requests(spark, folder), predictions(spark, folder), ["Roll7", "Baseline", "Lag7"])
 
 
-def serving_state(spark, folder) -> scoring.ServingState:
+def serving_state(spark, folder, laid_out: bool = False) -> scoring.ServingState:
     long = settle(tables.line_long(spark, folder))
     lines = settle(long.select("key", "kind").distinct())
+    stats = settle(asof.history_stats(long, bounded=True))
     return scoring.ServingState(
         history=long,
-        stats=settle(asof.history_stats(long, bounded=True)),
+        stats=stats,
+        dated=asof.lay_out(long, stats, scratch_path(spark, "dated")) if laid_out else None,
         means=settle(asof.weekday_means(long)),
         lines=lines,
         keys=features.label_codes(lines, "key"),
@@ -122,7 +124,7 @@ def serving_state(spark, folder) -> scoring.ServingState:
     )
 
 
-@query(
+_FEATURES = (
     _CELL + _STATS + f""", wm AS (SELECT key, hour, isodow(ds) - 1 AS weekday, avg(y) AS m FROM long WHERE y IS NOT NULL GROUP BY 1, 2, 3),
 lg AS (SELECT c.ds, c.key, c.hour, {_LAGS} FROM cell c {_LAG_JOINS})
 SELECT r.request_id, r.key, r.ds, r.hour, """
@@ -133,10 +135,22 @@ FROM checked r JOIN lg ON lg.ds = r.ds AND lg.key = r.key AND lg.hour = r.hour
 JOIN roll ON roll.ds = r.ds AND roll.key = r.key AND roll.hour = r.hour
 LEFT JOIN wm ON wm.key = r.key AND wm.hour = r.hour AND wm.weekday = isodow(r.ds) - 1 WHERE r.error IS NULL"""
 )
-def request_features(spark, folder):
-    state = serving_state(spark, folder)
+
+
+def _features(spark, folder, state):
     valid = scoring.accepted(scoring.validate(tables.order_requests(spark, folder), state.keys))
     found = scoring.request_features(valid, state)
     lags = [f"lag_{k}d" for k in asof.DAYS]
     kept = found.select("request_id", "key", "ds", "hour", *lags, "lags_available", "rolling_28d", "weekday", "day_of_year")
     return rounded(kept, 7, *lags, "rolling_28d")
+
+
+@query(_FEATURES)
+def request_features(spark, folder):
+    return _features(spark, folder, serving_state(spark, folder))
+
+
+@query(_FEATURES)
+def dated_request_features(spark, folder):
+    """The same from a state that is laid out by date: only the asked dates and months are opened."""
+    return _features(spark, folder, serving_state(spark, folder, laid_out=True))

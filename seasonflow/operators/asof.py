@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -106,15 +107,7 @@ def asof_stats(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     seen = both.withColumn("_seen", F.last("_state", ignorenulls=True).over(before)).where("_side = 0")
-    n = F.coalesce(F.col("_seen.n"), F.lit(0))
-    whole = F.coalesce(F.col("_seen.mean_all"), F.lit(0.0))
-    return seen.select(
-        *spec.row_id,
-        n.alias("n_before"),
-        F.when(n >= 3, F.col("_seen.mean_7")).otherwise(whole).alias("rolling_7d"),
-        F.when(n >= 14, F.col("_seen.mean_28")).otherwise(whole).alias("rolling_28d"),
-        F.when(n >= 3, F.col("_seen.std_7")).otherwise(F.lit(0.0)).alias("rolling_7d_std"),
-    )
+    return _as_features(seen, spec)
 
 
 def weekday_means(history: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFrame:
@@ -124,3 +117,87 @@ def weekday_means(history: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFr
         .groupBy(*spec.series, F.weekday(spec.ds).alias("weekday"))
         .agg(mean(spec.y).alias("weekday_mean"))
     )
+
+
+# ------------------------------------------------------------------ a stored state, laid out by date
+
+
+@dataclass(frozen=True)
+class Dated:
+    """What serving reads, laid out by date: ``history`` has one row for each cell, a folder a date; ``stats``
+    has the state of a series at the end of its dates, a folder a month, and in every month the state that
+    the series brought into it. ``last_month`` is the month after the last one with a value."""
+
+    history: DataFrame
+    stats: DataFrame
+    last_month: int
+
+
+def _month(ds: Column) -> Column:
+    return (F.year(ds) * 12 + F.month(ds) - 1).cast("int")
+
+
+def lay_out(history: DataFrame, stats: DataFrame, path: str, spec: SeriesSpec = SeriesSpec()) -> Dated:
+    """Writes history and the stats of :func:`history_stats` for look-ups that open only the folders of the dates they ask for."""
+    spark = history.sparkSession
+    cells = history.na.drop(subset=spec.row_id).groupBy(*spec.row_id).agg(F.min(spec.y).alias(spec.y))
+    cells = cells.select(*spec.series, spec.y, spec.ds)
+    cells.repartitionByRange(*spec.row_id).sortWithinPartitions(*spec.row_id).write.mode("overwrite").partitionBy(spec.ds).parquet(f"{path}/history")
+    state = F.struct("n", "mean_all", "mean_7", "mean_28", "std_7").alias("state")
+    own = stats.select(*spec.series, spec.ds, state, F.lit(False).alias("carried"), _month(F.col(spec.ds)).alias("month"))
+    last = own.agg(F.max("month")).first()[0]
+    after = 0 if last is None else last + 1
+    ends = own.groupBy(*spec.series, "month").agg(F.max_by("state", spec.ds).alias("state"))
+    following = F.lead("month").over(Window.partitionBy(*spec.series).orderBy("month"))  # one row a month
+    upto = ends.withColumn("upto", F.coalesce(following, F.lit(after)))
+    months = F.explode(F.sequence(F.col("month") + 1, F.col("upto")))
+    brought = upto.select(*spec.series, F.lit(None).cast("date").alias(spec.ds), "state", F.lit(True).alias("carried"), months.alias("month"))
+    both = own.unionByName(brought)
+    both.repartitionByRange("month", *spec.series).sortWithinPartitions("month", *spec.series).write.mode("overwrite").partitionBy("month").parquet(f"{path}/stats")
+    read = lambda df, name: spark.read.schema(df.schema).parquet(f"{path}/{name}")
+    return Dated(read(cells, "history"), read(both, "stats"), after)
+
+
+def dated_lookup(requests: DataFrame, dated: Dated, days: Sequence[int] = DAYS, spec: SeriesSpec = SeriesSpec()) -> DataFrame:
+    """:func:`calendar_lookup` on a laid-out history.
+
+    The wanted cells are stored; while they are small they go to the history, whose scan opens only the folders of
+    their dates, and no row of it is shuffled but those that were asked for.
+    """
+    wanted = wanted_cells(requests, spec).select(*spec.row_id)
+    looked = wanted.withColumn("_k", F.explode(F.array(*[F.lit(k) for k in days])))
+    asked = settle(looked.select(F.col(spec.ds).alias("_ds"), F.date_sub(spec.ds, F.col("_k")).alias(spec.ds), *spec.series, "_k"))
+    # a condition on the asked side tells Spark that it is worth pruning by
+    hits = dated.history.join(asked.where(F.col("_k") >= min(days)), spec.row_id)
+    found = hits.select(F.col("_ds").alias(spec.ds), *spec.series, "_k", F.col(spec.y).alias("_y"), F.lit(True).alias("_has"))
+    every = asked.where(F.col("_k") == days[0]).select(F.col("_ds").alias(spec.ds), *spec.series)
+    both = found.unionByName(every, allowMissingColumns=True)
+    return both.groupBy(*spec.row_id).agg(
+        *[F.max(F.when(F.col("_k") == k, F.col("_y"))).alias(f"lag_{k}d") for k in days],
+        *[F.coalesce(F.bool_or((F.col("_k") == k) & F.col("_has")), F.lit(False)).alias(f"has_{k}d") for k in days],
+    )
+
+
+def dated_stats(requests: DataFrame, dated: Dated, spec: SeriesSpec = SeriesSpec()) -> DataFrame:
+    """:func:`asof_stats` on a laid-out state: a request meets its series' rows of one month, and what it brought into it."""
+    wanted = wanted_cells(requests, spec).select(*spec.row_id)
+    month = F.least(_month(F.col(spec.ds)), F.lit(dated.last_month))
+    asked = settle(wanted.select(F.col(spec.ds).alias("_ds"), *spec.series, month.alias("month")))
+    hits = dated.stats.join(asked.where(F.col("month") >= 0), ["month", *spec.series]).where(F.col("carried") | (F.col(spec.ds) < F.col("_ds")))
+    order = F.struct(~F.col("carried"), F.col(spec.ds))
+    found = hits.select(F.col("_ds").alias("_at"), *spec.series, "state", order.alias("order"))
+    both = found.unionByName(asked.select(F.col("_ds").alias("_at"), *spec.series), allowMissingColumns=True)
+    seen = both.groupBy("_at", *spec.series).agg(F.max_by("state", "order").alias("_seen")).withColumnRenamed("_at", spec.ds)
+    return _as_features(seen, spec)
+
+
+def _as_features(seen: DataFrame, spec: SeriesSpec) -> DataFrame:
+    n = F.coalesce(F.col("_seen.n"), F.lit(0))
+    whole = F.coalesce(F.col("_seen.mean_all"), F.lit(0.0))
+    return seen.select(
+        *spec.row_id,
+        n.alias("n_before"),
+        F.when(n >= 3, F.col("_seen.mean_7")).otherwise(whole).alias("rolling_7d"),
+        F.when(n >= 14, F.col("_seen.mean_28")).otherwise(whole).alias("rolling_28d"),
+        F.when(n >= 3, F.col("_seen.std_7")).otherwise(F.lit(0.0)).alias("rolling_7d_std"),
+    )

@@ -25,7 +25,7 @@ ROLLING = (
 # history that a row may lack: every lag, and the rolling means
 NULLABLE = (*(f"lag_{k}d" for k in LAGS), *(name for name, _, _, how in ROLLING if how is F.avg))
 # the roles of a long table, and its untouched date text, describe a row and are no features
-NOT_FEATURES = frozenset((*(f.default for f in fields(SeriesSpec)), "raw_date"))
+NOT_FEATURES = frozenset((*(f.default for f in fields(SeriesSpec)), "raw_date", "year_part"))
 # a feature for models that the correlation report leaves out
 NOT_REPORTED = "iso_week"
 
@@ -101,12 +101,21 @@ def add_history(
     return over_series(keyed, spec.series, spec.ds, order, reach, build, bounded, block_rows)
 
 
-def add_calendar_lags(df: DataFrame, spec: SeriesSpec = SeriesSpec(), days: Sequence[int] = LAGS) -> DataFrame:
+def add_calendar_lags(
+    df: DataFrame, spec: SeriesSpec = SeriesSpec(), days: Sequence[int] = LAGS, unique: bool = False
+) -> DataFrame:
     """Values exactly ``k`` days earlier, whatever rows are missing between.
 
     Each value is sent forward to the dates that look back at it, so that the join
-    meets on (series, date) and no series gathers in one task.
+    meets on (series, date) and no series gathers in one task. Where (series, date) is
+    ``unique`` by construction a series is as short as the calendar, and one window with a
+    frame of days does: one shuffle, and no row is copied. Rows without a series or a date have no lag.
     """
+    if unique:
+        along = Window.partitionBy(*spec.series).orderBy(F.unix_date(spec.ds))
+        whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in spec.row_id])
+        frames = {k: F.min(spec.y).over(along.rangeBetween(-k, -k)) for k in days}
+        return df.withColumns({f"calendar_lag_{k}d": F.when(whole, frame) for k, frame in frames.items()})
     sent = (
         df.na.drop(subset=spec.row_id)
         .groupBy(*spec.row_id)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seasonflow.functions import cleaning
+from seasonflow.operators.split import dates_between
 from seasonflow.session import literal_table
 from seasonflow.spec import Profile, SeriesSpec
 
@@ -100,7 +101,7 @@ def explore(
     """Conjunctive filter on key, date range, hour range and model; pushed to the scan."""
     kept = df.where(
         F.col(spec.key).isin(*keys)
-        & F.col(spec.ds).between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+        & dates_between(df, first, last, spec.ds)
         & F.col(spec.hour).between(*hours)
     )
     return kept if model is None else kept.where(F.col("model") == model)

@@ -2,7 +2,8 @@
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one buffer.
 Here a sketch first brackets the wanted rank, one pass counts the rows below the
-bracket and the distinct values inside it, and only the bracket is ordered.
+bracket and the distinct values inside it, by ranges of equal width. Running sums over these few ranges
+tell which hold the rank, and only their values are ordered, so nothing that grows with the rows is in one task.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 
 from seasonflow.session import settle
 
+#: Ranges of a bracket.
+RANGES = 4096
+
 
 def exact_quantile(
     df: DataFrame, value: str, q: float, by: Sequence[str] = (), accuracy: int = 100_000, name: str = "quantile", slack: float | None = None
@@ -48,19 +52,30 @@ def exact_quantile(
         placed = rows.withColumn("_one", one).select("_v", "_one.*")
     tier = F.when(F.col("_v") < F.col("_low"), 0).when(F.col("_v") <= F.col("_high"), 1).otherwise(2)
     keep = ["_k", "_part", "_n"]
+    width = F.col("_high") - F.col("_low")
+    inside = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_low")) / width * RANGES), F.lit(RANGES - 1))).otherwise(0)
+    place = F.when(F.col("_tier") == 0, -1).when(F.col("_tier") == 2, RANGES).otherwise(inside).cast("int")
     # Below the bracket only the largest value can be wanted, above it only the smallest.
-    counted = (
+    counted = settle(
         placed.withColumn("_tier", tier)
         .withColumn("_cell", F.when(F.col("_tier") == 1, F.col("_v")))
-        .groupBy(*groups, *keep, "_tier", "_cell")
+        .withColumn("_place", place)
+        .groupBy(*groups, *keep, "_tier", "_place", "_cell")
         .agg(
             F.count(F.lit(1)).alias("_rows"),
             F.when(F.col("_tier") == 0, F.max("_v")).otherwise(F.min("_v")).alias("_at"),
         )
     )
-    along = Window.partitionBy(*groups).orderBy("_tier", "_at").rowsBetween(Window.unboundedPreceding, 0)
-    running = counted.withColumn("_upto", F.sum("_rows").over(along))
+    ranges = counted.groupBy(*groups, *keep, "_place").agg(F.sum("_rows").alias("_in"))  # at most RANGES and two a group
+    over = Window.partitionBy(*groups).orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     nxt = F.least(F.col("_k") + 1, F.col("_n") - 1)
+    summed = ranges.withColumn("_before", F.sum("_in").over(over) - F.col("_in"))
+    holds = lambda index: (F.col("_before") <= index) & (index < F.col("_before") + F.col("_in"))
+    wanted = settle(summed.where(holds(F.col("_k")) | holds(nxt)).select(*groups, F.col("_place").alias("_here"), "_before"))
+    match = [F.col("_place") == F.col("_here"), *[F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in groups]]
+    few = counted.alias("a").join(wanted.alias("b"), match).select("a.*", "b._before")  # two ranges of a group at most
+    along = Window.partitionBy(*groups, "_place").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    running = few.withColumn("_upto", F.col("_before") + F.sum("_rows").over(along))
     first = F.min(F.when(F.col("_upto") > F.col("_k"), F.struct("_upto", "_tier", "_at", "_rows")))
     second = F.min(F.when(F.col("_upto") > nxt, F.struct("_upto", "_tier", "_at", "_rows")))
     picked = running.groupBy(*groups, *keep).agg(first.alias("_first"), second.alias("_second"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seasonflow.operators.ordering import with_global_position
@@ -12,6 +12,8 @@ from seasonflow.session import literal_table
 from seasonflow.spec import SeriesSpec
 
 NEEDED = ("y", "lag_1d", "lag_7d", "rolling_7d")
+#: The column that stored tables are laid out by.
+YEAR_PART = "year_part"
 Fold = tuple[str, str, str, str, str]
 
 
@@ -19,17 +21,37 @@ def usable(df: DataFrame, needed: Sequence[str] = NEEDED) -> DataFrame:
     return df.na.drop(subset=list(needed))
 
 
+def dates_between(df: DataFrame, first: str, last: str | None, ds: str = "ds") -> Column:
+    """Whether a date lies between two others, both included, or from the first on. Where the table is laid out by
+    year the years are bounded too, so that a scan opens only the folders of these years."""
+    day = F.col(ds)
+    inside = day >= F.lit(first).cast("date")
+    if last is not None:
+        inside = inside & (day <= F.lit(last).cast("date"))
+    if YEAR_PART in df.columns:
+        inside = inside & (F.col(YEAR_PART) >= int(first[:4]))
+        if last is not None:
+            inside = inside & (F.col(YEAR_PART) <= int(last[:4]))
+    return inside
+
+
 def temporal_split(df: DataFrame, test_from: str, test_until: str, val_from: str, ds: str = "ds") -> DataFrame:
     """Adds ``split``: test inside the test period, else val from ``val_from``, else train.
 
-    Training with the validation rows is ``split <> 'test'``.
+    Training with the validation rows is ``split <> 'test'``; :func:`part_rows` gives one part.
     """
-    day = F.col(ds)
-    in_test = day.between(F.lit(test_from).cast("date"), F.lit(test_until).cast("date"))
-    label = F.when(in_test, "test").when(day >= F.lit(val_from).cast("date"), "val").otherwise("train")
+    in_test, in_val = dates_between(df, test_from, test_until, ds), dates_between(df, val_from, None, ds)
+    label = F.when(in_test, "test").when(in_val, "val").otherwise("train")
     return usable(df).withColumn("split", label)
 
 
+def part_rows(split: DataFrame, part: str, test_from: str, test_until: str, val_from: str, ds: str = "ds") -> DataFrame:
+    """The rows of one part, with the dates that it lies between told to the scan."""
+    first, last = {"test": (test_from, test_until), "val": (val_from, None)}.get(part, (None, None))
+    rows = split.where(F.col("split") == part)
+    return rows if first is None else rows.where(dates_between(split, first, last, ds))
+
+
 def split_report(df: DataFrame) -> DataFrame:
     return df.groupBy("split").agg(
         F.count(F.lit(1)).alias("rows"), F.min("ds").alias("first"), F.max("ds").alias("last")
@@ -50,6 +72,8 @@ def fold_rows(df: DataFrame, folds: Sequence[Fold], part: str, ds: str = "ds") -
     the folds that hold its date and nothing is shuffled.
     """
     first, last = (1, 2) if part == "train" else (3, 4)
+    if folds:
+        df = df.where(dates_between(df, min(f[first] for f in folds), max(f[last] for f in folds), ds))
     listed = F.array(
         *[
             F.struct(

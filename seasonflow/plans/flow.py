@@ -50,7 +50,7 @@ def ingest_step(spark: SparkSession, raw: str, root: str, profile: Profile, poli
 
 
 def trusted(spark: SparkSession, root: str) -> DataFrame:
-    return readers.read_parquet(spark, f"{root}/trusted").drop("year_part")
+    return readers.read_parquet(spark, f"{root}/trusted")
 
 
 def audit_tables(trusted_rows: DataFrame, wide_totals: DataFrame, profile: Profile) -> dict[str, DataFrame]:
@@ -84,7 +84,7 @@ def feature_step(spark: SparkSession, root: str, profile: Profile, spec: SeriesS
     """Trusted table to the stored featured table and label maps."""
     holidays = holiday_table(spark, profile.years)
     df, keys, kinds = features.build_features(
-        trusted(spark, root), holidays, profile.rail_kind, profile.trend_base, spec
+        trusted(spark, root).drop(split.YEAR_PART), holidays, profile.rail_kind, profile.trend_base, spec
     )
     sinks.write_json(features.encoder_table(keys, kinds), f"{root}/encoders")
     sinks.write_by_year(df, f"{root}/featured", spec)
@@ -92,7 +92,7 @@ def feature_step(spark: SparkSession, root: str, profile: Profile, spec: SeriesS
 
 
 def featured(spark: SparkSession, root: str) -> DataFrame:
-    return readers.read_parquet(spark, f"{root}/featured").drop("year_part")
+    return readers.read_parquet(spark, f"{root}/featured")
 
 
 def model_step(
@@ -104,7 +104,7 @@ def model_step(
     rows = split.temporal_split(df, profile.test_from, profile.test_until, profile.val_from)
     train = rows.where("split <> 'test'")
     marked = train.withColumn("is_val", F.col("split") == "val")
-    test = rows.where("split = 'test'")
+    test = split.part_rows(rows, "test", profile.test_from, profile.test_until, profile.val_from)
 
     mean = SeasonalMean().fit(train).transform(test)
     light = forecasters.fit_boosted(marked, names, effort.light)
@@ -143,7 +143,15 @@ def walk_forward_step(spark: SparkSession, root: str, profile: Profile, settings
     """Summary of the seasonal mean and a booster over the profile's folds."""
     df = featured(spark, root)
     found = forecasters.walk_forward(split.usable(df), profile.folds, features.feature_columns(df), settings)
-    return evaluate.cv_summary(settle(found))
+    summary = evaluate.cv_summary(settle(found))
+    return stored_report(spark, root, "walk_forward", summary)
+
+
+def stored_report(spark: SparkSession, root: str, name: str, table: DataFrame) -> DataFrame:
+    """Writes a report beside those of the run and reads it back."""
+    path = f"{root}/reports/{name}"
+    table.write.mode("overwrite").parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
 
 
 def tuning_step(
@@ -160,7 +168,8 @@ def tuning_step(
     table, best = forecasters.search(split.usable(df), profile.folds[-2:], names, space, trials, seed)
     rows = split.temporal_split(df, profile.test_from, profile.test_until, profile.val_from)
     holidays = holiday_table(spark, profile.years)
-    return table, forecasters.verdict(rows, holidays, names, space.base, best)
+    answer = forecasters.verdict(rows, holidays, names, space.base, best)
+    return stored_report(spark, root, "tuning_trials", table), stored_report(spark, root, "tuning_verdict", answer)
 
 
 def predictions(spark: SparkSession, root: str) -> DataFrame:
@@ -212,8 +221,8 @@ def publish_step(
 ) -> DataFrame:
     """Copies of the stored tables and the reports under the target's prefixes."""
     stored: Sequence[Artefact] = [
-        Artefact("trusted", renamed(trusted(spark, root), profile.names), "trusted"),
-        Artefact("featured", renamed(featured(spark, root), profile.names), "refined/features"),
+        Artefact("trusted", renamed(trusted(spark, root).drop(split.YEAR_PART), profile.names), "trusted"),
+        Artefact("featured", renamed(featured(spark, root).drop(split.YEAR_PART), profile.names), "refined/features"),
         Artefact("predictions", renamed(predictions(spark, root), profile.names), "refined/predictions"),
     ]
     made = [Artefact(n, t, f"reports/{n}") for n, t in reports_made.items()]
@@ -245,12 +254,13 @@ def _steps(
     ingest_step(spark, raw, root, profile, policy)
     df = feature_step(spark, root, profile)
     preds, metrics = model_step(spark, root, profile, effort)
+    found = ablation_step(spark, root, profile, effort.light)
+    leak = {} if found is None else {"ablation": found}
     if target is None:
-        made = [Artefact(n, t, f"reports/{n}") for n, t in quality_tables(spark, root, profile).items()]
+        made = [Artefact(n, t, f"reports/{n}") for n, t in (quality_tables(spark, root, profile) | leak).items()]
         sinks.publish(spark, made, root)
         return metrics
     holidays = holiday_table(spark, profile.years)
     made = report_tables(preds, trusted(spark, root), df, holidays, profile, model)
-    leak = ablation_step(spark, root, profile, effort.light)
-    made |= quality_tables(spark, root, profile) | ({} if leak is None else {"ablation": leak})
+    made |= quality_tables(spark, root, profile) | leak
     return publish_step(spark, root, target, profile, made)

@@ -33,6 +33,8 @@ RIDGE_CATEGORICAL = ("key_code", "kind_code")
 NOMINAL = ("key_code", "kind_code", "weekday", "month", "hour_of_day")
 #: Rounds between two written tables of a boosting run, and models of keys that are stored together.
 STORED_EVERY, STORED_MODELS = 10, 16
+#: Rows of a boosting task, at least.
+TASK_ROWS = 50_000
 
 
 @dataclass(frozen=True)
@@ -104,22 +106,20 @@ def fit_ridge(train: DataFrame, features: Sequence[str], alpha: float = 1.0) ->
     numeric = [c for c in numeric if stats[f"n__{c}"]]  # a column without a value has no median
     imputer, filled = _imputed([f"{c}__d" for c in numeric])
     penalty = alpha * (stats["s"] or 0.0) / max(stats["n"], 1)
-    known = SQLTransformer(
-        statement="SELECT *, "
-        + ", ".join(f"CAST(coalesce(`{c}`, -1) + 1 AS DOUBLE) AS `{c}__c`" for c in coded)
-        + " FROM __THIS__"
-    )
-    hot = OneHotEncoder(
-        inputCols=[f"{c}__c" for c in coded], outputCols=[f"{c}__h" for c in coded], handleInvalid="keep", dropLast=True
-    )
+    categories = []
+    if coded:
+        cast = ", ".join(f"CAST(coalesce(`{c}`, -1) + 1 AS DOUBLE) AS `{c}__c`" for c in coded)
+        categories = [
+            SQLTransformer(statement=f"SELECT *, {cast} FROM __THIS__"),
+            OneHotEncoder(inputCols=[f"{c}__c" for c in coded], outputCols=[f"{c}__h" for c in coded], handleInvalid="keep", dropLast=True),
+        ]
     return Pipeline(
         stages=[
             _as_double(numeric),
             imputer,
             VectorAssembler(inputCols=filled, outputCol="numbers"),
             StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
-            known,
-            hot,
+            *categories,
             VectorAssembler(inputCols=["scaled", *[f"{c}__h" for c in coded]], outputCol="features"),
             LinearRegression(
                 featuresCol="features",
@@ -180,6 +180,8 @@ def fit_boosted(
     rows = with_target(start.transform(train) if start else train.withColumn("prediction", F.lit(0.0)))
     vectors = inputs.vectors(rows.select("*", marked.alias("_val"))).select("features", "target", "_val", F.col("prediction").alias("so_far"))
     state = settle(vectors)
+    # a round is a dozen short stages: small tables are not cut into many tasks
+    state = state.coalesce(max(1, math.ceil(state.count() / TASK_ROWS)))
     watched = not state.where("_val").isEmpty()
     errors = list(start.errors) if start else []
     squared = F.avg((F.col("target") - F.col("so_far")) ** 2).alias("e")
@@ -380,17 +382,18 @@ def predict_ridge_per_key(df: DataFrame, weights: DataFrame, features: Sequence[
 # ------------------------------------------------------------------ ablation
 
 
-def ablation(split: DataFrame, features: Sequence[str], settings: Boosting, without: str) -> DataFrame:
-    """Metrics with and without one feature, and the change of the MAE."""
+def ablation(split: DataFrame, features: Sequence[str], settings: Boosting, without: str, full: TreeModel | None = None) -> DataFrame:
+    """Metrics with and without one feature, and the change of the MAE; ``full`` is the model with it, if fitted already."""
     marked = split.where("split <> 'test'").withColumn("is_val", F.col("split") == "val")
     test = split.where("split = 'test'")
     frames = []
     for name, used in (("full", list(features)), ("reduced", [f for f in features if f != without])):
-        scored = predict(fit_boosted(marked, used, settings), test)
+        model = full if full is not None and name == "full" else fit_boosted(marked, used, settings)
+        scored = predict(model, test)
         frames.append(prediction_rows(scored, name))
     metrics = metrics_by(frames[0].unionByName(frames[1]))
-    full = metrics.where("model = 'full'").select("mae").scalar()
-    return metrics.withColumn("mae_change", F.col("mae") - full)
+    whole = metrics.where("model = 'full'").select("mae").scalar()
+    return metrics.withColumn("mae_change", F.col("mae") - whole)
 
 
 # ------------------------------------------------------------------ walk-forward
@@ -410,7 +413,7 @@ def walk_forward(
     kept = {r["fold"] for r in fold_sizes(df, folds, least_train, least_test).where("kept").collect()}  # per fold
     used = [f for f in folds if f[0] in kept]
     base = fold_forecasts(df, used).select("fold", F.lit(BASELINE).alias("model"), "y", "pred")
-    train, test = tail_split(df, used), fold_rows(df, used, "test")
+    train, test = settle(tail_split(df, used)), settle(fold_rows(df, used, "test"))
     parts = [base]
     for fold in used:
         model = fit_boosted(train.where(F.col("fold") == fold[0]), features, settings)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seasonflow.functions.cleaning import half_even, per_cent
 from seasonflow.operators.evaluate import ACTIVE_FROM, BASELINE, LEAST_ROWS
+from seasonflow.operators.split import dates_between
 from seasonflow.session import settle
 from seasonflow.spec import SeriesSpec
 
@@ -69,12 +70,11 @@ def annual_totals(df: DataFrame, months: tuple[int, int] = (1, 9)) -> DataFrame:
     return years.withColumn("change_pct", per_cent(F.col("millions") - before, before))
 
 
-def monthly_totals(df: DataFrame, first: str, last: str, y: str = "real") -> DataFrame:
-    return (
-        df.where(F.col("ds").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
-        .groupBy(F.date_format("ds", "yyyy-MM").alias("month"))
-        .agg(half_even(total(y), 0).alias("total"))
-    )
+def monthly_totals(df: DataFrame, first: str | None = None, last: str | None = None, y: str = "real") -> DataFrame:
+    """Totals of every month, or of those between two dates."""
+    kept = df if first is None or last is None else df.where(dates_between(df, first, last))
+    months = kept.where(F.col("ds").isNotNull()).groupBy(F.date_format("ds", "yyyy-MM").alias("month"))
+    return months.agg(half_even(total(y), 0).alias("total"))
 
 
 def linear_trend(monthly: DataFrame) -> DataFrame:
@@ -105,7 +105,8 @@ def real_against_predicted(preds: DataFrame, demand: DataFrame, model: str, k: i
 
 def error_histogram(preds: DataFrame, kinds: DataFrame, model: str, bins: int = 50) -> DataFrame:
     """Counts of absolute errors in equal bins from 0 to the largest error, per kind."""
-    chosen = preds.where((F.col("model") == model) & F.col("abs_err").isNotNull())
+    # the forecasts are computed once: two narrow columns are stored, for the largest error and for the bins
+    chosen = settle(preds.where((F.col("model") == model) & F.col("abs_err").isNotNull()).select("key", "abs_err"))
     top = chosen.agg(F.max("abs_err")).scalar()
     place = F.least(F.floor(F.col("abs_err") / top * bins), F.lit(bins - 1))
     binned = chosen.withColumn("bin", F.when(top > 0, place).otherwise(F.lit(0)).cast("int"))

@@ -58,7 +58,7 @@ def lookup(requests: DataFrame, preds: DataFrame, model_order: Sequence[str]) ->
 
     A null or empty model takes the first one in ``model_order``. Unmatched requests
     stay, with ``status`` telling why. Predictions meet once per (key, ds, hour), as
-    a short array with one entry per model.
+    a short array with one entry per model: of repeated ones the first by its values.
     """
     rank = F.coalesce(F.array_position(F.array(*[F.lit(m) for m in model_order]), F.trim("model")), F.lit(0))
     rank = F.when(rank == 0, len(model_order) + 1).otherwise(rank)
@@ -67,8 +67,10 @@ def lookup(requests: DataFrame, preds: DataFrame, model_order: Sequence[str]) ->
     )
     stored = (
         preds.withColumn("_match", cleaning.match_key(F.col("key")))
-        .groupBy("_match", F.col("ds").alias("_ds"), F.col("hour").alias("_h"))
-        .agg(F.array_sort(F.collect_list(entry)).alias("_all"))
+        .groupBy("_match", F.col("ds").alias("_ds"), F.col("hour").alias("_h"), F.trim("model").alias("_m"))
+        .agg(F.min(entry).alias("_one"))
+        .groupBy("_match", "_ds", "_h")
+        .agg(F.array_sort(F.collect_list("_one")).alias("_all"))
     )
     asked = requests.select(
         "request_id",
@@ -105,7 +107,8 @@ class ServingState:
 
     ``history`` ds, key, hour, y · ``stats`` from :func:`asof.history_stats` ·
     ``means`` from :func:`asof.weekday_means` · ``lines`` key, kind ·
-    ``keys`` and ``kinds`` label codes · ``holidays``.
+    ``keys`` and ``kinds`` label codes · ``holidays`` · ``dated`` history and stats laid out by
+    date (:func:`asof.lay_out`), which are read instead of the first two where they are given.
     """
 
     history: DataFrame
@@ -117,6 +120,7 @@ class ServingState:
     holidays: DataFrame
     rail_kind: str
     trend_base: int
+    dated: asof.Dated | None = None
 
 
 def request_features(
@@ -127,8 +131,10 @@ def request_features(
     A lag whose row is absent takes the weekday mean of its series, or 0. A row that
     is present but null stays null unless ``fill_present_nulls``.
     """
-    lags = asof.calendar_lookup(requests, state.history)
-    rolling = asof.asof_stats(requests, state.stats)
+    if state.dated is None:
+        lags, rolling = asof.calendar_lookup(requests, state.history), asof.asof_stats(requests, state.stats)
+    else:
+        lags, rolling = asof.dated_lookup(requests, state.dated), asof.dated_stats(requests, state.dated)
     weekday = F.weekday("ds")
     cells = (
         lags.join(rolling, SPEC.row_id)

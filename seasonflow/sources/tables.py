@@ -135,6 +135,15 @@ def events_hourly(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def events_long(spark: SparkSession, folder: str) -> DataFrame:
+    """``ds, key, hour, y``: all 24 hours of every day on which a type occurs, hours without events null."""
+    cells = table(spark, folder, "events").select(
+        F.col("ts").cast("date").alias("ds"), F.col("event_type").alias("key"), F.hour("ts").alias("hour"), cents("value").alias("v")
+    )
+    days = cells.groupBy("ds", "key").agg(*[(F.sum(F.when(F.col("hour") == h, F.col("v"))) / 100.0).alias(str(h)) for h in range(24)])
+    return days.unpivot(["ds", "key"], [f"`{h}`" for h in range(24)], "hour", "y").withColumn("hour", F.col("hour").cast("int"))
+
+
 def order_requests(spark: SparkSession, folder: str) -> DataFrame:
     """One request per order: untidy line text, date text, hour text, model.
 

@@ -202,7 +202,7 @@ def test_more_keys_than_any_pool(spark, monkeypatch):
         F.lit("2024-01-01").cast("date").alias("ds"), (F.col("id") % 7).cast("int").alias("hour"),
     )
     monkeypatch.setattr(f, "key_sizes", lambda split: split.groupBy("key").count().withColumn("kept", F.lit(True)))
-    leaf = lambda v: trees.Tree(1.0, [0, -1, -1], [3.0, 0, 0], [1, -1, -1], [2, -1, -1], [0, v, v + 1], [[], [], []], [])
+    leaf = lambda v: trees.Tree(1.0, [0, -1, -1], [3.0, 0.0, 0.0], [1, -1, -1], [2, -1, -1], [0.0, v, v + 1], [[], [], []], [])
     monkeypatch.setattr(f, "fit_boosted", lambda rows, names, settings: trees.TreeModel(trees.Inputs(("hour",)), [leaf(1.0), leaf(0.5)]))
     monkeypatch.setattr(f, "STORED_MODELS", 250)
     models = f.fit_per_key(rows, ["hour"], None)

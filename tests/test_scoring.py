@@ -80,6 +80,39 @@ def test_request_features_equal_direct_arithmetic(spark, bounded):
     assert names <= set(got[0].asDict())
 
 
+@pytest.mark.parametrize("days", [range(0, 100, 3), [40]])
+def test_dated_state_equals_the_plain_one(spark, folder, days):
+    from dataclasses import replace
+
+    long, rows = history(spark)
+    plain = state(spark, long, True)
+    laid = replace(plain, dated=asof.lay_out(long, plain.stats, f"{folder}/dated"))
+    dates = [date(2023, 12, 30), date(2024, 8, 1), *[date(2024, 1, 1) + timedelta(days=d) for d in days]]
+    asked = [(i, k, d.isoformat(), str(h), None) for i, (k, h, d) in enumerate((k, h, d) for k, h in (("line a", 5), ("line a", 6), ("line b", 5)) for d in dates)]
+    valid = scoring.accepted(scoring.validate(spark.createDataFrame(asked, REQUEST), plain.keys))
+    left, right = (sorted(map(tuple, scoring.request_features(valid, s).collect()), key=lambda r: r[0]) for s in (plain, laid))
+    assert len(left) == len(asked)
+    for a, b in zip(left, right):
+        assert a == pytest.approx(b, nan_ok=True) if None not in a else [x == y or x == pytest.approx(y) for x, y in zip(a, b)].count(False) == 0
+
+
+def pruned_scans(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dated_state_opens_only_the_asked_folders(spark, folder):
+    long, _ = history(spark)
+    dated = asof.lay_out(long, asof.history_stats(long, bounded=True), f"{folder}/dated")
+    asked = spark.createDataFrame([("Line A", date(2024, 2, 20), 5), ("Line A", date(2024, 2, 25), 5)], "key string, ds date, hour int")
+    for found in (asof.dated_lookup(asked, dated), asof.dated_stats(asked, dated)):
+        plan = pruned_scans(found)
+        assert "dynamicpruning" in plan.lower() and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        joined = plan[plan.index("BroadcastHashJoin") :].split("Union")[0]
+        scan = joined[: joined.index("FileScan")] if "FileScan" in joined else joined
+        assert "hashpartitioning" not in scan  # the stored rows meet the request where they are
+
+
 def test_repeated_history_rows_all_count(spark):
     rows = [(date(2024, 1, d), "A", "k", 5, float(10 * d + i), i) for d in (1, 2, 3) for i in range(4)]
     long = spark.createDataFrame(rows, "ds date, key string, kind string, hour int, y double, i int")
@@ -127,6 +160,13 @@ def test_lookup_of_stored_predictions(spark):
     assert [got[i]["status"] for i in (3, 4, 5)] == ["not_found", "bad_date", "bad_hour"]
 
 
+def test_repeated_predictions_are_one(spark):
+    day = date(2025, 3, 15)
+    preds = spark.createDataFrame([(day, "A", 7, 1.0, float(v), 0.5, "m") for v in (3, 2, 2, 9)], "ds date, key string, hour int, real double, pred double, abs_err double, model string")
+    asked = spark.createDataFrame([(1, "a", "2025-03-15", "7", None)], REQUEST)
+    assert scoring.lookup(asked, preds, ["m"]).first()["pred"] == 2.0
+
+
 def test_line_listing(spark):
     long, _ = history(spark)
     rows = scoring.lines(long).collect()
