@@ -30,8 +30,8 @@ from seasonflow.llm.registry import query
 from seasonflow.session import settle
 
 SHINGLE, BUDGET, SEED = 4, 4, 42
-#: Node pairs that a task walks at a time, and pairs of leaves below which a node pair is spelled out.
-FRONTIER, SMALL = 1 << 16, 16
+#: Node pairs that a task walks at a time (as many wait at each of 64 depths, some 100 MB in all), and pairs of leaves below which a node pair is spelled out.
+FRONTIER, SMALL = 1 << 14, 16
 _LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 
 
