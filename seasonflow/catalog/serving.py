@@ -114,7 +114,8 @@ def serving_state(spark, folder, laid_out: bool = False) -> scoring.ServingState
         history=long,
         stats=stats,
         dated=asof.lay_out(long, stats, scratch_path(spark, "dated")) if laid_out else None,
-        means=settle(asof.weekday_means(long)),
+        # sums of cents are exact, so a mean does not depend on the order of the rows
+        means=settle(asof.weekday_means(long.withColumn("y", F.col("y").cast("decimal(18,2)")))),
         lines=lines,
         keys=features.label_codes(lines, "key"),
         kinds=features.label_codes(lines, "kind"),
@@ -125,7 +126,7 @@ def serving_state(spark, folder, laid_out: bool = False) -> scoring.ServingState
 
 
 _FEATURES = (
-    _CELL + _STATS + f""", wm AS (SELECT key, hour, isodow(ds) - 1 AS weekday, avg(y) AS m FROM long WHERE y IS NOT NULL GROUP BY 1, 2, 3),
+    _CELL + _STATS + f""", wm AS (SELECT key, hour, isodow(ds) - 1 AS weekday, CAST(sum(CAST(y AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS m FROM long WHERE y IS NOT NULL GROUP BY 1, 2, 3),
 lg AS (SELECT c.ds, c.key, c.hour, {_LAGS} FROM cell c {_LAG_JOINS})
 SELECT r.request_id, r.key, r.ds, r.hour, """
     + ", ".join(f"round(CASE WHEN has_{k}d THEN lag_{k}d ELSE coalesce(wm.m, 0) END, 7) AS lag_{k}d" for k in asof.DAYS)

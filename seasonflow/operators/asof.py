@@ -124,9 +124,9 @@ def weekday_means(history: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataFr
 
 @dataclass(frozen=True)
 class Dated:
-    """What serving reads, laid out by date: ``history`` has one row for each cell, a folder a date; ``stats``
-    has the state of a series at the end of its dates, a folder a month, and in every month the state that
-    the series brought into it. ``last_month`` is the month after the last one with a value."""
+    """What serving reads, a folder a month: ``history`` has one row for each cell; ``stats`` has the state of a
+    series at the end of its dates, and in every month the state that the series brought into it.
+    ``last_month`` is the month after the last one with a value."""
 
     history: DataFrame
     stats: DataFrame
@@ -138,11 +138,11 @@ def _month(ds: Column) -> Column:
 
 
 def lay_out(history: DataFrame, stats: DataFrame, path: str, spec: SeriesSpec = SeriesSpec()) -> Dated:
-    """Writes history and the stats of :func:`history_stats` for look-ups that open only the folders of the dates they ask for."""
+    """Writes history and the stats of :func:`history_stats` for look-ups that open only the folders of the months they ask for."""
     spark = history.sparkSession
     cells = history.na.drop(subset=spec.row_id).groupBy(*spec.row_id).agg(F.min(spec.y).alias(spec.y))
-    cells = cells.select(*spec.series, spec.y, spec.ds)
-    cells.repartitionByRange(*spec.row_id).sortWithinPartitions(*spec.row_id).write.mode("overwrite").partitionBy(spec.ds).parquet(f"{path}/history")
+    cells = cells.select(*spec.row_id, spec.y, _month(F.col(spec.ds)).alias("month"))
+    cells.repartitionByRange(*spec.row_id).sortWithinPartitions(*spec.row_id).write.mode("overwrite").partitionBy("month").parquet(f"{path}/history")
     state = F.struct("n", "mean_all", "mean_7", "mean_28", "std_7").alias("state")
     own = stats.select(*spec.series, spec.ds, state, F.lit(False).alias("carried"), _month(F.col(spec.ds)).alias("month"))
     last = own.agg(F.max("month")).first()[0]
@@ -162,13 +162,14 @@ def dated_lookup(requests: DataFrame, dated: Dated, days: Sequence[int] = DAYS,
     """:func:`calendar_lookup` on a laid-out history.
 
     The wanted cells are stored; while they are small they go to the history, whose scan opens only the folders of
-    their dates, and no row of it is shuffled but those that were asked for.
+    their months, and no row of it is shuffled but those that were asked for.
     """
     wanted = wanted_cells(requests, spec).select(*spec.row_id)
     looked = wanted.withColumn("_k", F.explode(F.array(*[F.lit(k) for k in days])))
-    asked = settle(looked.select(F.col(spec.ds).alias("_ds"), F.date_sub(spec.ds, F.col("_k")).alias(spec.ds), *spec.series, "_k"))
+    past = F.date_sub(spec.ds, F.col("_k"))
+    asked = settle(looked.select(F.col(spec.ds).alias("_ds"), past.alias(spec.ds), *spec.series, "_k", _month(past).alias("month")))
     # a condition on the asked side tells Spark that it is worth pruning by
-    hits = dated.history.join(asked.where(F.col("_k") >= min(days)), spec.row_id)
+    hits = dated.history.join(asked.where(F.col("_k") >= min(days)), ["month", *spec.row_id])
     found = hits.select(F.col("_ds").alias(spec.ds), *spec.series, "_k", F.col(spec.y).alias("_y"), F.lit(True).alias("_has"))
     every = asked.where(F.col("_k") == days[0]).select(F.col("_ds").alias(spec.ds), *spec.series)
     both = found.unionByName(every, allowMissingColumns=True)
