@@ -10,7 +10,7 @@ from seasonflow.llm.decontaminate import decontamination_stage
 from seasonflow.llm.pii import mask_stage
 from seasonflow.llm.quality import quality_stage
 from seasonflow.llm.simhash import near_duplicate_stage
-from seasonflow.session import scratch_path, scratch_scope
+from seasonflow.session import delete_path, scratch_path, scratch_scope
 
 STAGES = [
     ("quality_rules", quality_stage),
@@ -26,12 +26,14 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to ``documents``; each stage is written and read again by the next one.
 
-    A stage's own scratch tables are deleted once its result is written.
+    A stage's own scratch tables, and what the stage before it wrote, are deleted once its result is written.
     """
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")
         with scratch_scope(spark):
             stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before is not None:
+            delete_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

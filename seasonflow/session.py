@@ -41,6 +41,12 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder on whatever store Spark reads it from."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 #: Folders of the open scopes, the innermost last; threads of one job share them.
 _scopes: list[str] = []
 
@@ -58,8 +64,7 @@ def scratch_scope(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _scopes.remove(folder)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(spark, folder)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
