@@ -16,7 +16,8 @@ import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, Imputer, OneHotEncoder, SQLTransformer, StandardScaler, VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,7 +95,7 @@ def _tree_inputs(features: Sequence[str]) -> list:
 def fit_ridge(train: DataFrame, features: Sequence[str], alpha: float = 1.0) -> PipelineModel:
     """Ridge on imputed, standardised numbers and one-hot key and kind codes.
 
-    ``regParam`` is scaled so that the coefficients equal those of the closed form
+    Numbers are scaled by the deviation of the population. ``regParam`` is scaled so that the coefficients equal those of the closed form
     with penalty ``alpha``; an unknown category encodes to all zeros.
     """
     train = with_target(train)
@@ -106,6 +107,7 @@ def fit_ridge(train: DataFrame, features: Sequence[str], alpha: float = 1.0) ->
     numeric = [c for c in numeric if stats[f"n__{c}"]]  # a column without a value has no median
     imputer, filled = _imputed([f"{c}__d" for c in numeric])
     penalty = alpha * (stats["s"] or 0.0) / max(stats["n"], 1)
+    whole = math.sqrt(stats["n"] / (stats["n"] - 1)) if stats["n"] > 1 else 1.0  # from sample to population
     categories = []
     if coded:
         cast = ", ".join(f"CAST(coalesce(`{c}`, -1) + 1 AS DOUBLE) AS `{c}__c`" for c in coded)
@@ -118,7 +120,8 @@ def fit_ridge(train: DataFrame, features: Sequence[str], alpha: float = 1.0) ->
             _as_double(numeric),
             imputer,
             VectorAssembler(inputCols=filled, outputCol="numbers"),
-            StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
+            StandardScaler(inputCol="numbers", outputCol="by_sample", withMean=True, withStd=True),
+            ElementwiseProduct(scalingVec=Vectors.dense([whole] * len(numeric)), inputCol="by_sample", outputCol="scaled"),
             *categories,
             VectorAssembler(inputCols=["scaled", *[f"{c}__h" for c in coded]], outputCol="features"),
             LinearRegression(
@@ -355,7 +358,7 @@ def _ridge_of(flat: Sequence[float], medians: Sequence[float | None], d: int, al
     m = put @ m @ put.T
     n, mean = m[0, 0], m[0, 1:] / m[0, 0]
     centred = m[1:, 1:] - n * np.outer(mean, mean)
-    spread = np.sqrt(np.maximum(np.diag(centred)[:-1], 0) / max(n - 1, 1))
+    spread = np.sqrt(np.maximum(np.diag(centred)[:-1], 0) / n)
     flat_column = spread <= 1e-9 * np.maximum(np.abs(mean[:-1]), 1)
     scale = np.where(flat_column, 1.0, spread)
     inner = centred[:-1, :-1] / np.outer(scale, scale)

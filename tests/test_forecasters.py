@@ -42,7 +42,7 @@ def test_ridge_equals_the_closed_form(rows):
     x = pdf[["a", "b"]].to_numpy()
     median = np.nanmedian(x[:, 1])
     x[np.isnan(x[:, 1]), 1] = median
-    scale = x.std(axis=0, ddof=1)
+    scale = x.std(axis=0)
     numbers = (x - x.mean(axis=0)) / scale
     hot = np.column_stack([pdf["key_code"] == c for c in range(3)] + [pdf["kind_code"] == c for c in range(2)]).astype(float)
     design = np.column_stack([numbers, hot])
@@ -138,7 +138,7 @@ def test_ridge_for_any_number_of_keys(rows):
         median = found[key]["medians"]
         assert abs((x[:, 1] < median[1]).sum() - (x[:, 1] > median[1]).sum()) <= 1
         x = np.where(np.isnan(x), median[:2], x)
-        scale = x.std(axis=0, ddof=1)
+        scale = x.std(axis=0)
         centred = (x - x.mean(axis=0)) / scale
         slope = np.linalg.solve(centred.T @ centred + alpha * np.eye(2), centred.T @ (y - y.mean())) / scale
         np.testing.assert_allclose(found[key]["weights"][1:3], slope, rtol=1e-8)
