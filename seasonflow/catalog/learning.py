@@ -58,7 +58,7 @@ def _boosted(spark, folder, name: str, settings: f.Boosting) -> trees.TreeModel:
 
 def _per_key(spark, folder) -> DataFrame:
     rows, names = _rows(spark, folder)
-    return _once(spark, folder, "per-key", lambda: f.fit_per_key(rows, names, PER_KEY))
+    return _once(spark, folder, "per-key", lambda: f.fit_per_key(rows, names, PER_KEY, threads=8))
 
 
 def _mean(rows: DataFrame) -> DataFrame:

@@ -72,8 +72,9 @@ def fold_rows(df: DataFrame, folds: Sequence[Fold], part: str, ds: str = "ds") -
     the folds that hold its date and nothing is shuffled.
     """
     first, last = (1, 2) if part == "train" else (3, 4)
-    if folds:
-        df = df.where(dates_between(df, min(f[first] for f in folds), max(f[last] for f in folds), ds))
+    if not folds:
+        return df.where(F.lit(False)).withColumn("fold", F.lit(None).cast("string"))
+    df = df.where(dates_between(df, min(f[first] for f in folds), max(f[last] for f in folds), ds))
     listed = F.array(
         *[
             F.struct(

@@ -36,6 +36,10 @@ def test_explorer_and_folds(stored):
         assert df.count() == rows and "year_part" in read_years(df)[1]
 
 
+def test_no_folds(stored):
+    assert split.fold_rows(stored, [], "train").count() == 0 and split.tail_split(stored, []).count() == 0
+
+
 def test_temporal_split(stored):
     rows = split.temporal_split(stored, "2023-01-01", "2023-12-31", "2022-11-01")
     plain = split.temporal_split(stored.drop("year_part"), "2023-01-01", "2023-12-31", "2022-11-01")
