@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -106,6 +106,18 @@ class Tree:
     left_categories: list[list[int]]
     gain: list[float]
 
+    @property
+    def leaves(self) -> list[int]:
+        """The places of the leaves, from left to right: Spark numbers them in this order."""
+        return [i for i, feature in enumerate(self.feature) if feature < 0]
+
+    def with_values(self, values: Sequence[float]) -> Tree:
+        """The same splits with other values in the leaves."""
+        out = list(self.value)
+        for i, value in zip(self.leaves, values, strict=True):
+            out[i] = value
+        return replace(self, value=out)
+
 
 _SPLIT = re.compile(r"If \(feature (\d+) (?:<= (\S+)|in \{(.*)\})\)$")
 

@@ -52,15 +52,23 @@ class Boosting:
     bins: int = 64
     seed: int = 42
     nominal: tuple[str, ...] = NOMINAL
+    l1: float = 0.0
+    l2: float = 0.0
+
+    def leaf(self, total: float, count: int) -> float:
+        """What a leaf adds to ``count`` rows whose errors sum to ``total``: the sum is drawn to 0 by ``l1`` and
+        shared among ``l2`` rows more. Without penalties it is their mean."""
+        drawn = math.copysign(max(abs(total) - self.l1, 0.0), total)
+        return drawn / (count + self.l2) if count + self.l2 else 0.0
 
 
 # The settings of the compared learners. Leaf counts become depths, since
 # Spark grows trees by level. Fewer rounds can be asked for with ``dataclasses.replace``.
-LIGHTGBM = Boosting(rounds=2000, step=0.02, depth=8, least_leaf=10, row_share=1.0, column_share="0.8")
-LIGHTGBM_PER_KEY = Boosting(rounds=2000, step=0.02, depth=7, least_leaf=5, row_share=1.0, column_share="0.8")
-XGBOOST = Boosting(rounds=397, step=0.0995, depth=7, least_leaf=10, row_share=0.961, column_share="0.713")
+LIGHTGBM = Boosting(rounds=2000, step=0.02, depth=8, least_leaf=10, row_share=1.0, column_share="0.8", l1=0.1, l2=0.1)
+LIGHTGBM_PER_KEY = Boosting(rounds=2000, step=0.02, depth=7, least_leaf=5, row_share=1.0, column_share="0.8", l1=0.1, l2=0.1)
+XGBOOST = Boosting(rounds=397, step=0.0995, depth=7, least_leaf=10, row_share=0.961, column_share="0.713", l2=1.0)
 SEARCH_PATIENCE = 50
-XGBOOST_DEFAULT = Boosting(rounds=2000, step=0.02, depth=8, least_leaf=10, row_share=0.8, column_share="0.8")
+XGBOOST_DEFAULT = Boosting(rounds=2000, step=0.02, depth=8, least_leaf=10, row_share=0.8, column_share="0.8", l2=1.0)
 
 
 def with_target(df: DataFrame) -> DataFrame:
@@ -163,6 +171,12 @@ def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
     return best, False
 
 
+def in_order(df: DataFrame, parts: int, by: str = "_order") -> DataFrame:
+    """Rows dealt and ordered by a hash of their content. A stored table is read in whatever order its files are
+    listed, and sums in another order differ in their last digit, which decides between splits that tie."""
+    return df.repartition(parts, by).sortWithinPartitions(by)
+
+
 def fit_boosted(
     train: DataFrame, features: Sequence[str], settings: Boosting, is_val: str | None = "is_val", start: TreeModel | None = None
 ) -> TreeModel:
@@ -174,27 +188,32 @@ def fit_boosted(
     go on; the fit ends ``patience`` rounds after the best one, whose trees are kept. Without marked rows all
     rounds are kept. ``start`` goes on from a model: its trees count as rounds and stay.
 
+    With a penalty (``l1``, ``l2``) the leaves of every tree but the first, which stands for the level, take the
+    value of :meth:`Boosting.leaf`, from the sums of all rows that are learned from; splits are Spark's own. One small
+    aggregate by leaf gives these sums and the error on the marked rows.
+
     Nominal columns are split by sets of their values. Predictions are held by the executors and written to the
-    shared folder every few rounds, so a lost executor costs these rounds at most.
+    shared folder every few rounds, so a lost executor costs these rounds at most. Rows are taken in the order
+    of a hash, so a fit that one task holds repeats itself exactly.
     """
     rounds = list(start.trees) if start else []
     inputs = start.inputs if start else Inputs.of(train, features, settings.nominal)
     marked = F.coalesce(F.col(is_val), F.lit(False)) if is_val else F.lit(False)
     rows = with_target(start.transform(train) if start else train.withColumn("prediction", F.lit(0.0)))
-    vectors = inputs.vectors(rows.select("*", marked.alias("_val"))).select("features", "target", "_val", F.col("prediction").alias("so_far"))
+    rows = rows.select("*", marked.alias("_val"), F.xxhash64(*inputs.numbers(), "target").alias("_order"))
+    vectors = inputs.vectors(rows).select("features", "target", "_val", F.col("prediction").alias("so_far"), "_order")
     state = settle(vectors)
     # a round is a dozen short stages: small tables are not cut into many tasks
-    state = state.coalesce(max(1, math.ceil(state.count() / TASK_ROWS)))
+    parts = max(1, math.ceil(state.count() / TASK_ROWS))
     watched = not state.where("_val").isEmpty()
     errors = list(start.errors) if start else []
-    squared = F.avg((F.col("target") - F.col("so_far")) ** 2).alias("e")
-    held = state
+    gap = F.col("target") - F.col("so_far")
+    before = held = in_order(state, parts).persist(StorageLevel.MEMORY_AND_DISK)
     while len(rounds) < settings.rounds:
         first = not rounds
         forest = RandomForestRegressor(
             featuresCol="features",
             labelCol="left",
-            predictionCol="more",
             numTrees=1,
             bootstrap=False,
             maxDepth=settings.depth,
@@ -205,19 +224,34 @@ def fit_boosted(
             seed=settings.seed + len(rounds),
         )
         # the negative slope of the squared error
-        left = F.col("target") if first else 2 * (F.col("target") - F.col("so_far"))
+        left = F.col("target") if first else 2 * gap
         fitted = forest.fit(held.where("NOT _val").withColumn("left", left)).trees[0]
+        if before is not held:
+            before.unpersist()  # what came after it is held by now
         weight = 1.0 if first else settings.step
-        rounds.append(trees.tree_of(fitted.toDebugString, weight, fitted.featureImportances.toArray().tolist()))
-        fitted = fitted.setPredictionCol("more")
-        moved = fitted.transform(held).withColumn("so_far", F.col("so_far") + weight * F.col("more")).select(*state.columns)
-        after = settle(moved) if len(rounds) % STORED_EVERY == 0 else moved.persist(StorageLevel.MEMORY_AND_DISK)
+        grown = trees.tree_of(fitted.toDebugString, weight, fitted.featureImportances.toArray().tolist())
+        landed = fitted.setPredictionCol("").setLeafCol("leaf").transform(held)
+        penalised = bool(settings.l1 or settings.l2) and not first
+        sums = {}
+        if watched or penalised:
+            by_leaf = landed.groupBy("leaf", "_val").agg(F.count(F.lit(1)).alias("n"), F.sum(gap).alias("s"), F.sum(gap**2).alias("q"))
+            sums = {(int(r["leaf"]), r["_val"]): r for r in by_leaf.collect()}  # two rows for each leaf
+        if penalised:
+            slopes = [sums.get((i, False)) for i in range(len(grown.leaves))]
+            grown = grown.with_values([2 * settings.leaf(r["s"], r["n"]) if r else 0.0 for r in slopes])
+        rounds.append(grown)
+        values = [grown.value[i] for i in grown.leaves]
         if watched:
-            errors.append(after.where("_val").agg(squared).first()["e"])
-        held.unpersist()
-        held = after
+            # the squared errors of a leaf's rows after the step: q - 2 v s + n v v
+            moved_by = [(r, weight * values[i]) for (i, val), r in sums.items() if val]
+            errors.append(math.fsum(r["q"] - 2 * v * r["s"] + r["n"] * v * v for r, v in moved_by) / sum(r["n"] for r, _ in moved_by))
+        step = F.element_at(F.lit(values), F.col("leaf").cast("int") + 1)
+        moved = landed.withColumn("so_far", F.col("so_far") + weight * step).select(*state.columns)
+        after = in_order(settle(moved), parts) if len(rounds) % STORED_EVERY == 0 else moved
+        before, held = held, after.persist(StorageLevel.MEMORY_AND_DISK)
         if watched and best_round(errors, settings.patience)[1]:
             break
+    before.unpersist()
     held.unpersist()
     if watched:
         rounds = rounds[: max(best_round(errors, settings.patience)[0], 1)]

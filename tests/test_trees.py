@@ -13,7 +13,7 @@ from seasonflow.plans import forecasters as f
 from seasonflow.sources import sinks
 
 NAMES = ["a", "b", "c"]
-SMALL = replace(f.LIGHTGBM, rounds=7, depth=4, step=0.3, least_leaf=2, patience=100)
+SMALL = replace(f.LIGHTGBM, rounds=7, depth=4, step=0.3, least_leaf=2, patience=100, l1=0.0, l2=0.0)
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +34,8 @@ def test_trees_are_those_of_the_library(frame, settings):
         minInstancesPerNode=settings.least_leaf, subsamplingRate=settings.row_share, featureSubsetStrategy=settings.column_share, seed=settings.seed,
     )
     rows = f.settle(f.with_target(frame).coalesce(1))
-    ready = VectorAssembler(inputCols=NAMES, outputCol="features").transform(rows)
+    alike = f.in_order(rows.withColumn("_order", F.xxhash64(*trees.Inputs(tuple(NAMES)).numbers(), "target")), 1)
+    ready = VectorAssembler(inputCols=NAMES, outputCol="features").transform(alike).persist()
     whole = booster.fit(ready)
     own = f.fit_boosted(rows, NAMES, settings, is_val=None)
     want = [trees.tree_of(t.toDebugString) for t in whole.trees]
@@ -71,6 +72,37 @@ def test_patience_ends_the_fit(frame):
     assert over and len(model.trees) == best and len(model.errors) == best + 4 < 60
 
 
+def test_penalties_shrink_the_leaves(frame):
+    plain = replace(SMALL, rounds=4, l1=0.0, l2=0.0)
+    settings = replace(plain, l1=0.7, l2=3.0)
+    rows = f.settle(f.with_target(frame).coalesce(1))
+    own, free = f.fit_boosted(rows, NAMES, settings), f.fit_boosted(rows, NAMES, plain)
+    assert own.trees[0] == free.trees[0] and own.trees[1].feature == free.trees[1].feature  # the level, and splits before any shrinking
+    table = rows.where("NOT is_val").toPandas()
+    so_far = np.zeros(len(table))
+    for i, tree in enumerate(own.trees):
+        alone = trees.TreeModel(own.inputs, [replace(tree, weight=1.0)])
+        # the place of each row's leaf, in place of its value
+        numbered = trees.TreeModel(own.inputs, [replace(tree, weight=1.0, value=[float(k) for k in range(len(tree.value))])])
+        leaf = trees.Packed(numbered.inputs, numbered.trees).predict(table[NAMES].to_numpy()).astype(int)
+        left = table["target"].to_numpy() - so_far
+        for k in set(leaf.tolist()) if i else ():
+            total, n = left[leaf == k].sum(), (leaf == k).sum()
+            want = 2 * np.sign(total) * max(abs(total) - 0.7, 0) / (n + 3.0)
+            assert tree.value[k] == pytest.approx(want, abs=1e-9)
+        so_far += tree.weight * trees.Packed(alone.inputs, alone.trees).predict(table[NAMES].to_numpy())
+    # the errors, read off the leaves' sums, are those of the trees so far
+    for i in range(len(own.trees)):
+        part = trees.TreeModel(own.inputs, own.trees[: i + 1]).transform(rows).where("is_val")
+        assert part.agg(F.avg((F.col("target") - F.col("prediction")) ** 2)).first()[0] == pytest.approx(own.errors[i])
+
+
+def test_a_penalised_leaf():
+    assert replace(SMALL, l1=0.0, l2=0.0).leaf(6.0, 3) == 2.0
+    heavy = replace(SMALL, l1=2.0, l2=1.0)
+    assert heavy.leaf(6.0, 3) == 1.0 and heavy.leaf(-6.0, 3) == -1.0 and heavy.leaf(1.5, 3) == 0.0 and replace(SMALL, l1=0.0, l2=0.0).leaf(0.0, 0) == 0.0
+
+
 def unordered(spark, count=400):
     """Only the set {1, 4, 6} of a code tells rows apart: a number needs several splits."""
     rows = [(i, float(i % 8), 5.0 if i % 8 in (1, 4, 6) else 1.0, False) for i in range(count)]
