@@ -35,14 +35,22 @@ def dates_between(df: DataFrame, first: str, last: str | None, ds: str = "ds") -
     return inside
 
 
-def temporal_split(df: DataFrame, test_from: str, test_until: str, val_from: str, ds: str = "ds") -> DataFrame:
+def temporal_split(df: DataFrame, test_from: str, test_until: str, val_from: str, ds: str = "ds", later: str | None = None) -> DataFrame:
     """Adds ``split``: test inside the test period, else val from ``val_from``, else train.
 
-    Training with the validation rows is ``split <> 'test'``; :func:`part_rows` gives one part.
+    Rows after the test period are validation rows too, unless ``later`` names a part of their own: then no fit
+    sees what comes after the test. :func:`learned_from` gives the rows to fit on, :func:`part_rows` one part.
     """
     in_test, in_val = dates_between(df, test_from, test_until, ds), dates_between(df, val_from, None, ds)
-    label = F.when(in_test, "test").when(in_val, "val").otherwise("train")
-    return usable(df).withColumn("split", label)
+    label = F.when(in_test, "test")
+    if later is not None:
+        label = label.when(F.col(ds) > F.lit(test_until).cast("date"), later)
+    return usable(df).withColumn("split", label.when(in_val, "val").otherwise("train"))
+
+
+def learned_from(split: DataFrame) -> DataFrame:
+    """Training and validation rows."""
+    return split.where(F.col("split").isin("train", "val"))
 
 
 def part_rows(split: DataFrame, part: str, test_from: str, test_until: str, val_from: str, ds: str = "ds") -> DataFrame:

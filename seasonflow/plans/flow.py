@@ -101,8 +101,8 @@ def model_step(
     """Fits all forecasters; stores models, predictions, importance and metrics."""
     df = featured(spark, root)
     names = features.feature_columns(df)
-    rows = split.temporal_split(df, profile.test_from, profile.test_until, profile.val_from)
-    train = rows.where("split <> 'test'")
+    rows = split.temporal_split(df, profile.test_from, profile.test_until, profile.val_from, later="later")
+    train = split.learned_from(rows)
     marked = train.withColumn("is_val", F.col("split") == "val")
     test = split.part_rows(rows, "test", profile.test_from, profile.test_until, profile.val_from)
 
@@ -135,7 +135,7 @@ def ablation_step(
     if mae["LGB_PerLinea"] <= mae["Baseline"]:
         return None
     df = featured(spark, root)
-    rows = split.temporal_split(df, profile.test_from, profile.test_until, profile.val_from)
+    rows = split.temporal_split(df, profile.test_from, profile.test_until, profile.val_from, later="later")
     return forecasters.ablation(rows, features.feature_columns(df), settings, without)
 
 
@@ -166,7 +166,7 @@ def tuning_step(
     df = featured(spark, root)
     names = features.feature_columns(df)
     table, best = forecasters.search(split.usable(df), profile.folds[-2:], names, space, trials, seed)
-    rows = split.temporal_split(df, profile.test_from, profile.test_until, profile.val_from)
+    rows = split.temporal_split(df, profile.test_from, profile.test_until, profile.val_from, later="later")
     holidays = holiday_table(spark, profile.years)
     answer = forecasters.verdict(rows, holidays, names, space.base, best)
     return stored_report(spark, root, "tuning_trials", table), stored_report(spark, root, "tuning_verdict", answer)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from seasonflow.operators import trees
 from seasonflow.operators.baseline import clip, fold_forecasts
 from seasonflow.operators.evaluate import BASELINE, improvements, metrics_by, prediction_rows
-from seasonflow.operators.split import Fold, fold_rows, fold_sizes, key_sizes, tail_split
+from seasonflow.operators.split import Fold, fold_rows, fold_sizes, key_sizes, learned_from, tail_split
 from seasonflow.operators.trees import Inputs, TreeModel
 from seasonflow.session import literal_table, scratch_path, settle
 
@@ -294,7 +294,7 @@ def fit_per_key(split: DataFrame, features: Sequence[str], settings: Boosting, t
     spark = split.sparkSession
     path = path or scratch_path(spark, "models")
     sizes = key_sizes(split).where("kept").select("key").orderBy("key").collect()  # one row per model
-    marked = split.where("split <> 'test'").withColumn("is_val", F.col("split") == "val")
+    marked = learned_from(split).withColumn("is_val", F.col("split") == "val")
 
     def fit(key: str) -> TreeModel:
         return fit_boosted(marked.where(F.col("key") == key), features, settings)
@@ -421,7 +421,7 @@ def predict_ridge_per_key(df: DataFrame, weights: DataFrame, features: Sequence[
 
 def ablation(split: DataFrame, features: Sequence[str], settings: Boosting, without: str, full: TreeModel | None = None) -> DataFrame:
     """Metrics with and without one feature, and the change of the MAE; ``full`` is the model with it, if fitted already."""
-    marked = split.where("split <> 'test'").withColumn("is_val", F.col("split") == "val")
+    marked = learned_from(split).withColumn("is_val", F.col("split") == "val")
     test = split.where("split = 'test'")
     frames = []
     for name, used in (("full", list(features)), ("reduced", [f for f in features if f != without])):
@@ -555,7 +555,7 @@ def verdict(split: DataFrame, holidays: DataFrame, features: Sequence[str], defa
 
     ``yes`` over 5 % gain, ``marginal`` over 0, else ``no``.
     """
-    marked = split.where("split <> 'test'").withColumn("is_val", F.col("split") == "val")
+    marked = learned_from(split).withColumn("is_val", F.col("split") == "val")
     test = split.where("split = 'test'")
     frames = [
         prediction_rows(predict(fit_boosted(marked, features, s), test), name)

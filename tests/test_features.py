@@ -83,6 +83,18 @@ def test_split_is_disjoint_and_whole(spark):
     assert report["test"]["first"] == date(2025, 1, 1)
 
 
+def test_rows_after_the_test_period_can_be_kept_from_fits(spark):
+    df = features.add_history(series(spark, range(500), [float(v) for v in range(500)]), bounded=True)
+    last = split.usable(df).agg({"ds": "max"}).first()[0]
+    until = str(last - timedelta(days=20))
+    plain = split.temporal_split(df, str(last - timedelta(days=60)), until, str(last - timedelta(days=90)))
+    apart = split.temporal_split(df, str(last - timedelta(days=60)), until, str(last - timedelta(days=90)), later="later")
+    rows = {r["split"]: r for r in split.split_report(apart).collect()}
+    assert rows["later"]["rows"] == 20 and rows["later"]["first"] == last - timedelta(days=19)
+    assert split.learned_from(apart).where("ds > '%s'" % until).isEmpty()
+    assert split.learned_from(plain).count() == rows["train"]["rows"] + rows["val"]["rows"] + 20
+
+
 def test_positional_tail_may_cut_inside_a_day(spark):
     rows = [(date(2024, 1, 1) + timedelta(days=d), k, h) for d in range(11) for k in "abc" for h in (4, 5)]
     df = spark.createDataFrame(rows, "ds date, key string, hour int")
