@@ -142,7 +142,7 @@ def feature_importance(spark, folder):
 @query()
 def feature_ablation(spark, folder):
     rows, names = _rows(spark, folder)
-    return f.ablation(rows, names, LIGHT, "day_of_year", _boosted(spark, folder, "light", LIGHT))
+    return f.ablation(rows, names, LIGHT, "day_of_year", lambda: _boosted(spark, folder, "light", LIGHT))
 
 
 @query()
@@ -214,11 +214,14 @@ def forecasts_of_all_learners(spark, folder):
     forecast and value, and no forecast missing or below 0."""
     rows, names = _rows(spark, folder)
     test = _test(rows)
+    per_key, light, tuned = f.together(
+        lambda: _per_key(spark, folder), lambda: _boosted(spark, folder, "light", LIGHT), lambda: _boosted(spark, folder, "tuned", XGB)
+    )
     frames = {
         "ridge": f.predict(f.fit_ridge(_train(rows), names), test),
-        "light": f.predict(_boosted(spark, folder, "light", LIGHT), test),
-        "tuned": f.predict(_boosted(spark, folder, "tuned", XGB), test),
-        "per_key": f.predict_per_key(_per_key(spark, folder), test, _mean(rows)),
+        "light": f.predict(light, test),
+        "tuned": f.predict(tuned, test),
+        "per_key": f.predict_per_key(per_key, test, _mean(rows)),
         "ridge_per_key": f.predict_ridge_per_key(test, f.fit_ridge_per_key(_train(rows), names), names, _mean(rows)),
     }
     each = evaluate.stack([evaluate.prediction_rows(df, name) for name, df in frames.items()])

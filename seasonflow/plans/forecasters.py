@@ -11,6 +11,7 @@ import random
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -34,8 +35,9 @@ RIDGE_CATEGORICAL = ("key_code", "kind_code")
 NOMINAL = ("key_code", "kind_code", "weekday", "month", "hour_of_day")
 #: Rounds between two written tables of a boosting run, and models of keys that are stored together.
 STORED_EVERY, STORED_MODELS = 10, 16
-#: Rows of a boosting task, at least.
-TASK_ROWS = 50_000
+#: Rows of a boosting task, at most. A round reads its rows a dozen times, so more rows than this take longer
+#: than the tasks that they could be dealt to.
+TASK_ROWS = 16_000
 
 
 @dataclass(frozen=True)
@@ -209,23 +211,23 @@ def fit_boosted(
     errors = list(start.errors) if start else []
     gap = F.col("target") - F.col("so_far")
     before = held = in_order(state, parts).persist(StorageLevel.MEMORY_AND_DISK)
+    forest = RandomForestRegressor(
+        featuresCol="features",
+        labelCol="left",
+        numTrees=1,
+        bootstrap=False,
+        maxDepth=settings.depth,
+        minInstancesPerNode=settings.least_leaf,
+        subsamplingRate=settings.row_share,
+        featureSubsetStrategy=settings.column_share,
+        maxBins=max(settings.bins, inputs.most_categories),
+    )
     while len(rounds) < settings.rounds:
         first = not rounds
-        forest = RandomForestRegressor(
-            featuresCol="features",
-            labelCol="left",
-            numTrees=1,
-            bootstrap=False,
-            maxDepth=settings.depth,
-            minInstancesPerNode=settings.least_leaf,
-            subsamplingRate=settings.row_share,
-            featureSubsetStrategy=settings.column_share,
-            maxBins=max(settings.bins, inputs.most_categories),
-            seed=settings.seed + len(rounds),
-        )
+        forest.setSeed(settings.seed + len(rounds))
         # the negative slope of the squared error
         left = F.col("target") if first else 2 * gap
-        fitted = forest.fit(held.where("NOT _val").withColumn("left", left)).trees[0]
+        fitted = forest.fit(held.where("NOT _val").select("features", left.alias("left"))).trees[0]
         if before is not held:
             before.unpersist()  # what came after it is held by now
         weight = 1.0 if first else settings.step
@@ -245,7 +247,8 @@ def fit_boosted(
             # the squared errors of a leaf's rows after the step: q - 2 v s + n v v
             moved_by = [(r, weight * values[i]) for (i, val), r in sums.items() if val]
             errors.append(math.fsum(r["q"] - 2 * v * r["s"] + r["n"] * v * v for r, v in moved_by) / sum(r["n"] for r, _ in moved_by))
-        step = F.element_at(F.lit(values), F.col("leaf").cast("int") + 1)
+        # one text in place of a literal for each leaf, which cost a call of the driver each
+        step = F.element_at(F.expr(f"array({', '.join(f'{float(v)!r}D' for v in values)})"), F.col("leaf").cast("int") + 1)
         moved = landed.withColumn("so_far", F.col("so_far") + weight * step).select(*state.columns)
         after = in_order(settle(moved), parts) if len(rounds) % STORED_EVERY == 0 else moved
         before, held = held, after.persist(StorageLevel.MEMORY_AND_DISK)
@@ -419,15 +422,22 @@ def predict_ridge_per_key(df: DataFrame, weights: DataFrame, features: Sequence[
 # ------------------------------------------------------------------ ablation
 
 
-def ablation(split: DataFrame, features: Sequence[str], settings: Boosting, without: str, full: TreeModel | None = None) -> DataFrame:
-    """Metrics with and without one feature, and the change of the MAE; ``full`` is the model with it, if fitted already."""
+def together(*jobs: Callable[[], Any]) -> list[Any]:
+    """What independent fits return, run side by side: a round of small jobs leaves most of a cluster idle."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [done.result() for done in [pool.submit(job) for job in jobs]]
+
+
+def ablation(
+    split: DataFrame, features: Sequence[str], settings: Boosting, without: str, full: Callable[[], TreeModel] | None = None
+) -> DataFrame:
+    """Metrics with and without one feature, and the change of the MAE. Both models are fitted side by side;
+    ``full`` gives the one with the feature, if it is stored or to be shared."""
     marked = learned_from(split).withColumn("is_val", F.col("split") == "val")
     test = split.where("split = 'test'")
-    frames = []
-    for name, used in (("full", list(features)), ("reduced", [f for f in features if f != without])):
-        model = full if full is not None and name == "full" else fit_boosted(marked, used, settings)
-        scored = predict(model, test)
-        frames.append(prediction_rows(scored, name))
+    fewer = [f for f in features if f != without]
+    models = together(full or (lambda: fit_boosted(marked, list(features), settings)), lambda: fit_boosted(marked, fewer, settings))
+    frames = [prediction_rows(predict(model, test), name) for model, name in zip(models, ("full", "reduced"))]
     metrics = metrics_by(frames[0].unionByName(frames[1]))
     whole = metrics.where("model = 'full'").select("mae").scalar()
     return metrics.withColumn("mae_change", F.col("mae") - whole)

@@ -1,3 +1,4 @@
+import threading
 from dataclasses import replace
 from datetime import date, timedelta
 
@@ -195,6 +196,31 @@ def test_ablation_reports_the_change(rows):
     assert split.key_sizes(rows).count() == 3
 
 
+def test_models_of_an_ablation_are_fitted_side_by_side(rows, monkeypatch):
+    both = threading.Barrier(2, timeout=60)
+    leaf = trees.TreeModel(trees.Inputs(("b",)), [trees.Tree(1.0, [-1], [0.0], [-1], [-1], [2.0], [[]], [])])
+    monkeypatch.setattr(f, "fit_boosted", lambda rows, names, settings: both.wait() and leaf or leaf)
+    assert {r["model"] for r in f.ablation(rows, NAMES, SMALL, "a").collect()} == {"full", "reduced"}
+    shared = lambda: both.wait() and leaf or leaf
+    assert f.ablation(rows, NAMES, SMALL, "a", shared).count() == 2
+
+
+def test_independent_fits_run_side_by_side():
+    three = threading.Barrier(3, timeout=60)
+    assert f.together(*[lambda i=i: (three.wait(), i)[1] for i in range(3)]) == [0, 1, 2]
+    with pytest.raises(ZeroDivisionError):
+        f.together(lambda: 1, lambda: 1 // 0)
+
+
+def test_a_table_of_some_size_is_dealt_to_several_tasks(spark, monkeypatch):
+    dealt = []
+    original = f.in_order
+    monkeypatch.setattr(f, "in_order", lambda df, parts, *a: dealt.append(parts) or original(df, parts, *a))
+    wide = spark.range(48_000).selectExpr("CAST(id % 97 AS DOUBLE) AS a", "CAST(id % 5 AS DOUBLE) AS y", "false AS is_val")
+    f.fit_boosted(wide, ["a"], replace(SMALL, rounds=1))
+    assert dealt == [3]
+
+
 def test_more_keys_than_any_pool(spark, monkeypatch):
     """A thousand models, scored in one plan."""
     rows = spark.range(1000 * 8).select(
