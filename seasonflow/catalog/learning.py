@@ -189,8 +189,7 @@ def live_scores(spark, folder):
     """Every valid request scored from features built for its date."""
     state = serving_state(spark, folder, laid_out=True)
     valid = scoring.accepted(scoring.validate(tables.order_requests(spark, folder), state.keys))
-    found = scoring.request_features(valid, state)
-    return scoring.live_scores(found, _live_model(spark, folder))
+    return scoring.score_requests(valid, state, _live_model(spark, folder))
 
 
 @query()

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from seasonflow.functions import calendar, cleaning
 from seasonflow.operators import asof
 from seasonflow.operators.baseline import clip
+from seasonflow.operators.trees import TreeModel
+from seasonflow.session import settle
 from seasonflow.spec import SeriesSpec
 
 SPEC = SeriesSpec()
@@ -126,7 +128,12 @@ class ServingState:
 def request_features(
     requests: DataFrame, state: ServingState, fill_present_nulls: bool = False
 ) -> DataFrame:
-    """All features of validated requests (``key, ds, hour`` present), one row each.
+    """All features of validated requests (``key, ds, hour`` present), one row each."""
+    return requests.join(cell_features(requests, state, fill_present_nulls), SPEC.row_id, "left")
+
+
+def cell_features(requests: DataFrame, state: ServingState, fill_present_nulls: bool = False) -> DataFrame:
+    """The features of each distinct (ds, key, hour) that validated requests ask for.
 
     A lag whose row is absent takes the weekday mean of its series, or 0. A row that
     is present but null stays null unless ``fill_present_nulls``.
@@ -172,13 +179,22 @@ def request_features(
         .withColumn("is_rail", F.coalesce((F.col("kind") == state.rail_kind).cast("int"), F.lit(0)))
     )
     hour, day, month = F.col("hour_of_day"), F.col("weekday"), F.col("month")
-    full = coded.withColumns({**calendar.cyclic(hour, day, month), **calendar.interactions(hour, day)})
-    return requests.join(full, SPEC.row_id, "left")
+    return coded.withColumns({**calendar.cyclic(hour, day, month), **calendar.interactions(hour, day)})
+
 
+def score_requests(requests: DataFrame, state: ServingState, model: PipelineModel | TreeModel, name: str = "LightGBM") -> DataFrame:
+    """:func:`live_scores` of validated requests. Requests of one cell have one answer, so the model walks each
+    distinct cell once, however many requests ask for it."""
+    cells = settle(model.transform(cell_features(requests, state)).select(*SPEC.row_id, "lags_available", "prediction"))
+    return _answers(requests.join(cells, SPEC.row_id, "left"), name)
 
-def live_scores(features: DataFrame, model: PipelineModel, name: str = "LightGBM") -> DataFrame:
+
+def live_scores(features: DataFrame, model: PipelineModel | TreeModel, name: str = "LightGBM") -> DataFrame:
     """Predictions in the original scale for a model trained on log1p."""
-    scored = model.transform(features)
+    return _answers(model.transform(features), name)
+
+
+def _answers(scored: DataFrame, name: str) -> DataFrame:
     return scored.select(
         "request_id",
         cleaning.match_key(F.col("line")).alias("line"),

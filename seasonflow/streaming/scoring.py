@@ -21,8 +21,7 @@ def score_batch(
     try:
         checked = scoring.validate(held, state.keys)
         scoring.rejected(checked).write.mode("overwrite").parquet(f"{answers}/rejected/batch={batch}")
-        found = scoring.request_features(scoring.accepted(checked), state)
-        scoring.live_scores(found, model).write.mode("overwrite").parquet(f"{answers}/scored/batch={batch}")
+        scoring.score_requests(scoring.accepted(checked), state, model).write.mode("overwrite").parquet(f"{answers}/scored/batch={batch}")
     finally:
         held.unpersist()
 

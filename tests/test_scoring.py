@@ -182,3 +182,22 @@ def test_present_nulls_may_be_filled(spark):
     filled = scoring.request_features(asked, served, fill_present_nulls=True).first()
     assert kept["lag_1d"] is None and filled["lag_1d"] == 4.0
     assert SeriesSpec().row_id == ["ds", "key", "hour"]
+
+
+def test_requests_of_one_cell_are_scored_once(spark):
+    """Popular cells: the model sees each cell once, and the answers are those of a row for each request."""
+    long, _ = history(spark)
+    served = state(spark, long, True)
+    cells = [("Line A", 5, date(2024, 2, 20)), ("Line B", 5, date(2024, 2, 21)), ("Line A", 6, date(2030, 1, 1))]
+    asked = [(i, f" {k.lower()} ", d.isoformat(), str(h), None) for i, (k, h, d) in enumerate(cells * 40)]
+    valid = scoring.accepted(scoring.validate(spark.createDataFrame(asked, REQUEST), served.keys))
+    seen = []
+
+    class Model:
+        def transform(self, df):
+            seen.append(df.count())
+            return df.withColumn("prediction", F.log1p(F.coalesce(F.col("lag_1d"), F.lit(0.0)) + F.col("rolling_7d") + F.col("key_code")))
+
+    got = sorted(map(tuple, scoring.score_requests(valid, served, Model()).collect()))
+    assert seen == [3] and len(got) == 120
+    assert got == sorted(map(tuple, scoring.live_scores(scoring.request_features(valid, served), Model()).collect()))
