@@ -2,9 +2,10 @@
 
 A word is the sum of two hashed embeddings, so that two words are mixed up only if both hashes agree.
 Filters of several widths run over the words, each filter keeps its greatest value in the whole text
-(max pooling), and a logistic layer scores what they found. It is trained in numpy, on the driver, on
-a sample of labelled rows whose size is a parameter; scoring runs in the tasks, over whole texts.
-Thresholds are calibrated by language on a part of the sample that training does not see; the language
+(max pooling), and a logistic layer scores what they found. It learns from all labelled rows: few are fitted
+at once, in numpy; of many a bounded number gives the first weights, from which the tasks go on over all rows, and
+their moves are averaged after each pass. Scoring runs in the tasks, over whole texts.
+Thresholds are calibrated by language on a fifth of the labelled rows that training does not see; the language
 chooses a threshold only, it is no input of a score.
 
 Defined results: a null or empty text, or one without letters, has the score of a text in which no
@@ -16,19 +17,25 @@ hash is learned from; other columns are not read.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 import xxhash
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasonflow.llm.common import by_batch, table
 from seasonflow.llm.registry import query
+from seasonflow.session import settle
 
-#: Rows of each label that training takes at most, in the order of a hash of their ids.
+#: Rows of each label that give the first weights, in the order of a hash of their ids.
 SAMPLE = 3000
+#: Passes over all rows that follow where there are more, and labelled ids of a partition then.
+PASSES, PART = 3, 5000
 #: Words that are convolved at a time.
 PIECE = 1 << 14
 WIDTHS, FILTERS, DIM = (1, 2, 3), 12, 8
@@ -143,6 +150,51 @@ class Adam:
         weights[at] -= self.rate * (m[at] / up) / (np.sqrt(v[at] / low) + 1e-6)
 
 
+def step(net: Network, adam: Adam, bias: np.ndarray, texts: list[np.ndarray], labels: np.ndarray) -> None:
+    """One minibatch: moves the weights of ``net`` and the ``bias``."""
+    adam.t += 1
+    pooled = np.zeros((len(texts), FILTERS * len(WIDTHS)), dtype=np.float32)
+    sources = []
+    for b, words in enumerate(texts):
+        best, places = net.places(words)
+        for i in range(len(WIDTHS)):
+            own = slice(i * FILTERS, (i + 1) * FILTERS)
+            if places[own][0] >= 0:
+                pooled[b, own] = best[own] + net.shifts[i]
+                sources.append((b, i, words, places[own]))
+    active = pooled > 0
+    value = np.where(active, pooled, 0)
+    z = value @ net.out + bias[0]
+    slope = (1 / (1 + np.exp(-z)) - labels) / len(texts)
+    below = (slope[:, None] * net.out[None, :]) * active
+    to_filters = [np.zeros_like(f) for f in net.filters]
+    to_shifts = [np.zeros_like(s) for s in net.shifts]
+    rows, parts = [], []
+    for b, i, words, top in sources:
+        g = below[b, i * FILTERS : (i + 1) * FILTERS]
+        used = np.flatnonzero(g)
+        if not len(used):
+            continue
+        to_shifts[i][used] += g[used]
+        for k in range(WIDTHS[i]):
+            here = words[top[used] + k]
+            to_filters[i][k][:, used] += net.embedded(here).T * g[used]
+            rows.append(here)
+            parts.append((net.filters[i][k][:, used] * g[used]).T)
+    adam.step("out", net.out, value.T @ slope + 1e-4 * net.out)
+    adam.step("bias", bias, np.array([slope.sum()], dtype=np.float32))
+    for i in range(len(WIDTHS)):
+        adam.step(f"f{i}", net.filters[i], to_filters[i])
+        adam.step(f"s{i}", net.shifts[i], to_shifts[i])
+    if rows:
+        rows, parts = np.concatenate(rows), np.concatenate(parts)
+        for name, weights, own in (("e1", net.first, rows >> 32), ("e2", net.second, rows & 0xFFFFFFFF)):
+            unique, place = np.unique(own, return_inverse=True)
+            total = np.zeros((len(unique), DIM), dtype=np.float32)
+            np.add.at(total, place, parts)
+            adam.step(name, weights, total, unique)
+
+
 def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Network:
     """Logistic loss, Adam, minibatches; the slope of a pooled value goes to the place of its maximum."""
     net, rng, adam = Network.fresh(seed), np.random.default_rng(seed), Adam(RATE)
@@ -152,49 +204,8 @@ def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, see
         adam.rate = RATE * (1 - epoch / (epochs + 1))
         order = rng.permutation(len(texts))
         for at in range(0, len(order), BATCH):
-            adam.t += 1
             chosen = order[at : at + BATCH]
-            pooled = np.zeros((len(chosen), FILTERS * len(WIDTHS)), dtype=np.float32)
-            sources = []
-            for b, t in enumerate(chosen):
-                words = texts[t]
-                best, places = net.places(words)
-                for i in range(len(WIDTHS)):
-                    own = slice(i * FILTERS, (i + 1) * FILTERS)
-                    if places[own][0] >= 0:
-                        pooled[b, own] = best[own] + net.shifts[i]
-                        sources.append((b, i, words, places[own]))
-            active = pooled > 0
-            value = np.where(active, pooled, 0)
-            z = value @ net.out + bias[0]
-            slope = (1 / (1 + np.exp(-z)) - labels[chosen]) / len(chosen)
-            below = (slope[:, None] * net.out[None, :]) * active
-            to_filters = [np.zeros_like(f) for f in net.filters]
-            to_shifts = [np.zeros_like(s) for s in net.shifts]
-            rows, parts = [], []
-            for b, i, words, top in sources:
-                g = below[b, i * FILTERS : (i + 1) * FILTERS]
-                used = np.flatnonzero(g)
-                if not len(used):
-                    continue
-                to_shifts[i][used] += g[used]
-                for k in range(WIDTHS[i]):
-                    here = words[top[used] + k]
-                    to_filters[i][k][:, used] += net.embedded(here).T * g[used]
-                    rows.append(here)
-                    parts.append((net.filters[i][k][:, used] * g[used]).T)
-            adam.step("out", net.out, value.T @ slope + 1e-4 * net.out)
-            adam.step("bias", bias, np.array([slope.sum()], dtype=np.float32))
-            for i in range(len(WIDTHS)):
-                adam.step(f"f{i}", net.filters[i], to_filters[i])
-                adam.step(f"s{i}", net.shifts[i], to_shifts[i])
-            if rows:
-                rows, parts = np.concatenate(rows), np.concatenate(parts)
-                for name, weights, own in (("e1", net.first, rows >> 32), ("e2", net.second, rows & 0xFFFFFFFF)):
-                    unique, place = np.unique(own, return_inverse=True)
-                    total = np.zeros((len(unique), DIM), dtype=np.float32)
-                    np.add.at(total, place, parts)
-                    adam.step(name, weights, total, unique)
+            step(net, adam, bias, [texts[t] for t in chosen], labels[chosen])
     net.bias = float(bias[0])
     return net
 
@@ -240,16 +251,131 @@ def remainder(key: Column, by: int) -> Column:
     return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(by))
 
 
+def weights(net: Network, bias: float) -> dict[str, np.ndarray]:
+    """All weights by name, as rows of ``DIM`` numbers (the last row of a name is filled up with zeros)."""
+    named = {"first": net.first, "second": net.second, "out": net.out, "bias": np.array([bias])}
+    named |= {f"filter{i}": x for i, x in enumerate(net.filters)} | {f"shift{i}": x for i, x in enumerate(net.shifts)}
+    flat = {name: np.asarray(x, dtype=np.float64).ravel() for name, x in named.items()}
+    return {name: np.pad(x, (0, -len(x) % DIM)).reshape(-1, DIM) for name, x in flat.items()}
+
+
+def of_weights(rows: dict[str, np.ndarray]) -> Network:
+    """The network of :func:`weights`."""
+    put = lambda name, x: rows[name].ravel()[: x.size].reshape(x.shape).astype(np.float32)
+    like = Network.fresh()
+    return Network(
+        put("first", like.first), put("second", like.second),
+        [put(f"filter{i}", x) for i, x in enumerate(like.filters)], [put(f"shift{i}", x) for i, x in enumerate(like.shifts)],
+        put("out", like.out), float(rows["bias"][0, 0]),
+    )
+
+
+def refine(net: Network, rows: DataFrame, passes: int = PASSES, seed: int = 7) -> Network:
+    """Goes on from ``net`` over all ``rows`` (words, toxic), each partition from the same weights.
+
+    After each pass a row of weights moves by the mean of the moves of the partitions that moved it, so a word that
+    few partitions know counts in full. Moves are whole multiples of 2^-32: their sums do not depend on an order.
+    """
+    numbers = [f"v{i}" for i in range(DIM)]
+    for turn in range(passes):
+        sent, rate = rows.sparkSession.sparkContext.broadcast(net), RATE / 4 * (1 - turn / (passes + 1))
+
+        def moves(batches, sent=sent, rate=rate, turn=turn):
+            from copy import deepcopy
+
+            own, adam, rng = deepcopy(sent.value), Adam(rate), np.random.default_rng([seed, turn])
+            bias = np.array([own.bias], dtype=np.float32)
+            for batch in batches:
+                labels = batch.column(1).to_numpy(zero_copy_only=False).astype(np.float32)
+                order = rng.permutation(batch.num_rows)
+                for at in range(0, len(order), BATCH):
+                    chosen = order[at : at + BATCH]
+                    step(own, adam, bias, [np.frombuffer(batch.column(0)[int(i)].as_py(), dtype=np.int64) for i in chosen], labels[chosen])
+            if adam.t:
+                before = weights(sent.value, sent.value.bias)
+                for name, after in weights(own, float(bias[0])).items():
+                    move = np.rint((after - before[name]) * 2.0**32).astype(np.int64)
+                    at = np.flatnonzero(move.any(axis=1))
+                    columns = {"name": [name] * len(at), "at": at.astype(np.int32), **{v: move[at, i] for i, v in enumerate(numbers)}}
+                    yield pa.RecordBatch.from_pydict(columns)
+
+        moved = rows.select("words", "toxic").mapInArrow(moves, "name string, at int, " + ", ".join(f"{v} long" for v in numbers))
+        mean = moved.groupBy("name", "at").agg(*[(F.sum(v) / F.count(F.lit(1)) / 2.0**32).alias(v) for v in numbers])
+        found = mean.toPandas()  # at most one row for each row of weights
+        rows_of = weights(net, net.bias)
+        for name, own in found.groupby("name"):
+            rows_of[name][own["at"].to_numpy()] += own[numbers].to_numpy()
+        net = of_weights(rows_of)
+    return net
+
+
+def calibrate(net: Network, rows: DataFrame) -> dict[str, float]:
+    """Thresholds by language from the scores of all ``rows`` (words, toxic, lang), counted by ten-thousandths."""
+
+    def work():
+        def score(words, toxic, lang):
+            return {"toxic": toxic, "lang": lang, "bin": [round(net.score(np.frombuffer(w, dtype=np.int64)) * 10_000) for w in words.to_pylist()]}
+
+        return score
+
+    binned = by_batch(rows.select("words", "toxic", "lang"), "toxic int, lang string, bin int", work)
+    cells = binned.groupBy("lang", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("hits")).persist()
+    try:
+        enough = cells.groupBy("lang").agg(F.sum("hits").alias("all")).where("all >= 10 AND lang IS NOT NULL").select("lang")
+        general = cells.groupBy("bin").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits")).collect()
+        thresholds = {"": best_of_bins(general)}
+        by_lang = cells.join(enough, "lang").groupBy("lang").agg(F.collect_list(F.struct("bin", "n", "hits")).alias("bins"))
+        thresholds |= {r.lang: best_of_bins(r.bins) for r in by_lang.collect()}  # languages; at most 10,001 bins each
+    finally:
+        cells.unpersist()
+    return thresholds
+
+
+def best_of_bins(bins) -> float:
+    """:func:`best_threshold` of scores that are counted by ten-thousandths."""
+    bins = sorted(bins, key=lambda r: -r["bin"])
+    s, n, hit = (np.array([r[c] for r in bins], dtype=float) for c in ("bin", "n", "hits"))
+    if not hit.sum():
+        return THRESHOLD
+    k = int(np.argmax(2 * hit.cumsum() / (n.cumsum() + hit.sum())))
+    return float((s[k] + s[k + 1]) / 20_000 if k + 1 < len(s) else s[k] / 10_000)
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
-    """Fits on at most ``sample`` labelled ids of each label, one text of each (docs: doc_id, text, lang; labels: doc_id, toxic)."""
+    """Learns from all labelled ids, one text of each (docs: doc_id, text, lang; labels: doc_id, toxic).
+
+    Up to ``sample`` ids of each label are fitted at once. With more, that many give the first weights only: all
+    rows but a fifth go on from them in the tasks, and the thresholds come from all rows of that fifth.
+    """
     marked = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r.toxic: r["count"] for r in marked.groupBy("toxic").count().collect()}  # two rows
     total = sum(counts.values())
     if not total:
         return constant(0.0)
-    drawn = [marked.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for t in (0, 1)]
+    apart = F.pmod(F.xxhash64("doc_id", F.lit("apart")), F.lit(5)) == 4
+    more = max(counts.values()) > sample
+    start = marked.where(~apart) if more else marked
+    drawn = [start.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for t in (0, 1)]
     chosen = drawn[0].unionByName(drawn[1])  # at most twice the sample: small enough to send to all tasks
-    found = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).join(F.broadcast(chosen), "doc_id")
+    rows = sorted(_words(docs, F.broadcast(chosen)).collect(), key=lambda r: (xxhash.xxh64_intdigest(str(r.doc_id)), r.words))
+    net = fit([(np.frombuffer(r.words, dtype=np.int64), r.toxic, r.lang) for r in rows], counts.get(1, 0) / total)
+    if not more:
+        return net
+    # parts of some size: a pass takes as many steps as a part has minibatches, however many parts there are
+    whole = settle(_words(docs, marked).withColumns({"apart": apart, "h": F.xxhash64("doc_id")}))
+    parts = math.ceil(total / PART)
+    dealt = whole.where("NOT apart").repartition(parts, "h").sortWithinPartitions("h").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        net = refine(net, dealt)
+    finally:
+        dealt.unpersist()
+    net.thresholds = calibrate(net, whole.where("apart"))
+    return net
+
+
+def _words(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """doc_id, words, lang, toxic of the marked ids, one text of each."""
+    found = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).join(marked, "doc_id")
     # rows of one id are reduced before they leave their task, so the rows that reach the driver are bounded too
     one = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "lang", F.col("toxic").cast("int").alias("toxic")))
     texts = found.groupBy("doc_id").agg(one.alias("one")).select("doc_id", "one.text", "one.lang", "one.toxic")
@@ -263,9 +389,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
         return step
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    packed = by_batch(texts, f"doc_id {kind}, words binary, lang string, toxic int", work)
-    rows = sorted(packed.collect(), key=lambda r: (xxhash.xxh64_intdigest(str(r.doc_id)), r.words))
-    return fit([(np.frombuffer(r.words, dtype=np.int64), r.toxic, r.lang) for r in rows], counts.get(1, 0) / total)
+    return by_batch(texts, f"doc_id {kind}, words binary, lang string, toxic int", work)
 
 
 def scored(docs: DataFrame, network: Network, keys: list[str], text: str = "text") -> DataFrame:

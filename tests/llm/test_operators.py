@@ -524,6 +524,27 @@ def test_toxicity_sample_bounds_rows(spark, monkeypatch):
     assert sorted(r[1] for r in seen) == [0, 1, 1]
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark, monkeypatch):
+    """Words that only rows beyond the first sample have, and thresholds that count every row set apart."""
+    rng = random.Random(9)
+    filler = [f"{'abcdefgh'[i % 8]}{'klmnop'[i % 6]}{'rstuv'[i % 5]}" for i in range(240)]
+    rows = [(i, " ".join([*rng.choices(filler, k=12), *(["zorp", "grue"] if i % 4 == 0 else [])]), "en", int(i % 4 == 0)) for i in range(1200)]
+    both = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    docs, labels = both.drop("toxic").repartition(4), both.select("doc_id", "toxic")
+    first, seen = toxicity.fit, []
+    monkeypatch.setattr(toxicity, "fit", lambda rows, share: seen.append(len(rows)) or first(rows, share))
+    original = toxicity.calibrate
+    monkeypatch.setattr(toxicity, "calibrate", lambda net, rows: seen.append(rows.count()) or original(net, rows))
+    monkeypatch.setattr(toxicity, "PART", 600)  # two parts
+    monkeypatch.setattr(toxicity, "BATCH", 4)
+    net, again = (toxicity.learn(docs, labels, sample=20) for _ in range(2))
+    assert seen[0] == 40 and 180 < seen[1] < 300
+    found = toxicity.scored(docs, net, ["doc_id"]).collect()
+    assert sum((r.score >= 0.3) == (r.doc_id % 4 == 0) for r in found) >= 0.98 * len(found)
+    assert set(net.thresholds) == {"", "en"} and net.thresholds == again.thresholds
+    assert (net.first == again.first).all() and net.bias == again.bias
+
+
 def test_slopes_equal_differences_of_the_loss():
     """One step of training without momentum goes against the numeric slope of the loss."""
     rng = np.random.default_rng(3)
