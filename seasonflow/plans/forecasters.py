@@ -158,7 +158,11 @@ def fit_forest(
         featureSubsetStrategy="all",
         seed=seed,
     )
-    return Pipeline(stages=[*_tree_inputs(features), forest]).fit(with_target(train))
+    rows = with_target(train)
+    parts = math.ceil(rows.count() / TASK_ROWS)
+    if parts > rows.rdd.getNumPartitions():  # a stored table is read by as many tasks as its bytes fill, however many trees
+        rows = in_order(rows.withColumn("_order", F.xxhash64(*Inputs(tuple(features)).numbers(), "target")), parts)
+    return Pipeline(stages=[*_tree_inputs(features), forest]).fit(rows)
 
 
 def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
