@@ -28,17 +28,19 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonflow.llm.common import by_batch, table
+from seasonflow.llm.common import bit_map, by_batch, table
 from seasonflow.llm.registry import query
-from seasonflow.session import settle
 
 #: Rows of each label that give the first weights, in the order of a hash of their ids.
 SAMPLE = 3000
 #: Passes over all rows that follow where there are more, and labelled ids of a partition then.
 PASSES, PART = 3, 5000
+#: Size of the map of labelled ids that documents are looked up in before they travel; the ids themselves decide.
+MAP_BITS = 24
 #: Words that are convolved at a time.
 PIECE = 1 << 14
 WIDTHS, FILTERS, DIM = (1, 2, 3), 12, 8
+#: At most 2^16: both buckets of a word travel in four bytes.
 BUCKETS = 1 << 15
 EPOCHS, BATCH, RATE = 14, 64, 0.02
 THRESHOLD = 0.3
@@ -60,6 +62,16 @@ class Buckets(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
 
 
+def packed(words: np.ndarray) -> bytes:
+    """The buckets of :class:`Buckets` in four bytes a word."""
+    return ((words >> 32) << 16 | (words & 0xFFFF)).astype("<u4").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    words = np.frombuffer(data, dtype="<u4").astype(np.int64)
+    return (words >> 16) << 32 | (words & 0xFFFF)
+
+
 @dataclass
 class Network:
     """Weights of the classifier and the thresholds by language ('' is the general one)."""
@@ -290,7 +302,7 @@ def refine(net: Network, rows: DataFrame, passes: int = PASSES, seed: int = 7) -
                 order = rng.permutation(batch.num_rows)
                 for at in range(0, len(order), BATCH):
                     chosen = order[at : at + BATCH]
-                    step(own, adam, bias, [np.frombuffer(batch.column(0)[int(i)].as_py(), dtype=np.int64) for i in chosen], labels[chosen])
+                    step(own, adam, bias, [unpacked(batch.column(0)[int(i)].as_py()) for i in chosen], labels[chosen])
             if adam.t:
                 before = weights(sent.value, sent.value.bias)
                 for name, after in weights(own, float(bias[0])).items():
@@ -314,7 +326,7 @@ def calibrate(net: Network, rows: DataFrame) -> dict[str, float]:
 
     def work():
         def score(words, toxic, lang):
-            return {"toxic": toxic, "lang": lang, "bin": [round(net.score(np.frombuffer(w, dtype=np.int64)) * 10_000) for w in words.to_pylist()]}
+            return {"toxic": toxic, "lang": lang, "bin": [round(net.score(unpacked(w)) * 10_000) for w in words.to_pylist()]}
 
         return score
 
@@ -358,23 +370,21 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
     drawn = [start.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for t in (0, 1)]
     chosen = drawn[0].unionByName(drawn[1])  # at most twice the sample: small enough to send to all tasks
     rows = sorted(_words(docs, F.broadcast(chosen)).collect(), key=lambda r: (xxhash.xxh64_intdigest(str(r.doc_id)), r.words))
-    net = fit([(np.frombuffer(r.words, dtype=np.int64), r.toxic, r.lang) for r in rows], counts.get(1, 0) / total)
+    net = fit([(unpacked(r.words), r.toxic, r.lang) for r in rows], counts.get(1, 0) / total)
     if not more:
         return net
     # parts of some size: a pass takes as many steps as a part has minibatches, however many parts there are
-    whole = settle(_words(docs, marked).withColumns({"apart": apart, "h": F.xxhash64("doc_id")}))
-    parts = math.ceil(total / PART)
-    dealt = whole.where("NOT apart").repartition(parts, "h").sortWithinPartitions("h").persist(StorageLevel.MEMORY_AND_DISK)
+    whole = _dealt(docs, marked, math.ceil(total / PART)).withColumn("apart", apart).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        net = refine(net, dealt)
+        net = refine(net, whole.where("NOT apart"))
+        net.thresholds = calibrate(net, whole.where("apart"))
     finally:
-        dealt.unpersist()
-    net.thresholds = calibrate(net, whole.where("apart"))
+        whole.unpersist()
     return net
 
 
 def _words(docs: DataFrame, marked: DataFrame) -> DataFrame:
-    """doc_id, words, lang, toxic of the marked ids, one text of each."""
+    """doc_id, words, lang, toxic of the marked ids, few enough to send to all tasks, one text of each."""
     found = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).join(marked, "doc_id")
     # rows of one id are reduced before they leave their task, so the rows that reach the driver are bounded too
     one = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "lang", F.col("toxic").cast("int").alias("toxic")))
@@ -384,7 +394,7 @@ def _words(docs: DataFrame, marked: DataFrame) -> DataFrame:
         buckets = Buckets()
 
         def step(ids, texts, langs, toxic):
-            return {"doc_id": ids, "words": [buckets.of(t).tobytes() for t in texts.to_pylist()], "lang": langs, "toxic": toxic}
+            return {"doc_id": ids, "words": [packed(buckets.of(t)) for t in texts.to_pylist()], "lang": langs, "toxic": toxic}
 
         return step
 
@@ -392,6 +402,45 @@ def _words(docs: DataFrame, marked: DataFrame) -> DataFrame:
     return by_batch(texts, f"doc_id {kind}, words binary, lang string, toxic int", work)
 
 
+def _dealt(docs: DataFrame, marked: DataFrame, parts: int) -> DataFrame:
+    """doc_id, words, lang, toxic of all marked ids, one text of each, in ``parts`` by a hash of the id and in its order.
+
+    They are shuffled once, as buckets of words, and documents that no label can belong to stay behind.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    own = F.col("doc_id").try_cast(kind)
+    ids = marked.select(F.xxhash64(own).alias("h"), own.alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    one = "struct<text_hash: bigint, words: binary, lang: string>"
+    texts = _likely_marked(docs, ids).select("h", "doc_id", F.lit(None).cast("int").alias("toxic"), F.struct("text_hash", "words", "lang").cast(one).alias("one"))
+    met = texts.unionByName(ids.withColumn("one", F.lit(None).cast(one))).repartition(parts, "h")
+    # the parts hold whole groups: the rows are grouped where they are
+    chosen = met.groupBy("h", "doc_id").agg(F.max("toxic").alias("toxic"), F.min("one").alias("one")).where("toxic IS NOT NULL AND one IS NOT NULL")
+    return chosen.sortWithinPartitions("h").select("doc_id", "one.words", "one.lang", "toxic")
+
+
+def _likely_marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """h, doc_id, text_hash, words, lang of the rows whose hash of the id has the last bits of one of ``ids`` (h)."""
+    bits = np.packbits(bit_map(ids.select("h"), "h", MAP_BITS), bitorder="little")
+    sent = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
+    asked = docs.where("doc_id IS NOT NULL").select(
+        F.xxhash64("doc_id").alias("h"), "doc_id", F.xxhash64("text").alias("text_hash"), "text", F.col("lang").cast("string").alias("lang")
+    )
+
+    def work():
+        known, buckets = np.frombuffer(sent.value, dtype=np.uint8), Buckets()
+
+        def step(h, ids, hashes, texts, langs):
+            place = h.to_numpy(zero_copy_only=False) & ((1 << MAP_BITS) - 1)
+            at = pa.array(np.flatnonzero(known[place >> 3] >> (place & 7) & 1))
+            words = [packed(buckets.of(t)) for t in texts.take(at).to_pylist()]
+            return {"h": h.take(at), "doc_id": ids.take(at), "text_hash": hashes.take(at), "words": words, "lang": langs.take(at)}
+
+        return step
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return by_batch(asked, f"h long, doc_id {kind}, text_hash long, words binary, lang string", work)
+
+
 def scored(docs: DataFrame, network: Network, keys: list[str], text: str = "text") -> DataFrame:
     """keys and score of every row."""
     sent = docs.sparkSession.sparkContext.broadcast(network)

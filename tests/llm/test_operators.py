@@ -10,6 +10,7 @@ import time
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from seasonflow.llm import bpe, decontaminate, language, pii, quality, sharding, simhash, substrings, toxicity, urls
 from seasonflow.llm.catalog import QUERIES, SQL
@@ -545,6 +546,45 @@ def test_toxicity_learns_from_all_labelled_rows(spark, monkeypatch):
     assert (net.first == again.first).all() and net.bias == again.bias
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [files.apply(i) for i in range(files.size())]
+    return {f.getName(): f.length() for f in files if f.getName().startswith("shuffle_")}
+
+
+def test_toxicity_moves_labelled_words_only(spark, monkeypatch):
+    """Few shuffled bytes for each byte of text, and the rows that are learned from."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9)))
+    rows = [(i, " ".join(word() for _ in range(300)), "en") for i in range(2000)]
+    rows += [(i, f"second {word()}", None) for i in range(0, 100, 3)] + [(None, "no id", "en"), (3000, None, None), (3001, "", "de"), (3001, "", None)]
+    marks = [(i, int(i % 20 == 0)) for i in range(0, 500, 4)] + [(0, 0), (4, 1), (4, None), (None, 1), (3000, 0), (3001, 1), (9999, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("h", F.lit("another column"))
+    seen = {}
+    monkeypatch.setattr(toxicity, "refine", lambda net, rows: seen.update(learned=rows.collect()) or net)
+    monkeypatch.setattr(toxicity, "calibrate", lambda net, rows: seen.update(apart=rows.collect()) or {})
+    before, limit = shuffle_files(spark), "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(limit, "-1")  # as with more labels than a task may be sent
+    try:
+        toxicity.learn(docs, spark.createDataFrame(marks, "doc_id long, toxic int"), sample=10)
+    finally:
+        spark.conf.unset(limit)
+    moved = sum(n for name, n in shuffle_files(spark).items() if name not in before)
+    assert 0 < moved < 0.2 * sum(len(r[1] or "") for r in rows)
+
+    buckets, expected = toxicity.Buckets(), {}
+    hashes = {r.doc_id: [] for r in docs.collect()}
+    for r in docs.select("*", F.xxhash64("text").alias("text_hash")).collect():
+        hashes[r.doc_id].append((r.text_hash, r.text or "", r.lang is not None, r.lang))
+    for i, toxic in marks:
+        if i is not None and toxic is not None and i in hashes:
+            chosen = min(hashes[i])
+            expected[i] = (buckets.of(chosen[1]).tolist(), chosen[3], max(toxic, expected.get(i, (0, 0, 0))[2]))
+    got = seen["learned"] + seen["apart"]
+    assert len(got) == len(expected) and seen["learned"] and seen["apart"]
+    assert {r.doc_id: (toxicity.unpacked(r.words).tolist(), r.lang, r.toxic) for r in got} == expected
+
+
 def test_slopes_equal_differences_of_the_loss():
     """One step of training without momentum goes against the numeric slope of the loss."""
     rng = np.random.default_rng(3)
