@@ -15,7 +15,6 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import ElementwiseProduct, Imputer, OneHotEncoder, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.linalg import Vectors
@@ -23,9 +22,10 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seasonflow.operators import trees
+from seasonflow.operators import growing, trees
 from seasonflow.operators.baseline import clip, fold_forecasts
 from seasonflow.operators.evaluate import BASELINE, improvements, metrics_by, prediction_rows
+from seasonflow.operators.growing import BinnedRows, Bins, Grown, TreeOfRounds
 from seasonflow.operators.split import Fold, fold_rows, fold_sizes, key_sizes, learned_from, tail_split
 from seasonflow.operators.trees import Inputs, TreeModel
 from seasonflow.session import literal_table, scratch_path, settle
@@ -33,10 +33,9 @@ from seasonflow.session import literal_table, scratch_path, settle
 RIDGE_CATEGORICAL = ("key_code", "kind_code")
 #: Columns whose values have no order.
 NOMINAL = ("key_code", "kind_code", "weekday", "month", "hour_of_day")
-#: Rounds between two written tables of a boosting run, and models of keys that are stored together.
-STORED_EVERY, STORED_MODELS = 10, 16
-#: Rows of a boosting task, at most. A round reads its rows a dozen times, so more rows than this take longer
-#: than the tasks that they could be dealt to.
+#: Models of keys that are stored together.
+STORED_MODELS = 16
+#: Rows of a task that are ordered and put into bins, or that a forest learns from.
 TASK_ROWS = 16_000
 
 
@@ -189,77 +188,69 @@ def fit_boosted(
     """Boosted trees; rows marked ``is_val`` only decide how many.
 
     Every row keeps its prediction so far, and each round fits one tree to what is left, so a round is fitted
-    once: the trees are those of Spark's ``GBTRegressor`` (whose candidate splits come from one draw of the rows
-    where these are very many, and from one draw a round here). The error on the marked rows is kept as rounds
+    once: the trees are those of Spark's ``GBTRegressor`` (whose candidate splits come from a draw of the rows
+    where these are over 10,000, and from all of them here). Rows are put into bins once and rounds are grown
+    from these (:mod:`seasonflow.operators.growing`). The error on the marked rows is kept as rounds
     go on; the fit ends ``patience`` rounds after the best one, whose trees are kept. Without marked rows all
     rounds are kept. ``start`` goes on from a model: its trees count as rounds and stay.
 
     With a penalty (``l1``, ``l2``) the leaves of every tree but the first, which stands for the level, take the
-    value of :meth:`Boosting.leaf`, from the sums of all rows that are learned from; splits are Spark's own. One small
-    aggregate by leaf gives these sums and the error on the marked rows.
+    value of :meth:`Boosting.leaf`, from the sums of all rows that are learned from; splits are Spark's own. The same
+    sums by leaf give the error on the marked rows.
 
-    Nominal columns are split by sets of their values. Predictions are held by the executors and written to the
-    shared folder every few rounds, so a lost executor costs these rounds at most. Rows are taken in the order
-    of a hash, so a fit that one task holds repeats itself exactly.
+    Predictions are held by the executors and written to the shared folder every few rounds, so a lost executor costs
+    these rounds at most. Rows are taken in the order of a hash and sums are added in one order, so a fit repeats itself
+    exactly. Nominal columns are split by sets of their values.
     """
     rounds = list(start.trees) if start else []
     inputs = start.inputs if start else Inputs.of(train, features, settings.nominal)
     marked = F.coalesce(F.col(is_val), F.lit(False)) if is_val else F.lit(False)
     rows = with_target(start.transform(train) if start else train.withColumn("prediction", F.lit(0.0)))
-    rows = rows.select("*", marked.alias("_val"), F.xxhash64(*inputs.numbers(), "target").alias("_order"))
-    vectors = inputs.vectors(rows).select("features", "target", "_val", F.col("prediction").alias("so_far"), "_order")
-    state = settle(vectors)
-    # a round is a dozen short stages: small tables are not cut into many tasks
-    parts = max(1, math.ceil(state.count() / TASK_ROWS))
-    watched = not state.where("_val").isEmpty()
+    numbers = [n.alias(f"c{i}") for i, n in enumerate(inputs.numbers())]
+    state = settle(rows.select(*numbers, "target", marked.alias("_val"), F.col("prediction").alias("so_far"), F.xxhash64(*inputs.numbers(), "target").alias("_order")))
+    count = {r["_val"]: r["n"] for r in state.groupBy("_val").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not count.get(False):
+        raise ValueError("no row to learn from")
+    watched = True in count
+    most = max(settings.bins, inputs.most_categories)
+    columns = [f"c{i}" for i in range(len(numbers))]
+    bins = Bins.of(state.where("NOT _val").select(*columns), inputs, count[False], most)
+    parts = math.ceil(sum(count.values()) / TASK_ROWS)
+    dealt = in_order(state, parts).select(*columns, "target", "_val", "so_far")
+    held = BinnedRows(dealt, inputs, bins, parts, max(1, growing.CHUNK_ROWS // TASK_ROWS))
     errors = list(start.errors) if start else []
-    gap = F.col("target") - F.col("so_far")
-    before = held = in_order(state, parts).persist(StorageLevel.MEMORY_AND_DISK)
-    forest = RandomForestRegressor(
-        featuresCol="features",
-        labelCol="left",
+    learner = TreeOfRounds(
         numTrees=1,
         bootstrap=False,
         maxDepth=settings.depth,
         minInstancesPerNode=settings.least_leaf,
         subsamplingRate=settings.row_share,
         featureSubsetStrategy=settings.column_share,
-        maxBins=max(settings.bins, inputs.most_categories),
+        maxBins=most,
     )
+
+    def valued(grown: Grown) -> trees.Tree:
+        """Leaves but those of the first tree by the sums of what was left."""
+        if first or not (settings.l1 or settings.l2):
+            return grown.tree
+        slopes = [grown.sums.get((i, False)) for i in range(len(grown.tree.leaves))]
+        return grown.tree.with_values([2 * settings.leaf(s[1], s[0]) if s else 0.0 for s in slopes])
+
     while len(rounds) < settings.rounds:
         first = not rounds
-        forest.setSeed(settings.seed + len(rounds))
-        # the negative slope of the squared error
-        left = F.col("target") if first else 2 * gap
-        fitted = forest.fit(held.where("NOT _val").select("features", left.alias("left"))).trees[0]
-        if before is not held:
-            before.unpersist()  # what came after it is held by now
-        weight = 1.0 if first else settings.step
-        grown = trees.tree_of(fitted.toDebugString, weight, fitted.featureImportances.toArray().tolist())
-        landed = fitted.setPredictionCol("").setLeafCol("leaf").transform(held)
-        penalised = bool(settings.l1 or settings.l2) and not first
-        sums = {}
-        if watched or penalised:
-            by_leaf = landed.groupBy("leaf", "_val").agg(F.count(F.lit(1)).alias("n"), F.sum(gap).alias("s"), F.sum(gap**2).alias("q"))
-            sums = {(int(r["leaf"]), r["_val"]): r for r in by_leaf.collect()}  # two rows for each leaf
-        if penalised:
-            slopes = [sums.get((i, False)) for i in range(len(grown.leaves))]
-            grown = grown.with_values([2 * settings.leaf(r["s"], r["n"]) if r else 0.0 for r in slopes])
-        rounds.append(grown)
-        values = [grown.value[i] for i in grown.leaves]
+        learner.setSeed(settings.seed + len(rounds))
+        # the negative slope of the squared error is learned from
+        learner.weight, learner.first, learner.valued = 1.0 if first else settings.step, first, valued
+        grown = learner.fit(held)
+        tree = valued(grown)
+        rounds.append(tree)
         if watched:
             # the squared errors of a leaf's rows after the step: q - 2 v s + n v v
-            moved_by = [(r, weight * values[i]) for (i, val), r in sums.items() if val]
-            errors.append(math.fsum(r["q"] - 2 * v * r["s"] + r["n"] * v * v for r, v in moved_by) / sum(r["n"] for r, _ in moved_by))
-        # one text in place of a literal for each leaf, which cost a call of the driver each
-        step = F.element_at(F.expr(f"array({', '.join(f'{float(v)!r}D' for v in values)})"), F.col("leaf").cast("int") + 1)
-        moved = landed.withColumn("so_far", F.col("so_far") + weight * step).select(*state.columns)
-        after = in_order(settle(moved), parts) if len(rounds) % STORED_EVERY == 0 else moved
-        before, held = held, after.persist(StorageLevel.MEMORY_AND_DISK)
-        if watched and best_round(errors, settings.patience)[1]:
-            break
-    before.unpersist()
-    held.unpersist()
+            moved_by = [(r, tree.weight * tree.value[tree.leaves[i]]) for (i, val), r in grown.sums.items() if val]
+            errors.append(math.fsum(q - 2 * v * s + n * v * v for (n, s, q), v in moved_by) / sum(r[0] for r, _ in moved_by))
+            if best_round(errors, settings.patience)[1]:
+                break
+    held.close()
     if watched:
         rounds = rounds[: max(best_round(errors, settings.patience)[0], 1)]
     return TreeModel(inputs, rounds, errors)
